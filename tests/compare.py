@@ -1,0 +1,62 @@
+"""Run a registered query and its SQL twin, and compare all rows."""
+
+from __future__ import annotations
+
+import decimal
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for table in TABLES:
+        path = Path(sf_dir) / f"{table}.parquet"
+        if path.exists():
+            connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
+    return connection
+
+
+def _plain(value):
+    return format(value, "f") if isinstance(value, decimal.Decimal) else value
+
+
+def _kinds(table) -> dict[str, str]:
+    def kind(arrow_type) -> str:
+        text = str(arrow_type)
+        return {"large_string": "string"}.get(text, text)
+
+    return {name: kind(table.schema.field(name).type) for name in table.column_names}
+
+
+def rows_of(table) -> Counter:
+    names = sorted(table.column_names)
+    columns = [[_plain(v) for v in table.column(n).to_pylist()] for n in names]
+    return Counter(zip(*columns, strict=True))
+
+
+def compare(spark_df, connection, sql: str) -> list[str]:
+    """Differences in column types or rows; empty if the results are the same."""
+    left = spark_df.toArrow()
+    right = connection.sql(sql).to_arrow_table()
+    problems = []
+    mine, theirs = _kinds(left), _kinds(right)
+    if mine != theirs:
+        odd = {n: (mine.get(n), theirs.get(n)) for n in mine | theirs if mine.get(n) != theirs.get(n)}
+        problems.append(f"types {odd}")
+    if set(left.column_names) == set(right.column_names):
+        a, b = rows_of(left), rows_of(right)
+        if a != b:
+            problems.append(
+                f"rows {a.total()} / {b.total()}, only spark {list((a - b))[:2]}, "
+                f"only sql {list((b - a))[:2]}"
+            )
+    if left.num_rows == 0:
+        problems.append("no rows")
+    return problems
