@@ -106,6 +106,12 @@ def fact_sales(
     return _fact(stage(order_items, "order_items"), stage(orders, "orders"), dim_customers, dim_products)
 
 
+def changed_orders(fact: DataFrame, orders: DataFrame, lookback: Column | None = None) -> DataFrame:
+    """Orders changed after the fact's high-water mark, less ``lookback``."""
+    mark = high_water_mark(fact, "updated_at")
+    return orders.where(F.col("updated_at") > (mark if lookback is None else mark - lookback))
+
+
 def fact_sales_increment(
     fact: DataFrame,
     order_items: DataFrame,
@@ -122,15 +128,12 @@ def fact_sales_increment(
               item that arrives after its order was loaded is found only so.
     """
     items, all_orders = stage(order_items, "order_items"), stage(orders, "orders")
-    mark = high_water_mark(fact, "updated_at")
-    if lookback is not None:
-        mark = mark - lookback
-    changed = all_orders.where(F.col("updated_at") > mark)
+    changed = changed_orders(fact, all_orders, lookback)
     rows = _fact(items, changed, dim_customers, dim_products)
     if not catch_up:
         return rows
     late = unmatched(items, fact, ["order_item_id"])
-    settled = all_orders.where(~F.coalesce(F.col("updated_at") > mark, F.lit(False)))
+    settled = unmatched(all_orders, changed, ["order_id"])
     return rows.unionByName(_fact(late, settled, dim_customers, dim_products))
 
 

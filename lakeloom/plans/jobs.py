@@ -12,7 +12,7 @@ from lakeloom.plans.audit import AuditRecord, AuditSink, audited
 from lakeloom.plans.lakehouse import Lakehouse
 from lakeloom.plans.silver import SILVER, Load, SilverTable
 from lakeloom.session import materialise
-from lakeloom.sinks.tables import MergeCounts, Table
+from lakeloom.sinks.tables import MergeCounts, Ranges, Table
 from lakeloom.sources.bronze import read_batch, read_full
 
 
@@ -70,6 +70,12 @@ def gold_tables(spark: SparkSession, lakehouse: Lakehouse) -> dict[str, DataFram
     return {n: lakehouse.table(lakehouse.gold, n).read(spark) for n in names}
 
 
+def _shared_ranges(orders: Table, items: Table) -> Ranges | None:
+    """The ranges of ``order_id`` both tables are partitioned by, if they are."""
+    same = orders.ranges == items.ranges
+    return orders.ranges if same and orders.ranges and orders.ranges.column == "order_id" else None
+
+
 def build_gold(
     spark: SparkSession,
     lakehouse: Lakehouse,
@@ -84,28 +90,31 @@ def build_gold(
     raise unless ``check`` is off.
     """
 
-    def silver(name: str) -> DataFrame:
-        return silver_target(lakehouse, SILVER[name]).read(spark)
+    def silver(name: str) -> Table:
+        return silver_target(lakehouse, SILVER[name])
 
     def target(name: str, *keys: str) -> Table:
         return lakehouse.table(lakehouse.gold, name, keys)
 
-    target("dim_customers").replace(gold.dim_customers(silver("customers")))
+    def read(name: str) -> DataFrame:
+        return silver(name).read(spark)
+
+    target("dim_customers").replace(gold.dim_customers(read("customers")))
     target("dim_products").replace(
-        gold.dim_products(silver("products"), silver("supplier_price_list"), as_of, every_price)
+        gold.dim_products(read("products"), read("supplier_price_list"), as_of, every_price)
     )
     target("dim_date").replace(gold.dim_date(spark))
-    inputs = (
-        silver("order_items"),
-        silver("orders"),
-        target("dim_customers").read(spark),
-        target("dim_products").read(spark),
-    )
+    dims = (target("dim_customers").read(spark), target("dim_products").read(spark))
+    orders, items = read("orders"), read("order_items")
     fact = target("fact_sales", "order_item_id")
     if fact.exists(spark):
-        fact.upsert(gold.fact_sales_increment(fact.read(spark), *inputs, catch_up=catch_up))
+        known = fact.read(spark)
+        if not catch_up and (ranges := _shared_ranges(silver("orders"), silver("order_items"))):
+            changed = gold.changed_orders(known, orders)
+            items = silver("order_items").read(spark, ranges.listed(changed))
+        fact.upsert(gold.fact_sales_increment(known, items, orders, *dims, catch_up=catch_up))
     else:
-        fact.replace(gold.fact_sales(*inputs))
+        fact.replace(gold.fact_sales(items, orders, *dims))
 
     results = materialise(run_checks(gold_tables(spark, lakehouse), gold.GOLD_CHECKS), "checks")
     if check:

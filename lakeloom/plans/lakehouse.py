@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 
 from lakeloom.plans.audit import AuditSink, table_sink
-from lakeloom.sinks.tables import Table
+from lakeloom.sinks.tables import Ranges, Table
 from lakeloom.sources.control import CONTROL_SCHEMA
 
 
@@ -17,14 +17,16 @@ class Lakehouse:
     """Folders and schemas of one lakehouse.
 
     gold: schema of the star; a second build, such as a trial one, names another.
-    range_widths: ``schema.table`` -> width of its key ranges, for large tables.
+    ranges: ``schema.table`` -> how a large table is partitioned. Give orders,
+          order items and the fact the same ranges of ``order_id``, and a gold
+          build reads only the items whose orders changed.
     """
 
     root: str
     silver: str = "silver"
     gold: str = "gold"
     control: str = "etl"
-    range_widths: Mapping[str, int] = field(default_factory=dict)
+    ranges: Mapping[str, Ranges] = field(default_factory=dict)
 
     @property
     def bronze(self) -> str:
@@ -39,7 +41,7 @@ class Lakehouse:
             name=f"{schema}.{name}",
             root=f"{self.root}/{schema}/{name}",
             keys=keys,
-            range_width=self.range_widths.get(f"{schema}.{name}"),
+            ranges=self.ranges.get(f"{schema}.{name}"),
         )
 
     def control_table(self) -> Table:

@@ -5,10 +5,11 @@ in a new folder and then points the catalog entry at it. Files that a query may
 be reading are never overwritten, and a job that dies half-way leaves the old
 state in place.
 
-A table with a numeric key may be partitioned by key range. A merge then reads
-only the ranges its batch falls into and rewrites only those in which a row is
-really replaced; new keys alone are appended. Without ranges, a batch that
-replaces any row rewrites the table.
+A table may be partitioned by ranges of a whole-number column that never changes
+for a key, such as the key itself or the order an item belongs to. A merge then
+reads only the ranges its batch falls into and rewrites only those in which a
+row is really replaced; new keys alone are appended. Without ranges, a batch
+that replaces any row rewrites the table.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,39 +47,60 @@ class MergeCounts:
         return self.updates + self.inserts
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """Rows of ``width`` consecutive values of ``column`` share a partition.
+
+    Choose the width so that a partition holds some gigabytes: the driver
+    handles the list of partitions.
+    """
+
+    column: str
+    width: int
+
+    def of(self) -> Column:
+        # rows without a value never match, so any range will do for them
+        return F.coalesce(F.floor(F.col(self.column) / F.lit(self.width)), F.lit(-1)).cast("long")
+
+    def listed(self, df: DataFrame) -> list[int]:
+        """The ranges ``df`` falls into, at most one per partition."""
+        return sorted(row[0] for row in df.select(self.of()).distinct().collect())
+
+
 @dataclass(frozen=True)
 class Table:
     """A catalog table and where its files go.
 
-    name:        catalog name, for example ``silver.orders``.
-    root:        folder that holds the table's files.
-    keys:        columns of the merge key; unique in the table.
-    range_width: rows of this many consecutive values of the first (whole
-                 number) key share a partition. Choose it so that a partition
-                 holds some gigabytes.
+    name:   catalog name, for example ``silver.orders``.
+    root:   folder that holds the table's files.
+    keys:   columns of the merge key; unique in the table.
+    ranges: how the table is partitioned, if it is.
     """
 
     name: str
     root: str
     keys: tuple[str, ...] = ()
-    range_width: int | None = None
+    ranges: Ranges | None = None
 
     # -- reading -----------------------------------------------------------
     def exists(self, spark: SparkSession) -> bool:
         return spark.catalog.tableExists(self.name)
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, ranges: list[int] | None = None) -> DataFrame:
+        """The table, or only the partitions of ``ranges``.
+
+        A session remembers where a table's files were; another one, such as
+        that of a streaming batch, may have moved them since.
+        """
+        spark.catalog.refreshTable(self.name)
         df = spark.table(self.name)
-        return df.drop(RANGE) if self.range_width else df
+        if not self.ranges:
+            return df
+        return (df if ranges is None else df.where(F.col(RANGE).isin(ranges))).drop(RANGE)
 
     # -- layout ------------------------------------------------------------
-    def _range(self) -> Column:
-        # null keys never match, so any range will do for them
-        width = F.lit(self.range_width)
-        return F.coalesce(F.floor(F.col(self.keys[0]) / width), F.lit(-1)).cast("long")
-
     def _placed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(RANGE, self._range()) if self.range_width else df
+        return df.withColumn(RANGE, self.ranges.of()) if self.ranges else df
 
     def _new_folder(self) -> str:
         return f"{self.root.rstrip('/')}/v-{uuid.uuid4().hex[:16]}"
@@ -87,25 +109,28 @@ class Table:
         """Write to a new folder. ``rebalance`` evens out file sizes: it splits
         a range that holds most rows and joins tiny ones."""
         folder = self._new_folder()
-        if self.range_width:
+        if self.ranges:
             placed.hint("rebalance", RANGE).write.partitionBy(RANGE).parquet(folder)
         else:
             placed.write.parquet(folder)
         return folder
 
     def _point_ranges(self, spark: SparkSession, folder: str, ranges: list[int]) -> None:
-        for value in ranges:
-            location = f"{folder}/{RANGE}={value}"
-            spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION ({RANGE}={value})")
-            spark.sql(
-                f"ALTER TABLE {self.name} PARTITION ({RANGE}={value}) SET LOCATION '{location}'"
-            )
-        spark.catalog.refreshTable(self.name)
+        known = set(self._known_ranges(spark))
+
+        def at(value: int) -> str:
+            return f"'{folder}/{RANGE}={value}'"
+
+        if new := [v for v in ranges if v not in known]:
+            added = " ".join(f"PARTITION ({RANGE}={v}) LOCATION {at(v)}" for v in new)
+            spark.sql(f"ALTER TABLE {self.name} ADD {added}")
+        for v in ranges:
+            if v in known:
+                spark.sql(f"ALTER TABLE {self.name} PARTITION ({RANGE}={v}) SET LOCATION {at(v)}")
 
-    @staticmethod
-    def _ranges_of(placed: DataFrame) -> list[int]:
-        """Distinct ranges, at most one per partition of the table."""
-        return sorted(r[0] for r in placed.select(RANGE).distinct().collect())
+    def _known_ranges(self, spark: SparkSession) -> list[int]:
+        rows = spark.sql(f"SHOW PARTITIONS {self.name}").collect()
+        return [int(row["partition"].split("=", 1)[1]) for row in rows]
 
     # -- creating and replacing ---------------------------------------------
     def create_if_absent(self, spark: SparkSession, schema: StructType) -> None:
@@ -114,7 +139,7 @@ class Table:
             return
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         layout = ""
-        if self.range_width:
+        if self.ranges:
             columns += f", {RANGE} bigint"
             layout = f"PARTITIONED BY ({RANGE})"
         spark.sql(
@@ -135,21 +160,17 @@ class Table:
             raise ValueError(f"{self.name}: columns differ in {sorted(extra)}")
         placed = self._placed(m.conform(df, current))
         folder = self._write_version(placed)
-        if self.range_width:
-            written = spark.read.schema(placed.schema).parquet(folder)
-            kept = self._ranges_of(written)
-            self._point_ranges(spark, folder, kept)
-            for value in set(self._ranges_of_catalog(spark)) - set(kept):
+        if self.ranges:
+            before = self._known_ranges(spark)
+            written = self.ranges.listed(spark.read.schema(placed.schema).parquet(folder))
+            self._point_ranges(spark, folder, written)
+            for value in set(before) - set(written):
                 spark.sql(f"ALTER TABLE {self.name} DROP PARTITION ({RANGE}={value})")
         else:
             spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(self.name)
         return self.read(spark).count()
 
-    def _ranges_of_catalog(self, spark: SparkSession) -> list[int]:
-        rows = spark.sql(f"SHOW PARTITIONS {self.name}").collect()
-        return [int(row["partition"].split("=", 1)[1]) for row in rows]
-
     # -- merging -------------------------------------------------------------
     def _provider(self, spark: SparkSession) -> str:
         described = spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
@@ -193,18 +214,21 @@ class Table:
         if not source_is_unique and (twice := m.duplicate_keys(staged, keys).first()):
             raise ValueError(f"{self.name}: key {twice.asDict()} occurs more than once in the batch")
 
-        before = whole.count()
-        incoming = staged.count()
+        before = whole.count()  # from the file footers
+        incoming, ranges = self._size(staged).first()
+        if before == 0:
+            self._append(staged)
+            return MergeCounts(before, incoming, 0, incoming)
         target = spark.table(self.name)
-        if self.range_width:
-            target = target.where(F.col(RANGE).isin(self._ranges_of(staged)))
+        if self.ranges:
+            target = target.where(F.col(RANGE).isin(ranges))
         condition = "false" if insert_only else update_when
         actions = m.classify(target, staged, keys, condition)
         changes = materialise(actions.where(F.col(m.ACTION) != "none"), "changes")
-        by_action = {r[m.ACTION]: r["count"] for r in changes.groupBy(m.ACTION).count().collect()}
-        counts = MergeCounts(
-            before, incoming, by_action.get("update", 0), by_action.get("insert", 0)
-        )
+        sizes = {row[0]: row[1:] for row in self._size(changes.groupBy(m.ACTION)).collect()}
+        updated, ranges = sizes.get("update", (0, []))
+        inserted, _ = sizes.get("insert", (0, []))
+        counts = MergeCounts(before, incoming, updated, inserted)
 
         if self._provider(spark) in MERGING_PROVIDERS:
             view = f"merge_source_{uuid.uuid4().hex}"
@@ -215,22 +239,30 @@ class Table:
 
         updates = changes.where(F.col(m.ACTION) == "update").drop(m.ACTION)
         inserts = changes.where(F.col(m.ACTION) == "insert").drop(m.ACTION)
-        if counts.updates:
-            if self.range_width:
-                ranges = self._ranges_of(updates)
-                target = target.where(F.col(RANGE).isin(ranges))
-                here = inserts.where(F.col(RANGE).isin(ranges))
-                inserts = inserts.where(~F.col(RANGE).isin(ranges))
-                rewritten = m.update_matched(target, updates, keys, update_when).unionByName(here)
-                self._point_ranges(spark, self._write_version(rewritten), ranges)
+        if updated:
+            here, inserts = inserts, None
+            if self.ranges:
+                # other ranges only grow: their new rows are appended below
+                touched = F.col(RANGE).isin(ranges)
+                target, inserts, here = target.where(touched), here.where(~touched), here.where(touched)
+            rewritten = m.update_matched(target, updates, keys, update_when).unionByName(here)
+            folder = self._write_version(rewritten)
+            if self.ranges:
+                self._point_ranges(spark, folder, ranges)
             else:
-                rewritten = m.update_matched(target, updates, keys, update_when)
-                folder = self._write_version(rewritten.unionByName(inserts))
                 spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{folder}'")
-                inserts = None
-        if counts.inserts and inserts is not None:
-            new = inserts.select(*spark.table(self.name).columns)
-            new = new.hint("rebalance", RANGE) if self.range_width else new
-            new.write.insertInto(self.name)
+        if inserted and inserts is not None:
+            self._append(inserts)
         spark.catalog.refreshTable(self.name)
         return counts
+
+    def _size(self, rows: DataFrame | GroupedData) -> DataFrame:
+        """Row count, and the ranges (at most one per partition) in one pass."""
+        ranges = F.collect_set(RANGE) if self.ranges else F.array()
+        return rows.agg(F.count(F.lit(1)), ranges)
+
+    def _append(self, placed: DataFrame) -> None:
+        rows = placed.select(*placed.sparkSession.table(self.name).columns)
+        rows = rows.hint("rebalance", RANGE) if self.ranges else rows
+        rows.write.insertInto(self.name)
+        placed.sparkSession.catalog.refreshTable(self.name)

@@ -20,9 +20,9 @@ from lakeloom.plans.jobs import build_gold, load_silver, run_silver, silver_targ
 from lakeloom.plans.lakehouse import Lakehouse
 from lakeloom.plans.silver import SILVER
 from lakeloom.plans.staging import STAGED_COLUMNS, stage
-from lakeloom.session import workspace
+from lakeloom.session import materialise, workspace
 from lakeloom.sinks import write_batch, write_full
-from lakeloom.sinks.tables import Table
+from lakeloom.sinks.tables import Ranges, Table
 from lakeloom.sources import control_rows, extract, read_batch, read_csv, read_full
 from lakeloom.sources.control import CONTROL_SCHEMA
 from lakeloom.streaming import stream_silver
@@ -42,17 +42,24 @@ def query(run: Callable[[Roles], DataFrame]) -> Callable[[Roles], DataFrame]:
     return run
 
 
-def new_lakehouse(spark: SparkSession, **widths: int) -> Lakehouse:
-    """An empty lakehouse of its own for one run of a query."""
+def new_lakehouse(r: Roles, *partitioned: str) -> Lakehouse:
+    """An empty lakehouse of its own for one run of a query.
+
+    partitioned: silver tables and the fact that are split by ranges of
+    ``order_id``, eight over the orders there are.
+    """
     tag = uuid.uuid4().hex[:10]
+    silver, gold_schema = f"silver_{tag}", f"gold_{tag}"
+    ranges = {}
+    if partitioned:
+        width = r.orders.agg(F.max("order_id") / 8 + 1).first()[0]
+        for name in partitioned:
+            schema = gold_schema if name == "fact_sales" else silver
+            ranges[f"{schema}.{name}"] = Ranges("order_id", int(width))
     lakehouse = Lakehouse(
-        workspace(spark, "lakehouse"),
-        silver=f"silver_{tag}",
-        gold=f"gold_{tag}",
-        control=f"etl_{tag}",
-        range_widths={f"silver_{tag}.{name}": width for name, width in widths.items()},
+        workspace(r.spark, "lakehouse"), silver, gold_schema, f"etl_{tag}", ranges
     )
-    lakehouse.create_schemas(spark)
+    lakehouse.create_schemas(r.spark)
     return lakehouse
 
 
@@ -101,7 +108,7 @@ def csv_source_scan(r: Roles) -> DataFrame:
 
 @query
 def catalog_table_scan(r: Roles) -> DataFrame:
-    lakehouse = new_lakehouse(r.spark)
+    lakehouse = new_lakehouse(r)
     target = lakehouse.table(lakehouse.silver, "marketing_spend")
     target.replace(r.silver("marketing_spend").where(F.col("channel") == "view"))
     target.replace(r.silver("marketing_spend"))
@@ -367,7 +374,7 @@ def _orders_table(lakehouse: Lakehouse) -> Table:
 @query
 def table_upsert_orders(r: Roles) -> DataFrame:
     """First run, then the change batch, into a table split by key range."""
-    lakehouse = new_lakehouse(r.spark, orders=2_000)
+    lakehouse = new_lakehouse(r, "orders")
     table, (target, source) = _orders_table(lakehouse), _merge_inputs(r)
     load_silver(SILVER["orders"], table, target)
     load_silver(SILVER["orders"], table, source)
@@ -377,7 +384,7 @@ def table_upsert_orders(r: Roles) -> DataFrame:
 @query
 def table_upsert_counts(r: Roles) -> DataFrame:
     """Counts of a first run, the change batch and its replay, plain layout."""
-    lakehouse = new_lakehouse(r.spark)
+    lakehouse = new_lakehouse(r)
     table, (target, source) = _orders_table(lakehouse), _merge_inputs(r)
     runs = [load_silver(SILVER["orders"], table, df) for df in (target, source, source)]
     rows = [
@@ -393,7 +400,7 @@ def table_upsert_counts(r: Roles) -> DataFrame:
 
 @query
 def table_insert_only_items(r: Roles) -> DataFrame:
-    lakehouse = new_lakehouse(r.spark, order_items=20_000)
+    lakehouse = new_lakehouse(r, "order_items")
     table = silver_target(lakehouse, SILVER["order_items"])
     for batch in _item_inputs(r):
         load_silver(SILVER["order_items"], table, batch)
@@ -402,7 +409,7 @@ def table_insert_only_items(r: Roles) -> DataFrame:
 
 @query
 def table_created_if_absent(r: Roles) -> DataFrame:
-    lakehouse = new_lakehouse(r.spark)
+    lakehouse = new_lakehouse(r)
     table = silver_target(lakehouse, SILVER["payments"])
     rows = r.silver("payments")
     table.create_if_absent(r.spark, rows.schema)
@@ -415,7 +422,7 @@ def table_created_if_absent(r: Roles) -> DataFrame:
 # -- ingestion and audit -----------------------------------------------------
 def _loaded_lakehouse(r: Roles) -> tuple[Lakehouse, Callable[[str, str], DataFrame]]:
     """A lakehouse whose sources were all loaded up to the cutoff's mark."""
-    lakehouse = new_lakehouse(r.spark)
+    lakehouse = new_lakehouse(r)
     control = lakehouse.control_table()
     control.replace(_control(r))
     return lakehouse, lambda schema, table: getattr(r, table)
@@ -446,7 +453,7 @@ def ingest_control_run(r: Roles) -> DataFrame:
 @query
 def audit_summary(r: Roles) -> DataFrame:
     """The audit log of three good runs and a failing one."""
-    lakehouse = new_lakehouse(r.spark)
+    lakehouse = new_lakehouse(r)
     write_full(r.customer_versions, lakehouse.bronze, "customers")
     write_full(r.marketing_spend, lakehouse.bronze, "marketing_spend")
     write_batch(r.orders_before, lakehouse.bronze, "orders", RUN_DATE)
@@ -542,6 +549,7 @@ def _fact_increment(r: Roles, **options) -> tuple[DataFrame, DataFrame]:
         r.dim_customers,
         r.dim_products,
     )
+    fact = materialise(fact, "fact")  # a stored table, as the fact is
     increment = gold.fact_sales_increment(
         fact, r.silver("order_items"), r.silver("orders"), r.dim_customers, r.dim_products, **options
     )
@@ -571,7 +579,7 @@ def fact_sales_lookback(r: Roles) -> DataFrame:
 
 def _built_gold(r: Roles) -> tuple[Lakehouse, DataFrame]:
     """Silver loaded in two daily batches, gold built after each."""
-    lakehouse = new_lakehouse(r.spark, order_items=20_000)
+    lakehouse = new_lakehouse(r, "orders", "order_items", "fact_sales")
     for name in ("customers", "products", "supplier_price_list"):
         load_silver(SILVER[name], silver_target(lakehouse, SILVER[name]), r.silver(name))
     on_time = r.order_items.where(F.col("created_at") < F.lit(CUTOFF).cast("timestamp_ntz"))
@@ -707,9 +715,9 @@ def orphan_rows(r: Roles) -> DataFrame:
 
 
 # -- streaming ---------------------------------------------------------------
-def _streamed(r: Roles, name: str, batches: list[DataFrame], **widths: int) -> DataFrame:
+def _streamed(r: Roles, name: str, batches: list[DataFrame], *partitioned: str) -> DataFrame:
     """Each batch arrives in its own folder and is streamed before the next."""
-    lakehouse = new_lakehouse(r.spark, **widths)
+    lakehouse = new_lakehouse(r, *partitioned)
     table, target = SILVER[name], silver_target(lakehouse, SILVER[name])
     checkpoint = workspace(r.spark, "stream")
     for day, batch in enumerate(batches, 1):
@@ -727,4 +735,4 @@ def stream_orders_upsert(r: Roles) -> DataFrame:
 
 @query
 def stream_items_insert_only(r: Roles) -> DataFrame:
-    return _streamed(r, "order_items", _item_batches(r), order_items=20_000)
+    return _streamed(r, "order_items", _item_batches(r), "order_items")

@@ -1,0 +1,37 @@
+import pytest
+
+import fixtures as fx
+from lakeloom.plans.jobs import silver_target
+from lakeloom.plans.silver import SILVER
+from lakeloom.sinks import write_batch
+from lakeloom.streaming import stream_silver
+
+
+def run(spark, lakehouse, name, schema, **options):
+    target = silver_target(lakehouse, SILVER[name])
+    folder = f"{lakehouse.bronze}/{name}"
+    stream = stream_silver(
+        spark, SILVER[name], target, folder, schema, f"{lakehouse.root}/checkpoint", **options
+    )
+    stream.awaitTermination()
+    return target.read(spark)
+
+
+def test_each_file_is_merged_once(spark, lakehouse, rows):
+    first = fx.orders(spark, (1, 1, "Placed", fx.day(1)), (2, 1, "Placed", fx.day(1)))
+    write_batch(first, lakehouse.bronze, "orders", "2025-01-01")
+    table = run(spark, lakehouse, "orders", first.schema)
+    assert table.count() == 2
+    second = fx.orders(spark, (1, 1, "Shipped", fx.day(2)), (2, 1, "Old", fx.day(1)), (3, 1, "Placed", None))
+    write_batch(second, lakehouse.bronze, "orders", "2025-01-02")
+    table = run(spark, lakehouse, "orders", first.schema, files_per_batch=1)
+    expected = [(1, "Shipped"), (2, "Placed"), (3, "Placed")]
+    assert rows(table.select("order_id", "status")) == expected
+    table = run(spark, lakehouse, "orders", first.schema)  # nothing new
+    assert rows(table.select("order_id", "status")) == expected
+    assert table.columns == first.columns
+
+
+def test_full_refresh_tables_do_not_stream(spark, lakehouse):
+    with pytest.raises(ValueError):
+        run(spark, lakehouse, "customers", fx.customers(spark).schema)
