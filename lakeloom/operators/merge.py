@@ -8,8 +8,8 @@ match.
 Both sides are shaped for a batch much smaller than its target. Every join that
 reads the target keeps it on the streamed side, so Spark can broadcast the batch
 when its size is under the broadcast threshold, and the target is then not
-shuffled at all. A larger batch falls back to sort-merge joins, whose skewed
-partitions AQE can split, as it cannot for a full outer join.
+shuffled at all. A larger batch falls back to sort-merge joins whose skewed
+partitions AQE can split (see ``spread``), as it cannot for a full outer join.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators.spread import SPREAD, spread_join, with_spread
+
 ACTION = "merge_action"
 _HIT = "__hit"
 _REPLACE = "__replace"
@@ -36,8 +38,14 @@ def conform(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _on(keys: Sequence[str]) -> Column:
-    return reduce(and_, (F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys))
+def _paired(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], how: str, by: Sequence[str] | None
+) -> DataFrame:
+    """Target and source joined on the keys, under the aliases of a condition."""
+    t = with_spread(target, keys, by).alias("target")
+    s = with_spread(source, keys, keys).alias("source")
+    on = (F.col(f"target.{k}") == F.col(f"source.{k}") for k in (*keys, SPREAD))
+    return t.join(s, reduce(and_, on), how)
 
 
 def _condition(update_when: str | None) -> Column:
@@ -53,8 +61,10 @@ def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     against the whole target would have to shuffle it.
     """
     keys = list(keys)
-    matched = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    return source.join(matched, keys, "left_anti").select(*source.columns)
+    matched = spread_join(
+        target.select(*keys), source.select(*keys), keys, "left_semi", by=keys
+    ).distinct()
+    return spread_join(source, matched, keys, "left_anti").select(*source.columns)
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,7 +78,7 @@ def update_matched(
 ) -> DataFrame:
     """Target rows, each replaced by its source row where the condition holds."""
     hits = conform(source, target).withColumn(_HIT, F.lit(True))
-    joined = target.alias("target").join(hits.alias("source"), _on(keys), "left")
+    joined = _paired(target, hits, keys, "left", by=None)
     replace = F.col(f"source.{_HIT}").isNotNull() & _condition(update_when)
     picked = joined.withColumn(_REPLACE, replace)
     return picked.select(
@@ -98,8 +108,10 @@ def update_candidates(
     target: DataFrame, source: DataFrame, keys: Sequence[str], update_when: str | None = None
 ) -> DataFrame:
     """Source rows that would replace a target row."""
-    joined = source.alias("source").join(target.alias("target"), _on(keys), "inner")
-    return joined.where(_condition(update_when)).select("source.*")
+    joined = _paired(target, source, keys, "inner", by=keys)
+    return joined.where(_condition(update_when)).select(
+        *(F.col(f"source.{name}") for name in source.columns)
+    )
 
 
 def classify(
@@ -110,7 +122,7 @@ def classify(
     Reads only the target's keys and the columns the condition names.
     """
     keys = list(keys)
-    pairs = target.alias("target").join(source.alias("source"), _on(keys), "inner")
+    pairs = _paired(target, source, keys, "inner", by=keys)
     hits = (
         pairs.select(
             *(F.col(f"source.{k}").alias(k) for k in keys),
@@ -124,7 +136,7 @@ def classify(
         .when(F.col(_REPLACE), F.lit("update"))
         .otherwise(F.lit("none"))
     )
-    return source.join(hits, keys, "left").select(*source.columns, action.alias(ACTION))
+    return spread_join(source, hits, keys, "left").select(*source.columns, action.alias(ACTION))
 
 
 def upsert_summary(

@@ -79,7 +79,7 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
         .groupBy(F.col(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    known = parent.select(F.col(parent_column).alias("value"))
+    known = parent.select(F.col(parent_column).alias("value")).distinct()
     return used.join(known, "value", "left_anti")
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators.spread import spread_join
+
 
 @dataclass(frozen=True)
 class Link:
@@ -49,9 +51,11 @@ class StarModel:
         out = self.fact
         for link in self.links:
             dim = self.dimensions[link.dimension]
-            renamed = dim.select(*(F.col(c).alias(f"{link.dimension}_{c}") for c in dim.columns))
-            match = F.col(link.fact_column) == F.col(f"{link.dimension}_{link.dimension_column}")
-            out = out.join(renamed, match, "left")
+            renamed = dim.select(
+                F.col(link.dimension_column).alias(link.fact_column),
+                *(F.col(c).alias(f"{link.dimension}_{c}") for c in dim.columns),
+            )
+            out = spread_join(out, renamed, [link.fact_column], "left", by=self.fact.columns)
         return out
 
     def query(
@@ -107,11 +111,10 @@ class StarModel:
         for link in links:
             columns = sorted({c for d, c in wanted.values() if d == link.dimension})
             dim = self.dimensions[link.dimension].select(
-                F.col(link.dimension_column).alias(f"__{link.dimension}"),
+                F.col(link.dimension_column).alias(link.fact_column),
                 *(F.col(c).alias(f"{link.dimension}.{c}") for c in columns),
             )
-            match = F.col(link.fact_column) == F.col(f"__{link.dimension}")
-            rows = rows.join(dim, match, "left")
+            rows = spread_join(rows, dim, [link.fact_column], "left", by=[*keys, *measures])
         for name in where:
             if wanted[name][0] is not None:
                 rows = rows.where(passes(name, F.col(f"`{flat(name)}`")))

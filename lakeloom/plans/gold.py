@@ -11,6 +11,7 @@ from lakeloom.functions import calendar_columns, high_water_mark, surrogate_key
 from lakeloom.operators.dedupe import latest_per_key
 from lakeloom.operators.merge import unmatched, upsert
 from lakeloom.operators.quality import Check, Condition, NotNull, Relationship, Unique
+from lakeloom.operators.spread import spread_join
 from lakeloom.operators.star import Link, StarModel
 from lakeloom.plans.staging import stage
 
@@ -43,9 +44,16 @@ def dim_products(
     prices then gets several rows, and its key is no longer unique.
     """
     staged = stage(products, "products")
-    listed = stage(prices, "supplier_price_list") if every_price else current_prices(prices, as_of)
-    costs = listed.select("product_id", "supplier_cost")
-    return staged.join(costs, "product_id", "left").select(
+    if every_price:
+        costs = stage(prices, "supplier_price_list").select("product_id", "supplier_cost")
+        # not a left join: a product with most of the prices could not be split there
+        priced = spread_join(costs, staged, ["product_id"], "inner", by=["product_id"])
+        unpriced = staged.join(costs.select("product_id").distinct(), "product_id", "left_anti")
+        joined = priced.unionByName(unpriced, allowMissingColumns=True)
+    else:
+        costs = current_prices(prices, as_of).select("product_id", "supplier_cost")
+        joined = staged.join(costs, "product_id", "left")
+    return joined.select(
         surrogate_key("product_id").alias("product_key"),
         *staged.columns,
         "supplier_cost",
@@ -76,25 +84,26 @@ def days_between(span: DataFrame) -> DataFrame:
 def _fact(items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Staged items and orders to fact rows. The dimensions bring only their keys,
     left to Spark to broadcast if they are small enough."""
+    by = ["order_item_id"]
     order_columns = orders.select("order_id", "customer_id", "order_date", "status", "updated_at")
-    return (
-        items.join(order_columns, "order_id")
-        .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
-        .join(products.select("product_id", "product_key"), "product_id", "left")
-        .select(
-            "order_item_id",
-            "order_id",
-            "customer_key",
-            "product_key",
-            "customer_id",
-            "product_id",
-            "order_date",
-            "quantity",
-            "item_price",
-            (F.col("quantity") * F.col("item_price")).alias("revenue"),
-            "status",
-            "updated_at",
-        )
+    customer_keys = customers.select("customer_id", "customer_key")
+    product_keys = products.select("product_id", "product_key")
+    sold = spread_join(items, order_columns, ["order_id"], "inner", by)
+    sold = spread_join(sold, customer_keys, ["customer_id"], "left", by)
+    sold = spread_join(sold, product_keys, ["product_id"], "left", by)
+    return sold.select(
+        "order_item_id",
+        "order_id",
+        "customer_key",
+        "product_key",
+        "customer_id",
+        "product_id",
+        "order_date",
+        "quantity",
+        "item_price",
+        (F.col("quantity") * F.col("item_price")).alias("revenue"),
+        "status",
+        "updated_at",
     )
 
 

@@ -1,0 +1,195 @@
+"""What the plans look like: no shuffle of the big side, skew split, scans pruned."""
+
+import re
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeloom.operators import dedupe, merge, quality
+from lakeloom.operators.spread import SPREAD, spread_join, with_spread
+from lakeloom.plans import gold
+from lakeloom.sinks.tables import RANGE, Ranges, Table
+from lakeloom.workload.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+NEWER = "source.t > target.t"
+
+
+@contextmanager
+def settings(spark, **values):
+    old = {k: spark.conf.get(k, None) for k in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Thresholds at which a few megabytes are skewed and nothing is broadcast."""
+    with settings(
+        spark,
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        },
+    ):
+        yield
+
+
+def final_plan(df):
+    """The plan after it has run."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.rsplit("== Initial Plan ==", 1)[0]
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot(spark, rows=200_000, parts=16):
+    """``k``: a third of the rows share one value, the others are all different."""
+    ids = spark.range(0, rows, 1, parts)
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    return ids.select(key.alias("k"), (F.col("id") % 100).alias("t"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+
+
+def skewed_joins(plan):
+    return re.findall(r"SortMergeJoin\(skew=true\)", plan)
+
+
+def test_hot_order_and_hot_product_are_split(spark, small_limits):
+    items = hot(spark).select(
+        F.col("v").alias("order_item_id"),
+        F.col("k").alias("order_id"),
+        F.col("k").alias("product_id"),
+        F.lit(2).alias("quantity"),
+        F.lit(1.5).cast("decimal(10,2)").alias("item_price"),
+    )
+    keys = hot(spark).select("k").distinct()
+    orders = keys.select(
+        F.col("k").alias("order_id"),
+        F.when(F.col("k") % 2 == 0, F.col("k")).alias("customer_id"),
+        F.lit("2025-01-01").cast("date").alias("order_date"),
+        F.lit("Placed").alias("status"),
+        F.lit(1).alias("order_amount"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+    customers = keys.select(F.col("k").alias("customer_id"), F.sha2(F.col("k").cast("string"), 256).alias("customer_key"))
+    products = keys.select(F.col("k").alias("product_id"), F.sha2(F.col("k").cast("string"), 256).alias("product_key"))
+    fact = gold.fact_sales(items, orders, customers, products)
+    # items to orders and items to products; the hot order has no customer,
+    # and rows without one are spread
+    assert len(skewed_joins(final_plan(fact))) == 2
+    assert fact.count() == 200_000
+
+
+def largest_share(df, keys):
+    """Largest part of the rows that a shuffle for a spread join gives one task."""
+    spread = with_spread(df, keys).repartition(64, *keys, SPREAD)
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_rows_without_a_key_are_spread(spark, small_limits):
+    target = hot(spark).withColumn("k", F.when(F.col("k") >= 0, F.col("k")))
+    assert target.where("k is null").count() == 66_667
+    assert largest_share(target, ["k"]) < 0.03
+    source = target.withColumn("t", F.col("t") + 1)
+    merged = merge.upsert(target, source, ["k"], NEWER)
+    assert merged.count() == 200_000 + 66_667
+    assert merged.where("k is null").count() == 2 * 66_667
+    assert merge.upsert_summary(target, source, ["k"], NEWER).first().asDict() == {
+        "before_count": 200_000, "incoming_count": 200_000, "update_count": 133_333,
+        "insert_count": 66_667, "after_count": 266_667, "row_count": 200_000,
+    }
+
+
+def test_a_hot_key_is_split_though_the_other_side_is_grouped(spark, small_limits):
+    grouped = hot(spark).groupBy("k").agg(F.max("v").alias("w"))
+    assert skewed_joins(final_plan(spread_join(hot(spark), grouped, ["k"], "left")))
+    assert not skewed_joins(final_plan(hot(spark).join(grouped, "k", "left")))
+
+
+def test_a_small_batch_never_shuffles_the_target(spark, tmp_path):
+    hot(spark).where("k >= 0").write.parquet(f"{tmp_path}/target")
+    target = spark.read.parquet(f"{tmp_path}/target")
+    target.limit(500).write.parquet(f"{tmp_path}/source")
+    source = spark.read.parquet(f"{tmp_path}/source")
+    for df in (
+        merge.upsert(target, source, ["k"], NEWER),
+        merge.insert_only(target, source, ["k"]),
+        merge.upsert_summary(target, source, ["k"], NEWER),
+    ):
+        plan = final_plan(df)
+        # shuffled are the batch, and those of its keys that the target holds
+        wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert len(wide) <= 2
+    # telling the actions apart reads two columns of the target
+    plan = planned(merge.classify(target, source, ["k"], NEWER))
+    assert "ReadSchema: struct<k:bigint,t:bigint>" in plan
+
+
+@pytest.mark.parametrize("pick", [dedupe.latest_per_key, dedupe.first_ranked])
+def test_dedupe_reduces_before_the_shuffle(spark, pick):
+    lines = planned(pick(hot(spark), ["k"], ["t"])).splitlines()
+    exchange = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    below = "\n".join(lines[exchange:])
+    assert "partial_max" in below or "WindowGroupLimit" in below
+
+
+def test_unique_key_lets_a_left_join_go(spark):
+    dim = dedupe.latest_per_key(hot(spark), ["k"], ["t"]).withColumnRenamed("v", "dim_v")
+    fact = hot(spark).join(dim.select("k", "dim_v"), "k", "left").groupBy("v").count()
+    assert "Join" not in planned(fact)
+
+
+def test_checks_count_before_they_shuffle(spark):
+    child, parent = hot(spark), hot(spark).where("k >= 0")
+    plan = planned(quality.orphans(child, "k", parent, "k"))
+    below = plan[plan.index("Exchange") :]
+    assert "partial_count" in below
+    assert quality.orphans(child, "k", parent, "k").first().rows == 66_667
+
+
+def test_star_sums_before_it_joins(spark):
+    model_plan = planned(QUERIES["star_revenue_by_category"](spark, SF_DIR))
+    sums = [m.start() for m in re.finditer(r"partial_sum\(revenue", model_plan)]
+    assert len(sums) == 2  # per product before the join, per category after it
+    # the customer dimension, the price list and the calendar are not needed
+    assert "customer.parquet" not in model_plan and "supplier.parquet" not in model_plan
+
+
+def test_scans_are_pruned(spark):
+    plan = planned(QUERIES["incremental_extract"](spark, SF_DIR))
+    assert "PushedFilters: [IsNotNull(o_orderdate)" in plan
+    plan = planned(QUERIES["stg_payments"](spark, SF_DIR))
+    assert "EqualTo(event_type,purchase)" in plan
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
+
+
+def test_only_wanted_ranges_are_scanned(spark, lakehouse):
+    table = Table(f"{lakehouse.silver}.t", f"{lakehouse.root}/t", ("k",), Ranges("k", 50_000))
+    table.replace(hot(spark).where("k >= 0"))
+    plan = planned(table.read(spark, ranges=[1]))
+    assert f"PartitionFilters: [isnotnull({RANGE}" in plan
+    assert len(table.read(spark, ranges=[1]).inputFiles()) < len(table.read(spark).inputFiles())
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_cross_joins_and_no_python(spark, name):
+    if name.startswith(("stream_", "table_", "gold_", "ingest_", "audit_", "watermark_")):
+        pytest.skip("runs jobs of its own; made of the operators checked here")
+    plan = planned(QUERIES[name](spark, SF_DIR))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
+        assert node not in plan
