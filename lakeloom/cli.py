@@ -3,19 +3,25 @@
     spark-submit --py-files lakeloom.zip lakeloom/cli.py \\
         silver orders --root s3://bucket/lake --run_date 2026-01-31
     spark-submit --py-files lakeloom.zip lakeloom/cli.py gold --root s3://bucket/lake
+    spark-submit --py-files lakeloom.zip lakeloom/cli.py \\
+        ingest --root s3://bucket/lake --run_date 2026-01-31 \\
+        --jdbc_url jdbc:sqlserver://host --jdbc_option user=loader --split orders:order_id:1:9000000:64
 """
 
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from pyspark.sql import SparkSession
 
 from lakeloom.plans.audit import AuditRecord
+from lakeloom.plans.ingest import ingest
 from lakeloom.plans.jobs import build_gold, run_silver
 from lakeloom.plans.lakehouse import Lakehouse
 from lakeloom.plans.silver import SILVER
 from lakeloom.session import tune
+from lakeloom.sources import JdbcSource, Split
 
 RUN_IDS = (
     "pipeline_name", "pipeline_run_id", "job_name", "job_run_id", "task_name", "task_run_id",
@@ -35,12 +41,27 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("table", choices=sorted(SILVER))
     silver.add_argument("--run_date")
     silver.add_argument("--strict", action="store_true")
+    ingestion = jobs.add_parser("ingest", parents=[shared])
+    ingestion.add_argument("--run_date", required=True)
+    ingestion.add_argument("--jdbc_url", required=True)
+    ingestion.add_argument("--jdbc_option", action="append", default=[], metavar="NAME=VALUE")
+    ingestion.add_argument(
+        "--split", action="append", default=[], metavar="TABLE:COLUMN:LOWER:UPPER:PARTS"
+    )
     gold = jobs.add_parser("gold", parents=[shared])
     gold.add_argument("--as_of")
     gold.add_argument("--catch_up", action="store_true")
     return top
 
 
+def jdbc_source(args: argparse.Namespace) -> JdbcSource:
+    splits = {}
+    for text in args.split:
+        table, column, lower, upper, parts = text.split(":")
+        splits[table] = Split(column, lower, upper, int(parts))
+    return JdbcSource(args.jdbc_url, dict(o.split("=", 1) for o in args.jdbc_option), splits)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = tune(SparkSession.builder.appName(args.task_name or "lakeloom").getOrCreate())
@@ -51,6 +72,10 @@ def main(argv: list[str] | None = None) -> None:
         return
     ids = {name: getattr(args, name) for name in RUN_IDS}
     record = AuditRecord("", "", "", orchestrator="spark-submit", **ids)
+    if args.job == "ingest":
+        source = jdbc_source(args)
+        print(ingest(spark, lakehouse, partial(source.read, spark), args.run_date, record))
+        return
     print(run_silver(spark, lakehouse, args.table, args.run_date, record, strict=args.strict))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -152,9 +153,14 @@ def fact_sales_merged(fact: DataFrame, increment: DataFrame) -> DataFrame:
 
 
 def sales_model(
-    fact: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame
+    fact: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    dates: DataFrame,
+    measures: Sequence[str] = ("quantity", "item_price", "revenue"),
 ) -> StarModel:
-    """What reports may ask: sums of the fact by any attribute."""
+    """What reports may ask: sums of the fact by any attribute. Sums of ids mean
+    nothing, so ids are not measures unless named."""
     return StarModel(
         fact=fact,
         dimensions={"dim_customers": customers, "dim_products": products, "dim_date": dates},
@@ -163,7 +169,7 @@ def sales_model(
             Link("product_id", "dim_products", "product_id"),
             Link("order_date", "dim_date", "date_day"),
         ),
-        measures=("quantity", "item_price", "revenue"),
+        measures=measures,
         attributes=("customer_id", "product_id", "order_date", "status"),
     )
 

@@ -60,6 +60,7 @@ def ingest(
             activity_name=f"Data Ingestion: {row.table_name}",
             load_type=row.load_type.upper(),
             run_date=None,
+            task_name=None,
         )
         try:
             with audited(sink, this) as outcome:

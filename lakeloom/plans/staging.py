@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# What each staged table consists of.
 STAGED_COLUMNS = {
     "customers": ("customer_id", "customer_name", "email", "city", "signup_date"),
     "products": ("product_id", "product_name", "category", "unit_price"),

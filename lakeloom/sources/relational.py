@@ -8,44 +8,50 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 
+@dataclass(frozen=True)
+class Split:
+    """Read a table in ``parts`` ranges of a numeric, date or time column, each
+    over a connection of its own. The bounds only place the cuts: rows outside
+    them are read too."""
+
+    column: str
+    lower: object
+    upper: object
+    parts: int
+
+
 @dataclass(frozen=True)
 class JdbcSource:
-    """One database. ``options`` carries driver, user, password and the like.
+    """One database.
 
-    A partition column with its bounds makes Spark read a table over
-    ``num_partitions`` connections; without one a single task reads it all.
+    options: driver, user, password and the like.
+    splits:  table -> how to read it in parallel; a table without one is read
+             by a single task, which only suits small tables.
     """
 
     url: str
     options: Mapping[str, str] = field(default_factory=dict)
+    splits: Mapping[str, Split] = field(default_factory=dict)
     fetch_size: int = 10_000
 
-    def reader_options(
-        self,
-        schema: str,
-        table: str,
-        partition_column: str | None = None,
-        lower_bound: object = None,
-        upper_bound: object = None,
-        num_partitions: int | None = None,
-    ) -> dict[str, str]:
+    def reader_options(self, schema: str, table: str) -> dict[str, str]:
         options = {
             "url": self.url,
             "dbtable": f"{schema}.{table}",
             "fetchsize": str(self.fetch_size),
             # `watermark > last` runs in the database, so only new rows travel
             "pushDownPredicate": "true",
+            "preferTimestampNTZ": "true",
             **self.options,
         }
-        if partition_column is not None:
+        if split := self.splits.get(table):
             options |= {
-                "partitionColumn": partition_column,
-                "lowerBound": str(lower_bound),
-                "upperBound": str(upper_bound),
-                "numPartitions": str(num_partitions),
+                "partitionColumn": split.column,
+                "lowerBound": str(split.lower),
+                "upperBound": str(split.upper),
+                "numPartitions": str(split.parts),
             }
         return options
 
-    def read(self, spark: SparkSession, schema: str, table: str, **partitioning) -> DataFrame:
-        options = self.reader_options(schema, table, **partitioning)
-        return spark.read.format("jdbc").options(**options).load()
+    def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**self.reader_options(schema, table)).load()

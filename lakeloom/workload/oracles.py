@@ -44,6 +44,11 @@ SILVER_ORDER_COLUMNS = (
     "CAST(order_amount AS DECIMAL(12,2)) AS order_amount, created_at, updated_at"
 )
 
+VALID_ITEM = (
+    "order_item_id IS NOT NULL AND order_id IS NOT NULL AND product_id IS NOT NULL "
+    "AND quantity > 0 AND item_price >= 0"
+)
+
 PARTS: dict[str, str] = {
     # bronze
     "b_customers": f"""
@@ -112,24 +117,28 @@ PARTS: dict[str, str] = {
     # silver
     "customers_s": f"""
         SELECT customer_id, customer_name, email, {_title("city")} AS city,
-               CAST(signup_date AS DATE) AS signup_date FROM b_customers""",
+               CAST(signup_date AS DATE) AS signup_date
+        FROM b_customers WHERE customer_id IS NOT NULL""",
     "products_s": """
         SELECT product_id, trim(product_name, ' ') AS product_name,
-               trim(category, ' ') AS category, unit_price FROM b_products""",
-    "orders_s": f"SELECT {SILVER_ORDER_COLUMNS} FROM b_orders",
-    "orders_before_s": f"SELECT {SILVER_ORDER_COLUMNS} FROM b_orders_before",
-    "changes_s": f"SELECT {SILVER_ORDER_COLUMNS} FROM b_order_changes",
-    "items_s": _latest("b_items", "order_item_id", ITEM_ORDER),
-    "items_before_s": _latest("b_items_before", "order_item_id", ITEM_ORDER),
-    "items_dearer_s": _latest("b_items_dearer", "order_item_id", ITEM_ORDER),
+               trim(category, ' ') AS category, unit_price
+        FROM b_products WHERE product_id IS NOT NULL""",
+    "orders_s": f"SELECT {SILVER_ORDER_COLUMNS} FROM b_orders WHERE order_id IS NOT NULL",
+    "orders_before_s": f"SELECT {SILVER_ORDER_COLUMNS} FROM b_orders_before WHERE order_id IS NOT NULL",
+    "changes_s": f"SELECT {SILVER_ORDER_COLUMNS} FROM b_order_changes WHERE order_id IS NOT NULL",
+    "items_s": _latest(f"b_items WHERE {VALID_ITEM}", "order_item_id", ITEM_ORDER),
+    "items_before_s": _latest(f"b_items_before WHERE {VALID_ITEM}", "order_item_id", ITEM_ORDER),
+    "items_dearer_s": _latest(f"b_items_dearer WHERE {VALID_ITEM}", "order_item_id", ITEM_ORDER),
     "payments_s": """
         SELECT payment_id, order_id, amount, method, paid_at, updated_at FROM (
           SELECT payment_id, order_id, TRY_CAST(amount AS DECIMAL(12,2)) AS amount,
                  trim(method, ' ') AS method, TRY_CAST(paid_at AS TIMESTAMP) AS paid_at,
                  TRY_CAST(updated_at AS TIMESTAMP) AS updated_at
           FROM b_payments)
+        WHERE payment_id IS NOT NULL AND order_id IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY payment_id
-          ORDER BY updated_at DESC, order_id DESC, amount DESC, method DESC, paid_at DESC) = 1""",
+          ORDER BY updated_at DESC NULLS LAST, order_id DESC NULLS LAST, amount DESC NULLS LAST,
+                   method DESC NULLS LAST, paid_at DESC NULLS LAST) = 1""",
     "spend_s": """
         SELECT * FROM (
           SELECT TRY_CAST(spend_date AS DATE) AS spend_date, trim(channel, ' ') AS channel,
@@ -142,7 +151,7 @@ PARTS: dict[str, str] = {
                trim(supplier_name, ' ') AS supplier_name,
                TRY_CAST(supplier_cost AS DECIMAL(12,2)) AS supplier_cost,
                TRY_CAST(effective_date AS DATE) AS effective_date
-        FROM b_prices WHERE TRY_CAST(supplier_cost AS DECIMAL(12,2)) IS NOT NULL""",
+        FROM b_prices WHERE product_id IS NOT NULL AND TRY_CAST(supplier_cost AS DECIMAL(12,2)) IS NOT NULL""",
     # merges
     "merged_orders": """
         SELECT coalesce(t.order_id, s.order_id) AS order_id,
@@ -351,7 +360,7 @@ STATEMENTS: dict[str, str] = {
     "bronze_full_scan": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
     "bronze_batch_scan": f"""
         SELECT *, CASE WHEN order_date < {CUT} THEN '2026-01-30' ELSE '2026-01-31' END AS batch
-        FROM b_orders""",
+        FROM b_orders WHERE order_date IS NOT NULL""",
     "csv_source_scan": """
         SELECT *, 'say "' || channel || '", please' AS note FROM b_spend""",
     "catalog_table_scan": "SELECT * FROM spend_s",
@@ -376,12 +385,12 @@ STATEMENTS: dict[str, str] = {
     ),
     "silver_order_items": "SELECT * FROM items_s",
     "silver_order_items_clean_first": _latest(
-        "(SELECT * FROM b_items_faulty WHERE quantity > 0 AND item_price >= 0)",
+        f"(SELECT * FROM b_items_faulty WHERE {VALID_ITEM})",
         "order_item_id", ITEM_ORDER,
     ),
     "silver_order_items_dedupe_first": (
         f"SELECT * FROM ({_latest('b_items_faulty', 'order_item_id', ITEM_ORDER)}) "
-        "WHERE quantity > 0 AND item_price >= 0"
+        f"WHERE {VALID_ITEM}"
     ),
     "silver_payments": "SELECT * FROM payments_s",
     "cleaning_rejects": """
@@ -391,13 +400,16 @@ STATEMENTS: dict[str, str] = {
                count(*) FILTER (TRY_CAST(spend_amount AS DECIMAL(12,2)) IS NULL) FROM b_spend
         UNION ALL SELECT 'marketing_spend', 'clicks is not null',
                count(*) FILTER (clicks IS NULL) FROM b_spend
-        UNION ALL SELECT 'order_items', 'order_item_id is not null', 0
-        UNION ALL SELECT 'order_items', 'order_id is not null', 0
-        UNION ALL SELECT 'order_items', 'product_id is not null', 0
+        UNION ALL SELECT 'order_items', 'order_item_id is not null',
+               count(*) FILTER (order_item_id IS NULL) FROM b_items_faulty
+        UNION ALL SELECT 'order_items', 'order_id is not null',
+               count(*) FILTER (order_id IS NULL) FROM b_items_faulty
+        UNION ALL SELECT 'order_items', 'product_id is not null',
+               count(*) FILTER (product_id IS NULL) FROM b_items_faulty
         UNION ALL SELECT 'order_items', 'quantity > 0',
-               count(*) FILTER (quantity <= 0) FROM b_items_faulty
+               count(*) FILTER (quantity > 0 IS NOT TRUE) FROM b_items_faulty
         UNION ALL SELECT 'order_items', 'item_price >= 0',
-               count(*) FILTER (item_price < 0) FROM b_items_faulty""",
+               count(*) FILTER (item_price >= 0 IS NOT TRUE) FROM b_items_faulty""",
     "latest_per_key": _latest(
         "lineitem", "l_partkey",
         _desc("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"),
@@ -467,7 +479,7 @@ STATEMENTS: dict[str, str] = {
     ),
     "duplicate_source_keys": """
         SELECT order_item_id, count(*) AS occurrences FROM b_items
-        GROUP BY order_item_id HAVING count(*) > 1""",
+        WHERE order_item_id IS NOT NULL GROUP BY order_item_id HAVING count(*) > 1""",
     "table_upsert_counts": """
         SELECT CAST(1 AS INT) AS run, 0::BIGINT AS before_count, b AS incoming_count,
                0::BIGINT AS update_count, b AS insert_count, b AS after_count, b AS row_count
@@ -531,7 +543,7 @@ STATEMENTS: dict[str, str] = {
         FROM (SELECT {_SHIPPED}, CAST(l_shipdate AS DATE) AS day FROM lineitem)""",
     "surrogate_keys": """
         SELECT order_id, md5(CAST(order_id AS VARCHAR)) AS order_key,
-               md5(CAST(customer_id AS VARCHAR) || '-' ||
+               md5(coalesce(CAST(customer_id AS VARCHAR), '~null~') || '-' ||
                    coalesce(nullif(status, 'O'), '~null~')) AS customer_status_key
         FROM b_orders""",
     "fact_sales_full": "SELECT * FROM fact",
@@ -604,7 +616,7 @@ STATEMENTS: dict[str, str] = {
     ),
     "orphan_rows": """
         SELECT order_id AS value, count(*) AS "rows" FROM b_items
-        WHERE order_id NOT IN (SELECT order_id FROM b_orders_before) GROUP BY order_id""",
+        WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM b_orders_before) GROUP BY order_id""",
 }
 
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in STATEMENTS.items()}

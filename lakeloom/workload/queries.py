@@ -556,6 +556,12 @@ def _fact_increment(r: Roles, **options) -> tuple[DataFrame, DataFrame]:
     return fact, increment
 
 
+def _merged_fact(r: Roles, **options) -> DataFrame:
+    fact, increment = _fact_increment(r, **options)
+    # the merge reads its batch more than once, so it is staged as in a table merge
+    return gold.fact_sales_merged(fact, materialise(increment, "increment"))
+
+
 @query
 def fact_sales_increment(r: Roles) -> DataFrame:
     return _fact_increment(r)[1]
@@ -563,12 +569,12 @@ def fact_sales_increment(r: Roles) -> DataFrame:
 
 @query
 def fact_sales_incremental(r: Roles) -> DataFrame:
-    return gold.fact_sales_merged(*_fact_increment(r))
+    return _merged_fact(r)
 
 
 @query
 def fact_sales_catch_up(r: Roles) -> DataFrame:
-    return gold.fact_sales_merged(*_fact_increment(r, catch_up=True))
+    return _merged_fact(r, catch_up=True)
 
 
 @query
@@ -586,7 +592,7 @@ def _built_gold(r: Roles) -> tuple[Lakehouse, DataFrame]:
     for orders, items in ((r.orders_before, on_time), (r.orders, r.order_items)):
         for name, bronze in (("orders", orders), ("order_items", items)):
             load_silver(SILVER[name], silver_target(lakehouse, SILVER[name]), r.silver(name, bronze))
-        results = build_gold(r.spark, lakehouse)
+        results = build_gold(r.spark, lakehouse, check=False)
     return lakehouse, results
 
 

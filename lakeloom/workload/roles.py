@@ -29,9 +29,14 @@ class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._silver: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A test table; its footer is read once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # -- bronze --------------------------------------------------------------
     @cached_property
@@ -179,7 +184,12 @@ class Roles:
 
     # -- silver --------------------------------------------------------------
     def silver(self, name: str, bronze: DataFrame | None = None) -> DataFrame:
-        return SILVER[name].transform(getattr(self, name) if bronze is None else bronze)
+        """The silver form of a table, or of other bronze rows for it."""
+        if bronze is not None:
+            return SILVER[name].transform(bronze)
+        if name not in self._silver:
+            self._silver[name] = SILVER[name].transform(getattr(self, name))
+        return self._silver[name]
 
     # -- gold ----------------------------------------------------------------
     @cached_property

@@ -1,0 +1,59 @@
+"""All queries on tables with hot keys and nulls: a third of the rows share one
+order, product, customer or user, and a part of the keys and values is missing."""
+
+import tempfile
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from compare import TABLES, compare, connect
+
+SOURCE = "/root/testdata/sf0.001"
+CHANGES = {
+    "customer": {"c_nationkey": "CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE c_nationkey END"},
+    "orders": {
+        "o_custkey": """CASE WHEN o_orderkey % 3 = 0 THEN 5 WHEN o_orderkey % 10 = 1 THEN NULL
+                        ELSE o_custkey END""",
+        "o_orderdate": "CASE WHEN o_orderkey % 17 = 2 THEN NULL ELSE o_orderdate END",
+        "o_orderstatus": "CASE WHEN o_orderkey % 19 = 2 THEN NULL ELSE o_orderstatus END",
+    },
+    "lineitem": {
+        "l_orderkey": """CASE WHEN (l_suppkey + l_linenumber) % 3 = 0 THEN 7
+                         WHEN l_quantity = 20 THEN NULL ELSE l_orderkey END""",
+        "l_partkey": """CASE WHEN l_quantity < 17 THEN 11 WHEN l_quantity = 30 THEN NULL
+                        ELSE l_partkey END""",
+        "l_suppkey": "CASE WHEN l_quantity > 40 THEN 3 ELSE l_suppkey END",
+        "l_shipdate": "CASE WHEN l_quantity = 33 THEN NULL ELSE l_shipdate END",
+    },
+    "events": {
+        "user_id": """CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 7 = 1 THEN NULL
+                      ELSE user_id END""",
+        "value": "CASE WHEN event_id % 11 = 1 THEN NULL ELSE value END",
+    },
+}
+
+
+@pytest.fixture(scope="module")
+def hard_dir():
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    connection = duckdb.connect()
+    for table in TABLES:
+        replaced = ", ".join(f"({e}) AS {c}" for c, e in CHANGES.get(table, {}).items())
+        columns = f"* REPLACE ({replaced})" if replaced else "*"
+        connection.execute(
+            f"COPY (SELECT {columns} FROM read_parquet('{SOURCE}/{table}.parquet')) "
+            f"TO '{folder}/{table}.parquet' (FORMAT parquet)"
+        )
+    return folder
+
+
+@pytest.fixture(scope="module")
+def sql(hard_dir):
+    return connect(hard_dir)
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_same_result(spark, sql, hard_dir, name):
+    result = contract.queries()[name](spark, hard_dir)
+    assert compare(result, sql, contract.oracle_sql()[name]) == []

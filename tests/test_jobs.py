@@ -247,3 +247,13 @@ def test_command_line(spark, lakehouse, capsys):
     shown = capsys.readouterr().out
     assert "MergeCounts(before=0, incoming=1, updates=0, inserts=1)" in shown
     assert "relationships" in shown
+
+
+def test_ingestion_arguments():
+    args = cli.parser().parse_args(
+        ["ingest", "--root", "r", "--run_date", "2025-01-01", "--jdbc_url", "jdbc:x",
+         "--jdbc_option", "password=a=b", "--split", "orders:order_id:1:100:4"]
+    )
+    source = cli.jdbc_source(args)
+    assert source.options == {"password": "a=b"}
+    assert source.reader_options("dbo", "orders")["numPartitions"] == "4"

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 
 from lakeloom.session import materialise, workspace
 from lakeloom.sinks import write_batch, write_full
-from lakeloom.sources import JdbcSource, control_rows, extract, read_batch, read_csv, read_full
+from lakeloom.sources import JdbcSource, Split, control_rows, extract, read_batch, read_csv, read_full
 from lakeloom.sources.control import CONTROL_SCHEMA
 
 
@@ -87,15 +87,17 @@ def test_bad_control_rows(spark, row):
 
 
 def test_jdbc_options():
-    source = JdbcSource("jdbc:x://host/db", {"user": "u"})
+    split = Split("order_id", 1, 1000, 8)
+    source = JdbcSource("jdbc:x://host/db", {"user": "u"}, {"orders": split})
+    plain = {
+        "url": "jdbc:x://host/db", "dbtable": "dbo.customers", "fetchsize": "10000",
+        "pushDownPredicate": "true", "preferTimestampNTZ": "true", "user": "u",
+    }
+    assert source.reader_options("dbo", "customers") == plain
     assert source.reader_options("dbo", "orders") == {
-        "url": "jdbc:x://host/db", "dbtable": "dbo.orders", "fetchsize": "10000",
-        "pushDownPredicate": "true", "user": "u",
+        **plain, "dbtable": "dbo.orders", "partitionColumn": "order_id",
+        "lowerBound": "1", "upperBound": "1000", "numPartitions": "8",
     }
-    split = source.reader_options("dbo", "orders", "order_id", 1, 1000, 8)
-    assert (split["partitionColumn"], split["lowerBound"], split["numPartitions"]) == (
-        "order_id", "1", "8",
-    )
 
 
 def test_scratch_is_in_the_shared_folder(spark, rows):
