@@ -13,11 +13,15 @@ from lakeloom.operators.spread import spread_join
 
 @dataclass(frozen=True)
 class Link:
-    """Many fact rows to one dimension row."""
+    """Many fact rows to one dimension row.
+
+    small: the dimension does not grow with the data, as a calendar does not.
+    """
 
     fact_column: str
     dimension: str
     dimension_column: str
+    small: bool = False
 
 
 @dataclass(frozen=True)
@@ -69,10 +73,10 @@ class StarModel:
 
         by:    attributes, as ``dimension.column`` or a fact attribute.
         where: attribute -> wanted value, or list of wanted values.
-        eager: sum the fact by its link columns before joining. The join then
-               moves one row per link value instead of all fact rows, and a
-               value that holds most of the fact is summed before any shuffle.
-               Sums of sums are exact.
+        eager: also sum before the last dimension is joined. That join then moves
+               one row per link value and attributes so far, not all fact rows,
+               and a link value on most rows is summed before any shuffle. Sums
+               of sums are exact. Small dimensions are joined first.
 
         A fact row without a dimension row is kept, with null attributes.
         """
@@ -91,33 +95,34 @@ class StarModel:
             raise ValueError(f"no link to {sorted(missing)}")
 
         def flat(name: str) -> str:
-            dimension, column = wanted[name]
-            return f"{dimension}.{column}" if dimension else column
-
-        def passes(name: str, column: Column) -> Column:
-            value = where[name]
-            return column.isin(value) if isinstance(value, (list, tuple, set)) else column == value
-
-        own = sorted({column for dimension, column in wanted.values() if not dimension})
-        keys = sorted({link.fact_column for link in links} | set(own))
-        rows = self.fact
-        for name in where:
-            if wanted[name][0] is None:
-                rows = rows.where(passes(name, F.col(wanted[name][1])))
-        rows = rows.select(*keys, *measures)
-        if eager and links:
-            rows = rows.groupBy(*keys).agg(*(F.sum(m).alias(m) for m in measures))
-
+            """Column name while the query runs; attributes of two dimensions may share one."""
+            return f"__{name.replace('.', '__')}" if "." in name else name
+
+        def kept(rows: DataFrame, dimension: str | None) -> DataFrame:
+            """``rows`` that pass the filters on one dimension, or on the fact itself."""
+            for name, value in where.items():
+                if wanted[name][0] == dimension:
+                    column = F.col(flat(name))
+                    many = isinstance(value, (list, tuple, set))
+                    rows = rows.where(column.isin(list(value)) if many else column == value)
+            return rows
+
+        def summed(rows: DataFrame, *groups: Column | str) -> DataFrame:
+            return rows.groupBy(*groups).agg(*(F.sum(m).alias(m) for m in measures))
+
+        links.sort(key=lambda link: not link.small)
+        held = {name for name in wanted if wanted[name][0] is None}
+        keys = {link.fact_column for link in links}
+        rows = kept(self.fact, None).select(*sorted(held | keys), *measures)
         for link in links:
-            columns = sorted({c for d, c in wanted.values() if d == link.dimension})
+            if eager and link is links[-1]:
+                rows = summed(rows, *sorted(held | {link.fact_column}))
+            names = [n for n in wanted if wanted[n][0] == link.dimension]
             dim = self.dimensions[link.dimension].select(
                 F.col(link.dimension_column).alias(link.fact_column),
-                *(F.col(c).alias(f"{link.dimension}.{c}") for c in columns),
+                *(F.col(wanted[n][1]).alias(flat(n)) for n in names),
             )
-            rows = spread_join(rows, dim, [link.fact_column], "left", by=[*keys, *measures])
-        for name in where:
-            if wanted[name][0] is not None:
-                rows = rows.where(passes(name, F.col(f"`{flat(name)}`")))
+            rows = kept(spread_join(rows, dim, [link.fact_column], "left"), link.dimension)
+            held |= {flat(n) for n in names}
 
-        groups = [F.col(f"`{flat(name)}`").alias(wanted[name][1]) for name in by]
-        return rows.groupBy(*groups).agg(*(F.sum(m).alias(m) for m in measures))
+        return summed(rows, *(F.col(flat(name)).alias(wanted[name][1]) for name in by))

@@ -167,7 +167,7 @@ def sales_model(
         links=(
             Link("customer_id", "dim_customers", "customer_id"),
             Link("product_id", "dim_products", "product_id"),
-            Link("order_date", "dim_date", "date_day"),
+            Link("order_date", "dim_date", "date_day", small=True),
         ),
         measures=measures,
         attributes=("customer_id", "product_id", "order_date", "status"),

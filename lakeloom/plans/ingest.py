@@ -23,13 +23,14 @@ Reader = Callable[[str, str], DataFrame]
 
 
 def advanced(control: DataFrame, table_name: str, run_start: datetime) -> DataFrame:
-    """The control row of one table with its mark set to the run's start.
+    """The control table with the mark of one source set to the run's start.
 
     The start, not the end: a row written during the run is read again next
     time rather than missed.
     """
     mark = F.lit(run_start.replace(microsecond=0).isoformat(sep=" ")).cast("timestamp_ntz")
-    return control.where(F.col("table_name") == table_name).withColumn("last_loaded_at", mark)
+    this = F.col("table_name") == table_name
+    return control.withColumn("last_loaded_at", F.when(this, mark).otherwise(F.col("last_loaded_at")))
 
 
 def ingest(
@@ -65,7 +66,7 @@ def ingest(
         try:
             with audited(sink, this) as outcome:
                 outcome.row_count = _copy(spark, lakehouse, reader, row, run_date)
-                control.upsert(advanced(control.read(spark), row.table_name, run_start))
+                control.replace(advanced(control.read(spark), row.table_name, run_start))
             copied[row.table_name] = outcome.row_count
         except Exception as error:
             log.error("ingestion of %s failed: %s", row.table_name, error)

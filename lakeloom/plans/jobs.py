@@ -20,15 +20,18 @@ def silver_target(lakehouse: Lakehouse, table: SilverTable) -> Table:
     return lakehouse.table(lakehouse.silver, table.name, table.keys)
 
 
-def load_silver(table: SilverTable, target: Table, rows: DataFrame) -> int | MergeCounts:
+def load_silver(
+    table: SilverTable, target: Table, rows: DataFrame, count_target: bool = True
+) -> int | MergeCounts:
     """Write transformed rows the way the table is loaded."""
+    options = {"source_is_unique": True, "count_target": count_target}
     match table.load:
         case Load.FULL_REFRESH:
             return target.replace(rows)
         case Load.INSERT_ONLY:
-            return target.insert_new(rows, source_is_unique=True)
+            return target.insert_new(rows, **options)
         case Load.UPSERT:
-            return target.upsert(rows, table.update_when, source_is_unique=True)
+            return target.upsert(rows, table.update_when, **options)
 
 
 def run_silver(
@@ -112,7 +115,8 @@ def build_gold(
         if not catch_up and (ranges := _shared_ranges(silver("orders"), silver("order_items"))):
             changed = gold.changed_orders(known, orders)
             items = silver("order_items").read(spark, ranges.listed(changed))
-        fact.upsert(gold.fact_sales_increment(known, items, orders, *dims, catch_up=catch_up))
+        increment = gold.fact_sales_increment(known, items, orders, *dims, catch_up=catch_up)
+        fact.upsert(increment, count_target=False)
     else:
         fact.replace(gold.fact_sales(items, orders, *dims))
 

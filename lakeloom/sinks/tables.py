@@ -31,16 +31,19 @@ MERGING_PROVIDERS = frozenset({"delta", "iceberg"})
 
 @dataclass(frozen=True)
 class MergeCounts:
-    """Reconciliation of one merge: ``after = before + inserts``."""
+    """Reconciliation of one merge: ``after = before + inserts``.
 
-    before: int
+    ``before`` is None where the table was not counted.
+    """
+
+    before: int | None
     incoming: int
     updates: int
     inserts: int
 
     @property
-    def after(self) -> int:
-        return self.before + self.inserts
+    def after(self) -> int | None:
+        return None if self.before is None else self.before + self.inserts
 
     @property
     def changed(self) -> int:
@@ -188,22 +191,29 @@ class Table:
             clauses
         )
 
-    def insert_new(self, batch: DataFrame, source_is_unique: bool = False) -> MergeCounts:
+    def insert_new(self, batch: DataFrame, **options: bool) -> MergeCounts:
         """Insert-only merge: append rows whose key is new, touch nothing else."""
-        return self._merge(batch, None, insert_only=True, source_is_unique=source_is_unique)
+        return self._merge(batch, "false", insert_only=True, **options)
 
     def upsert(
-        self, batch: DataFrame, update_when: str | None = None, source_is_unique: bool = False
+        self, batch: DataFrame, update_when: str | None = None, **options: bool
     ) -> MergeCounts:
         """Replace matched rows where ``update_when`` holds, insert the others.
 
         source_is_unique: skip the duplicate-key check, for a batch that comes
-        out of ``latest_per_key``.
+                          out of ``latest_per_key``.
+        count_target:     count the rows there were before, which opens every
+                          file of the table, not just those of its ranges.
         """
-        return self._merge(batch, update_when, insert_only=False, source_is_unique=source_is_unique)
+        return self._merge(batch, update_when, insert_only=False, **options)
 
     def _merge(
-        self, batch: DataFrame, update_when: str | None, insert_only: bool, source_is_unique: bool
+        self,
+        batch: DataFrame,
+        update_when: str | None,
+        insert_only: bool,
+        source_is_unique: bool = False,
+        count_target: bool = True,
     ) -> MergeCounts:
         spark = batch.sparkSession
         keys = list(self.keys)
@@ -214,16 +224,15 @@ class Table:
         if not source_is_unique and (twice := m.duplicate_keys(staged, keys).first()):
             raise ValueError(f"{self.name}: key {twice.asDict()} occurs more than once in the batch")
 
-        before = whole.count()  # from the file footers
+        before = whole.count() if count_target else None  # from the file footers
         incoming, ranges = self._size(staged).first()
-        if before == 0:
-            self._append(staged)
-            return MergeCounts(before, incoming, 0, incoming)
         target = spark.table(self.name)
         if self.ranges:
             target = target.where(F.col(RANGE).isin(ranges))
-        condition = "false" if insert_only else update_when
-        actions = m.classify(target, staged, keys, condition)
+        if target.isEmpty():
+            self._append(staged)
+            return MergeCounts(before, incoming, 0, incoming)
+        actions = m.classify(target, staged, keys, update_when)
         changes = materialise(actions.where(F.col(m.ACTION) != "none"), "changes")
         sizes = {row[0]: row[1:] for row in self._size(changes.groupBy(m.ACTION)).collect()}
         updated, ranges = sizes.get("update", (0, []))

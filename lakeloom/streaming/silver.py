@@ -35,7 +35,7 @@ def stream_silver(
     arrived = reader.parquet(bronze_folder).select(*schema.names)
 
     def load(batch: DataFrame, _: int) -> None:
-        load_silver(table, target, table.transform(batch))
+        load_silver(table, target, table.transform(batch), count_target=False)
 
     return (
         arrived.writeStream.foreachBatch(load)

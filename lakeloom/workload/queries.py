@@ -432,7 +432,7 @@ def _loaded_lakehouse(r: Roles) -> tuple[Lakehouse, Callable[[str, str], DataFra
 def watermark_advance(r: Roles) -> DataFrame:
     lakehouse, _ = _loaded_lakehouse(r)
     control = lakehouse.control_table()
-    control.upsert(advanced(control.read(r.spark), "orders", RUN_START))
+    control.replace(advanced(control.read(r.spark), "orders", RUN_START))
     return control.read(r.spark)
 
 

@@ -57,6 +57,12 @@ def test_replay_changes_nothing(spark, rows, table):
     assert rows(table.read(spark)) == once
 
 
+def test_the_target_need_not_be_counted(spark, table):
+    table.upsert(frame(spark, TARGET), NEWER, count_target=False)
+    counts = table.upsert(frame(spark, SOURCE), NEWER, count_target=False)
+    assert (counts.before, counts.after, counts.updates, counts.inserts) == (None, None, 1, 2)
+
+
 def test_insert_only_touches_nothing(spark, rows, table):
     table.insert_new(frame(spark, TARGET))
     counts = table.insert_new(frame(spark, SOURCE))
