@@ -26,7 +26,7 @@ from lakeloom.session import materialise
 
 RANGE = "key_range"
 # Formats whose own MERGE is used instead.
-MERGING_PROVIDERS = frozenset({"delta", "iceberg"})
+MERGING_FORMATS = frozenset({"delta", "iceberg"})
 
 
 @dataclass(frozen=True)
@@ -78,12 +78,14 @@ class Table:
     root:   folder that holds the table's files.
     keys:   columns of the merge key; unique in the table.
     ranges: how the table is partitioned, if it is.
+    format: ``parquet``, or a format of the session that merges by itself.
     """
 
     name: str
     root: str
     keys: tuple[str, ...] = ()
     ranges: Ranges | None = None
+    format: str = "parquet"
 
     # -- reading -----------------------------------------------------------
     def exists(self, spark: SparkSession) -> bool:
@@ -146,7 +148,7 @@ class Table:
             columns += f", {RANGE} bigint"
             layout = f"PARTITIONED BY ({RANGE})"
         spark.sql(
-            f"CREATE TABLE {self.name} ({columns}) USING parquet {layout} "
+            f"CREATE TABLE {self.name} ({columns}) USING {self.format} {layout} "
             f"LOCATION '{self._new_folder()}'"
         )
 
@@ -162,6 +164,9 @@ class Table:
         if extra := set(df.columns) ^ set(current.columns):
             raise ValueError(f"{self.name}: columns differ in {sorted(extra)}")
         placed = self._placed(m.conform(df, current))
+        if self.format in MERGING_FORMATS:
+            placed.write.insertInto(self.name, overwrite=True)
+            return self.read(spark).count()
         folder = self._write_version(placed)
         if self.ranges:
             before = self._known_ranges(spark)
@@ -175,11 +180,6 @@ class Table:
         return self.read(spark).count()
 
     # -- merging -------------------------------------------------------------
-    def _provider(self, spark: SparkSession) -> str:
-        described = spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
-        row = described.where(F.col("col_name") == "Provider").first()
-        return row["data_type"].lower() if row else ""
-
     def merge_statement(self, source_view: str, update_when: str | None, insert_only: bool) -> str:
         """The same merge as SQL, for a format that has ``MERGE INTO``."""
         on = " AND ".join(f"target.{k} = source.{k}" for k in self.keys)
@@ -229,7 +229,7 @@ class Table:
         target = spark.table(self.name)
         if self.ranges:
             target = target.where(F.col(RANGE).isin(ranges))
-        if target.isEmpty():
+        if before == 0 or (before is None and target.isEmpty()):
             self._append(staged)
             return MergeCounts(before, incoming, 0, incoming)
         actions = m.classify(target, staged, keys, update_when)
@@ -239,7 +239,7 @@ class Table:
         inserted, _ = sizes.get("insert", (0, []))
         counts = MergeCounts(before, incoming, updated, inserted)
 
-        if self._provider(spark) in MERGING_PROVIDERS:
+        if self.format in MERGING_FORMATS:
             view = f"merge_source_{uuid.uuid4().hex}"
             staged.createOrReplaceTempView(view)
             spark.sql(self.merge_statement(view, update_when, insert_only))
