@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 from functools import partial
 
 from pyspark.sql import SparkSession
@@ -23,6 +24,8 @@ from lakeloom.plans.silver import SILVER
 from lakeloom.session import tune
 from lakeloom.sources import JdbcSource, Split
 
+log = logging.getLogger(__name__)
+
 RUN_IDS = (
     "pipeline_name", "pipeline_run_id", "job_name", "job_run_id", "task_name", "task_run_id",
 )
@@ -65,6 +68,8 @@ def jdbc_source(args: argparse.Namespace) -> JdbcSource:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = tune(SparkSession.builder.appName(args.task_name or "lakeloom").getOrCreate())
+    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory":
+        log.warning("the session has no metastore: tables of this run are not found by the next")
     lakehouse = Lakehouse(args.root, silver=args.silver_schema, gold=args.gold_schema)
     lakehouse.create_schemas(spark)
     if args.job == "gold":

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,21 +51,35 @@ class Condition:
 Check = Unique | NotNull | Relationship | Condition
 
 
-def _result(df: DataFrame, kind: str, table: str, column: str) -> DataFrame:
-    return df.select(
-        F.lit(kind).alias("check"),
-        F.lit(table).alias("table"),
-        F.lit(column).alias("column"),
-        F.col("failures").cast("long").alias("failures"),
-    )
+def _counted(df: DataFrame, failed: list[Column], labels: list[tuple[str, str, str]]) -> DataFrame:
+    """How many rows of ``df`` meet each condition, as one result row each."""
+    counts = df.agg(*(F.count_if(f).alias(f"c{i}") for i, f in enumerate(failed)))
+    rows = [
+        F.struct(
+            F.lit(kind).alias("check"),
+            F.lit(table).alias("table"),
+            F.lit(column).alias("column"),
+            F.col(f"c{i}").cast("long").alias("failures"),
+        )
+        for i, (kind, table, column) in enumerate(labels)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
-def _unique(df: DataFrame, check: Unique) -> DataFrame:
-    counts = df.where(F.col(check.column).isNotNull()).groupBy(check.column).count()
-    return _result(
-        counts.agg(F.count_if(F.col("count") > 1).alias("failures")),
-        "unique", check.table, check.column,
+def _unique(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """All unique checks of a table in one pass: one grouping set per column."""
+    every = 2 ** len(columns) - 1
+    values = df.groupingSets([[c] for c in columns], *columns).agg(
+        F.count(F.lit(1)).alias("__rows"), F.grouping_id().alias("__set")
     )
+    # the id of a set has a bit for each column it leaves out, the first column the highest
+    twice = [
+        (F.col("__set") == every - 2 ** (len(columns) - 1 - i))
+        & F.col(column).isNotNull()
+        & (F.col("__rows") > 1)
+        for i, column in enumerate(columns)
+    ]
+    return _counted(values, twice, [("unique", table, column) for column in columns])
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -85,45 +99,43 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 
 def _relationship(df: DataFrame, parent: DataFrame, check: Relationship) -> DataFrame:
     missing = orphans(df, check.column, parent, check.parent_column)
-    return _result(
-        missing.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")),
-        "relationships", check.table, check.column,
+    return missing.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")).select(
+        F.lit("relationships").alias("check"),
+        F.lit(check.table).alias("table"),
+        F.lit(check.column).alias("column"),
+        F.col("failures").cast("long").alias("failures"),
     )
 
 
 def _row_checks(df: DataFrame, table: str, checks: list[NotNull | Condition]) -> DataFrame:
     """All per-row checks of a table in one pass."""
-    failed = [
-        F.col(c.column).isNull() if isinstance(c, NotNull) else ~F.expr(c.condition)
-        for c in checks
-    ]
-    counted = df.agg(*(F.count_if(f).alias(f"c{i}") for i, f in enumerate(failed)))
-    rows = [
-        F.struct(
-            F.lit("not_null" if isinstance(c, NotNull) else "condition").alias("check"),
-            F.lit(table).alias("table"),
-            F.lit(c.column).alias("column"),
-            F.col(f"c{i}").cast("long").alias("failures"),
-        )
-        for i, c in enumerate(checks)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+    failed, labels = [], []
+    for check in checks:
+        if isinstance(check, NotNull):
+            failed.append(F.col(check.column).isNull())
+            labels.append(("not_null", table, check.column))
+        else:
+            failed.append(~F.expr(check.condition))
+            labels.append(("condition", table, check.column))
+    return _counted(df, failed, labels)
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One row per check. Costs one pass per table for all row checks together,
-    and one partially aggregated shuffle per unique or relationship check."""
+    """One row per check. Costs one pass per table for its row checks, one for
+    its unique checks, and one per relationship; all aggregate before they
+    shuffle."""
     parts: list[DataFrame] = []
     per_row: dict[str, list[NotNull | Condition]] = defaultdict(list)
+    unique: dict[str, list[str]] = defaultdict(list)
     for check in checks:
-        df = tables[check.table]
         match check:
             case Unique():
-                parts.append(_unique(df, check))
+                unique[check.table].append(check.column)
             case Relationship():
-                parts.append(_relationship(df, tables[check.parent], check))
+                parts.append(_relationship(tables[check.table], tables[check.parent], check))
             case _:
                 per_row[check.table].append(check)
+    parts += [_unique(tables[table], table, columns) for table, columns in unique.items()]
     parts += [_row_checks(tables[table], table, group) for table, group in per_row.items()]
     return reduce(DataFrame.unionByName, parts)
 

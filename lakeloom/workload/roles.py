@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.operators.spread import spread_join
 from lakeloom.plans import gold
 from lakeloom.plans.silver import SILVER
 from lakeloom.session import tune
@@ -23,6 +24,15 @@ def _padded(column: str | Column) -> Column:
     return F.concat(F.lit("  "), F.col(column) if isinstance(column, str) else column, F.lit(" "))
 
 
+def _versions(entities: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """Each entity once per change, or once without. Not a left join from the
+    entities: an entity with most of the changes could not be split there."""
+    changed = spread_join(changes, entities, [key], "inner", by=changes.columns)
+    unchanged = entities.join(changes.select(key).distinct(), key, "left_anti")
+    columns = [*entities.columns, "updated_at"]
+    return changed.unionByName(unchanged, allowMissingColumns=True).select(*columns)
+
+
 class Roles:
     """Lazy bronze, silver and gold frames over one data folder."""
 
@@ -60,7 +70,7 @@ class Roles:
         orders = self.read("orders").select(
             F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("updated_at")
         )
-        return self.customers.join(orders, "customer_id", "left")
+        return _versions(self.customers, orders, "customer_id")
 
     @cached_property
     def products(self) -> DataFrame:
@@ -77,10 +87,10 @@ class Roles:
         shipped = self.read("lineitem").select(
             F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("updated_at")
         )
-        return self.products.join(shipped, "product_id", "left")
+        return _versions(self.products, shipped, "product_id")
 
     @cached_property
-    def orders(self) -> DataFrame:
+    def _orders(self) -> DataFrame:
         lag = F.make_dt_interval(F.substring("o_orderpriority", 1, 1).cast("int"))
         return self.read("orders").select(
             F.col("o_orderkey").alias("order_id"),
@@ -90,8 +100,13 @@ class Roles:
             F.col("o_totalprice").alias("order_amount"),
             F.col("o_orderdate").alias("created_at"),
             (F.col("o_orderdate") + lag).alias("updated_at"),
+            F.col("o_orderpriority").alias("priority"),
         )
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._orders.drop("priority")
+
     @cached_property
     def orders_before(self) -> DataFrame:
         return self.orders.where(F.col("order_date") < F.lit(CUTOFF).cast("timestamp_ntz"))
@@ -101,12 +116,9 @@ class Roles:
         """A re-extract of the orders with every case a merge must tell apart.
 
         Orders from the cutoff on are new. Of the older ones, F are newer than
-        the target (but with no change time if paid, status change unknown:
-        priority 4), O as old, P older. Priority 5 was not extracted.
+        the target, or of unknown age with priority 4; O are as old and P older.
+        Orders of priority 5 were not extracted.
         """
-        priority = self.read("orders").select(
-            F.col("o_orderkey").alias("order_id"), F.col("o_orderpriority").alias("priority")
-        )
         shift = (
             F.when((F.col("status") == "F") & F.col("priority").startswith("4"), F.lit(None))
             .when(F.col("status") == "F", F.expr("interval 30 days"))
@@ -114,8 +126,7 @@ class Roles:
             .otherwise(F.expr("interval 0 days"))
         )
         return (
-            self.orders.join(priority, "order_id")
-            .where(~F.col("priority").startswith("5"))
+            self._orders.where(~F.col("priority").startswith("5"))
             .withColumn("updated_at", F.col("updated_at") + shift)
             .withColumn("status", F.concat(F.lit("new "), "status"))
             .drop("priority")
