@@ -14,6 +14,26 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.chunk_dedup import exact_duplicates
+
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+    from lakeloom.llm.line_dedup import drop_common_lines
+
+    kept = drop_common_lines(table(spark, sf_dir, "documents"), min_docs, min_chars)
+    return kept.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str, distance: int = 4, width: int = 4) -> DataFrame:
+    from lakeloom.llm.simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), distance, width).drop("component_key")
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str, file: str = "byte_bpe_50k.json", end_id: int = 2) -> DataFrame:
     from lakeloom.llm.token_files import read_token_files, with_checksum, write_token_files
 
@@ -38,8 +58,41 @@ def op8_packing(
 
 
 QUERIES = {
+    "op1_chunk_recipes": op1_chunk_recipes,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_simhash": op3_simhash,
     "op4_token_files": op4_token_files,
     "op5_token_counts": op5_token_counts,
     "op8_packing": op8_packing,
 }
-ORACLES: dict[str, str] = {}
+
+_BLANK = r"[\x20\x09-\x0D]"
+ORACLES = {
+    "op1_chunk_recipes": rf"""
+        WITH d AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '{_BLANK}+', ' ', 'g') AS t FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW w AS (PARTITION BY t)
+    """,
+    "op2_line_dedup": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), l AS (
+            SELECT r, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS place FROM d
+        ), k AS (
+            SELECT r, line, place,
+                   translate(regexp_replace(regexp_replace(line, '^{_BLANK}+', ''), '{_BLANK}+$', ''),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+        ), common AS (
+            SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10
+        ), marked AS (
+            SELECT k.r, k.line, k.place, common.key IS NOT NULL AS gone FROM k LEFT JOIN common ON k.key = common.key
+        ), texts AS (
+            SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+                   coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS t FROM marked GROUP BY r
+        )
+        SELECT d.doc_id, n_lines, n_dropped, sha256(t) AS kept_sha256 FROM texts JOIN d USING (r)
+    """,
+}
