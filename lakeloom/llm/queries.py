@@ -49,6 +49,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str, file: str = "piece_bpe_32
     return counts.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.secret_ledger import RULES, find_secrets, kind_count, listing
+
+    found = find_secrets(table(spark, sf_dir, "documents"), workspace(spark, "secret-ledger"))
+    return found.select(
+        "doc_id",
+        *(kind_count(i).alias(f"n_{rule.kind}") for i, rule in enumerate(RULES)),
+        F.sha2(listing(), 256).alias("base_sha256"),
+        listing().alias("spans"),
+    )
+
+
 def op8_packing(
     spark: SparkSession, sf_dir: str, file: str = "word_bpe_49k.json", end_id: int = 1, size: int = 2048
 ) -> DataFrame:
@@ -63,9 +75,34 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_token_files": op4_token_files,
     "op5_token_counts": op5_token_counts,
+    "op6_secrets": op6_secrets,
     "op8_packing": op8_packing,
 }
 
+
+
+def _spans_sql() -> str:
+    """The matches of each kind: gaps between them by a split, so that places follow from lengths."""
+    assign = (
+        "(?:" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
+        for w in ("password", "passwd", "secret", "token", "api_?key")) + ")"
+        r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+    )
+    kinds = [(0, "assign", assign, 1, 8), (1, "access", "AKIA[A-Z0-9]+", 0, 16), (2, "hex", "[0-9a-f]+", 0, 32)]
+    return " UNION ALL ".join(
+        f"""
+        SELECT r, {rank} AS rank, '{kind}' AS kind, place, len, value >= {least} AS good,
+               sum(gap + len) OVER (PARTITION BY r ORDER BY place) AS stop
+        FROM (SELECT r, unnest(range(len(m))) AS place, unnest(list_transform(m, lambda x: length(x))) AS len,
+                     unnest(list_transform(v, lambda x: length(x))) AS value,
+                     unnest(list_transform(g[1:len(m)], lambda x: length(x))) AS gap
+              FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS v,
+                           regexp_split_to_array(t, '{pattern}') AS g FROM d))
+        """
+        for rank, kind, pattern, group, least in kinds
+    )
+
+
 _BLANK = r"[\x20\x09-\x0D]"
 ORACLES = {
     "op1_chunk_recipes": rf"""
@@ -95,4 +132,17 @@ ORACLES = {
         )
         SELECT d.doc_id, n_lines, n_dropped, sha256(t) AS kept_sha256 FROM texts JOIN d USING (r)
     """,
+    "op6_secrets": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+        ), s AS ({_spans_sql()}), l AS (
+            SELECT r, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
+                   count(*) FILTER (WHERE rank = 2) AS n_hex,
+                   string_agg(kind || ':' || (stop - len) || ':' || stop, ',' ORDER BY stop - len, rank) AS spans
+            FROM s WHERE good GROUP BY r
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN l USING (r)
+    """,
 }
