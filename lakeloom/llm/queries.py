@@ -61,6 +61,17 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_pieces(spark: SparkSession, sf_dir: str, file: str = "piece_bpe_32k.model") -> DataFrame:
+    """n_tokens and checksum of the ids of every text, and the SHA-256 of the text that they decode to."""
+    from lakeloom.llm.suffix_pieces import decode, encode
+    from lakeloom.llm.token_files import with_checksum
+
+    model = vocabulary(file)
+    back = decode(encode(table(spark, sf_dir, "documents"), model), model)
+    rows = back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
+    return with_checksum(rows)
+
+
 def op8_packing(
     spark: SparkSession, sf_dir: str, file: str = "word_bpe_49k.json", end_id: int = 1, size: int = 2048
 ) -> DataFrame:
@@ -69,6 +80,19 @@ def op8_packing(
     return pack(table(spark, sf_dir, "documents"), vocabulary(file), end_id, size)
 
 
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.spotsigs import fingerprints_with_edits
+
+    return fingerprints_with_edits(table(spark, sf_dir, "documents"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.byte_cnn import learn, predictions
+
+    docs = table(spark, sf_dir, "documents")
+    return predictions(docs, learn(docs))
+
+
 QUERIES = {
     "op1_chunk_recipes": op1_chunk_recipes,
     "op2_line_dedup": op2_line_dedup,
@@ -76,7 +100,10 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_token_counts": op5_token_counts,
     "op6_secrets": op6_secrets,
+    "op7_suffix_pieces": op7_suffix_pieces,
     "op8_packing": op8_packing,
+    "op9_spotsigs": op9_spotsigs,
+    "op10_language": op10_language,
 }
 
 
