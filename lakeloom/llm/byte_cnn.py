@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -235,3 +236,14 @@ def predictions(docs: DataFrame, network: Network) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text")
     )
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def classify(docs: DataFrame, network: Network, out: str) -> DataFrame:
+    """``docs`` with all their columns and the predicted language as one more."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        found = [network.predict([t if isinstance(t, str) else None for t in texts[i : i + 200]]) for i in range(0, len(texts), 200)]
+        return pd.Series([x for part in found for x, _ in part], dtype=object)
+
+    return docs.withColumn(out, run(F.col("text").cast("string")))

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -144,7 +145,6 @@ def drop_near_duplicates(docs: DataFrame, distance: int = 4, width: int = 4) ->
 
 def with_fingerprint(docs: DataFrame, out: str, width: int = 4) -> DataFrame:
     """``docs`` with their fingerprints as one more column."""
-    import pandas as pd
 
     @F.pandas_udf("long")
     def run(texts: pd.Series) -> pd.Series:

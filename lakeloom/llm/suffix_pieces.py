@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,7 +195,6 @@ def encode(docs: DataFrame, file: str) -> DataFrame:
 
 def decode(encoded: DataFrame, file: str) -> DataFrame:
     """What has an ``ids`` column, with the text of the ids as one more column, ``decoded``."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def run(ids: pd.Series) -> pd.Series:
