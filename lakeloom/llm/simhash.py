@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.components import components
@@ -85,6 +85,10 @@ def ball(bits: int, radius: int) -> list[int]:
     return [sum(1 << b for b in of) for r in range(radius + 1) for of in combinations(range(bits), r)]
 
 
+def _signed(value: int) -> Column:
+    return F.lit(value - (1 << 64) if value >> 63 else value).cast("long")
+
+
 def links(distinct: DataFrame, distance: int, count: int) -> DataFrame:
     """All pairs (a, b) of the fingerprints in ``distinct`` (one row each) within the distance, once or a few times."""
     asks, files = [], []
@@ -92,11 +96,11 @@ def links(distinct: DataFrame, distance: int, count: int) -> DataFrame:
         value = F.shiftrightunsigned("fingerprint", at).bitwiseAND(F.lit((1 << size) - 1 if size < 64 else -1))
         of = distinct.select("fingerprint", value.alias("value"), F.lit(number).alias("segment"))
         files.append(of.withColumnRenamed("fingerprint", "b"))
-        masks = of.select(F.col("fingerprint").alias("a"), "segment", "value", F.explode(F.array(*map(F.lit, ball(size, radius)))).alias("mask"))
-        masks = masks.withColumn("mask", F.col("mask").cast("long"))
-        low = F.col("mask").bitwiseAND(-F.col("mask"))
+        # each mask with its lowest bit
+        around = F.array(*(F.struct(_signed(v).alias("mask"), _signed(v & -v).alias("low")) for v in ball(size, radius)))
+        masks = of.select(F.col("fingerprint").alias("a"), "segment", "value", F.inline(around))
         asks.append(
-            masks.filter(F.col("value").bitwiseAND(low) == 0).select(
+            masks.filter(F.col("value").bitwiseAND(F.col("low")) == 0).select(
                 "a", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"), (F.col("mask") == 0).alias("same")
             )
         )
