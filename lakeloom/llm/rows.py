@@ -75,6 +75,8 @@ def ordered_buckets(df: DataFrame, key: str, count: int, out: str) -> tuple[Data
     """
     steps = [i / count for i in range(1, count)]
     cuts = df.select(F.col(key).cast("double").alias(key)).stat.approxQuantile(key, steps, 0.25 / count) if steps else []
+    if not cuts:
+        return df.withColumn(out, F.when(F.col(key).isNull(), 0).otherwise(1)), 2
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     number, raw = fresh(df, "__number"), fresh(df, "__bucket")
     cut = Bucketizer(splits=splits, inputCol=number, outputCol=raw, handleInvalid="keep")
