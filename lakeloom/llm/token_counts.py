@@ -82,7 +82,9 @@ def proved(library) -> dict[str, int]:
         raise ValueError("the model puts no space mark before a text")
     marked = [(i, p) for i, p in enumerate(pieces) if p.startswith(MARK)]
     found = library.encode([p[1:].replace(MARK, " ") for _, p in marked], num_threads=1)
-    return {p: 1 for (i, p), ids in zip(marked, found, strict=True) if ids == [i]}
+    single = {p: 1 for (i, p), ids in zip(marked, found, strict=True) if ids == [i]}
+    # a mark at the end of a text can't be asked for alone: it is a piece or its bytes
+    return single | {MARK: 1 if MARK in pieces else len(MARK.encode())}
 
 
 @lru_cache(maxsize=2)
