@@ -32,7 +32,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -162,3 +161,66 @@ def fingerprints_with_edits(docs: DataFrame, anchors: frozenset[str] = ANCHORS,
 _ARROW = pa.schema(
     [(c.split()[0], {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[c.split()[1]]) for c in _COLUMNS.split(", ")]
 )
+
+
+def signatures(docs: DataFrame, anchors: frozenset[str] = ANCHORS, chain: int = CHAIN) -> DataFrame:
+    """doc_id and the sorted array of spot hashes of every document."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(frames):
+            found = [spots(t, anchors, chain).astype(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "spots"])
+
+    return documents(docs).mapInArrow(run, "doc_id long, spots array<long>")
+
+
+def size_class(size: Column, least: float) -> Column:
+    """Sets that can reach the similarity are in the same class or in neighbouring ones: sizes differ by 1 / least at most."""
+    return F.floor(F.log(size.cast("double")) / F.log(F.lit(1 / least)) + F.lit(1e-9)).cast("int")
+
+
+def similar_sets(sets: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of the distinct sets (id, spots) with a Jaccard similarity of ``least`` or more, each once."""
+    sized = sets.filter(F.size("spots") > 0).withColumn("n", F.size("spots"))
+    single = sized.select("id", "n", F.explode("spots").alias("spot"))
+    often = single.groupBy("spot").agg(F.count("*").alias("often"))
+    by_rarity = spread_join(single, often, ["spot"], "inner").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("often", "spot"))).alias("ordered")
+    )
+    # two similar sets share one of the rarest n - ceil(least * n) + 1 spots of each; a little more is harmless
+    first = F.col("n") - F.ceil(F.col("n") * least - F.lit(1e-9)).cast("int") + 1
+    filed = by_rarity.select(
+        F.col("id").alias("b"), F.col("n").alias("nb"), size_class(F.col("n"), least).alias("class"), F.posexplode(F.slice("ordered", F.lit(1), first))
+    ).select("b", "nb", "class", F.col("pos").alias("pb"), F.col("col.spot").alias("spot"))
+    asking = filed.select(
+        F.col("b").alias("a"), F.col("nb").alias("na"), F.explode(F.array("class", F.col("class") + 1)).alias("class"), F.col("pb").alias("pa"), "spot"
+    )
+    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    needed = (F.col("na") + F.col("nb")) * (least / (1 + least)) - F.lit(1e-9)
+    # from this shared spot on, so many more can be shared at most; one shared before it leads to the pair by itself
+    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    possible = (F.col("na") >= least * F.col("nb") - F.lit(1e-9)) & (room >= needed)
+    asked, file = asking.alias("x"), filed.alias("y")
+    same = (F.col("x.class") == F.col("y.class")) & (F.col("x.spot") == F.col("y.spot"))
+    pairs = asked.join(file, same & smaller & possible).select("a", "b", "na", "nb").distinct()
+    left = spread_join(pairs, sized.select(F.col("id").alias("a"), F.col("spots").alias("sa")), ["a"], "inner", by=["a"])
+    both = spread_join(left, sized.select(F.col("id").alias("b"), F.col("spots").alias("sb")), ["b"], "inner", by=["b"])
+    return both.filter(F.size(F.array_intersect("sa", "sb")) >= needed).select("a", "b")
+
+
+def similar_documents(docs: DataFrame, least: float = 0.8, anchors: frozenset[str] = ANCHORS, chain: int = CHAIN) -> DataFrame:
+    """One row per document: doc_id, class_id (the smallest doc_id that similar pairs lead to) and n_links.
+
+    n_links counts the different signatures similar to the document's own; documents of one signature are one class anyway.
+    """
+    signed = materialise(signatures(docs, anchors, chain), "signatures")
+    sets = signed.groupBy("spots").agg(F.min("doc_id").alias("least_id"))
+    sets = materialise(sets.withColumn("id", F.monotonically_increasing_id()), "signature-sets")
+    pairs = materialise(similar_sets(sets.select("id", "spots"), least), "similar-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
+    roots = components(pairs).select(F.col("node").alias("id"), "root")
+    known = spread_join(spread_join(sets, ends, ["id"], "left"), roots, ["id"], "left").withColumn("root", F.coalesce("root", "id"))
+    classes = known.groupBy("root").agg(F.min("least_id").alias("class_id"))
+    named = spread_join(known, classes, ["root"], "inner")
+    rows = spread_join(signed, named.select("spots", "class_id", "n_links"), ["spots"], "left", by=["doc_id"])
+    return rows.select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
