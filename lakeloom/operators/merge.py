@@ -92,18 +92,49 @@ def update_matched(
 
 
 def upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update_when: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    update_when: str | None = None,
+    large_batch: bool = False,
 ) -> DataFrame:
     """The merged table: updated and kept target rows, plus new source rows.
 
     Source keys must be unique (see ``duplicate_keys``).
+
+    large_batch: one full join, which computes either side once but shuffles the
+                 whole target: for a batch of about the target's size whose keys
+                 are unique there too, so that no key can be hot.
     """
     source = conform(source, target)
+    if large_batch:
+        return _full_merge(target, source, keys, update_when)
     return update_matched(target, source, keys, update_when).unionByName(
         unmatched(source, target, keys)
     )
 
 
+def _full_merge(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update_when: str | None
+) -> DataFrame:
+    """Rows without a key match nothing and would all meet in one task: they stay out of the join."""
+    keyed = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    t = target.where(keyed).withColumn(_HIT, F.lit(True)).alias("target")
+    s = source.where(keyed).withColumn(_HIT, F.lit(True)).alias("source")
+    on = reduce(and_, (F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys))
+    take = F.col(f"target.{_HIT}").isNull() | (
+        F.col(f"source.{_HIT}").isNotNull() & _condition(update_when)
+    )
+    joined = t.join(s, on, "full").withColumn(_REPLACE, take)
+    merged = joined.select(
+        *(
+            F.when(F.col(_REPLACE), F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
+            for c in target.columns
+        )
+    )
+    return merged.unionByName(target.where(~keyed)).unionByName(source.where(~keyed))
+
+
 def update_candidates(
     target: DataFrame, source: DataFrame, keys: Sequence[str], update_when: str | None = None
 ) -> DataFrame:

@@ -97,14 +97,44 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return used.join(known, "value", "left_anti")
 
 
-def _relationship(df: DataFrame, parent: DataFrame, check: Relationship) -> DataFrame:
-    missing = orphans(df, check.column, parent, check.parent_column)
-    return missing.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")).select(
-        F.lit("relationships").alias("check"),
-        F.lit(check.table).alias("table"),
-        F.lit(check.column).alias("column"),
-        F.col("failures").cast("long").alias("failures"),
+def _relationships(
+    df: DataFrame, tables: Mapping[str, DataFrame], checks: list[Relationship]
+) -> DataFrame:
+    """All relationship checks of a table in one pass over it: the values of all its
+    columns are counted together, by number of check, then looked for in the parents."""
+
+    def value(column: str, kind: str, number: int) -> Column:
+        text = F.col(column).cast(kind).cast("string")
+        return F.struct(F.lit(number).alias("check"), text.alias("value"))
+
+    kinds = [df.schema[c.column].dataType.simpleString() for c in checks]
+    held = F.array(*(value(c.column, k, i) for i, (c, k) in enumerate(zip(checks, kinds, strict=True))))
+    used = (
+        df.select(F.inline(held))
+        .where(F.col("value").isNotNull())
+        .groupBy("check", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
+    known = reduce(
+        DataFrame.unionByName,
+        (
+            tables[c.parent].select(F.inline(F.array(value(c.parent_column, k, i))))
+            for i, (c, k) in enumerate(zip(checks, kinds, strict=True))
+        ),
+    )
+    missing = used.join(known.distinct(), ["check", "value"], "left_anti")
+    lost = [F.sum(F.when(F.col("check") == i, F.col("rows"))).alias(f"c{i}") for i in range(len(checks))]
+    counts = missing.agg(*lost)
+    rows = [
+        F.struct(
+            F.lit("relationships").alias("check"),
+            F.lit(c.table).alias("table"),
+            F.lit(c.column).alias("column"),
+            F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("failures"),
+        )
+        for i, c in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def _row_checks(df: DataFrame, table: str, checks: list[NotNull | Condition]) -> DataFrame:
@@ -122,20 +152,22 @@ def _row_checks(df: DataFrame, table: str, checks: list[NotNull | Condition]) ->
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check. Costs one pass per table for its row checks, one for
-    its unique checks, and one per relationship; all aggregate before they
+    its unique checks and one for its relationships; all aggregate before they
     shuffle."""
     parts: list[DataFrame] = []
     per_row: dict[str, list[NotNull | Condition]] = defaultdict(list)
     unique: dict[str, list[str]] = defaultdict(list)
+    related: dict[str, list[Relationship]] = defaultdict(list)
     for check in checks:
         match check:
             case Unique():
                 unique[check.table].append(check.column)
             case Relationship():
-                parts.append(_relationship(tables[check.table], tables[check.parent], check))
+                related[check.table].append(check)
             case _:
                 per_row[check.table].append(check)
     parts += [_unique(tables[table], table, columns) for table, columns in unique.items()]
+    parts += [_relationships(tables[table], tables, group) for table, group in related.items()]
     parts += [_row_checks(tables[table], table, group) for table, group in per_row.items()]
     return reduce(DataFrame.unionByName, parts)
 

@@ -73,10 +73,11 @@ class StarModel:
 
         by:    attributes, as ``dimension.column`` or a fact attribute.
         where: attribute -> wanted value, or list of wanted values.
-        eager: also sum before the last dimension is joined. That join then moves
-               one row per link value and attributes so far, not all fact rows,
-               and a link value on most rows is summed before any shuffle. Sums
-               of sums are exact. Small dimensions are joined first.
+        eager: also sum before each dimension that grows is joined. That join then
+               moves one row per combination of link values and attributes so
+               far, not all fact rows, and a link value on most rows is summed
+               before any shuffle. Sums of sums are exact. Small dimensions are
+               joined first.
 
         A fact row without a dimension row is kept, with null attributes.
         """
@@ -114,9 +115,9 @@ class StarModel:
         held = {name for name in wanted if wanted[name][0] is None}
         keys = {link.fact_column for link in links}
         rows = kept(self.fact, None).select(*sorted(held | keys), *measures)
-        for link in links:
-            if eager and link is links[-1]:
-                rows = summed(rows, *sorted(held | {link.fact_column}))
+        for n, link in enumerate(links):
+            if eager and (link is links[-1] or not link.small):
+                rows = summed(rows, *sorted(held | {later.fact_column for later in links[n:]}))
             names = [n for n in wanted if wanted[n][0] == link.dimension]
             dim = self.dimensions[link.dimension].select(
                 F.col(link.dimension_column).alias(link.fact_column),

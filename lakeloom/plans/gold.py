@@ -16,7 +16,7 @@ from lakeloom.operators.spread import spread_join
 from lakeloom.operators.star import Link, StarModel
 from lakeloom.plans.staging import stage
 
-# The days the date dimension covers unless told otherwise.
+# The days the date dimension covers at least, unless told otherwise.
 FIRST_DAY, LAST_DAY = "2024-01-01", "2026-12-31"
 
 
@@ -70,9 +70,19 @@ def dim_date(spark: SparkSession, first: str = FIRST_DAY, last: str = LAST_DAY)
     return days_between(span)
 
 
-def dim_date_of(df: DataFrame, column: str) -> DataFrame:
-    """The date dimension over the days ``column`` spans."""
-    return days_between(df.agg(F.min(column).alias("first"), F.max(column).alias("last")))
+def dim_date_covering(
+    df: DataFrame, column: str, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """The date dimension from ``first`` to ``last``; by default the fixed days and
+    every day of ``column``, so that no row of ``df`` is without one."""
+    low = F.lit(first or FIRST_DAY).cast("date")
+    high = F.lit(last or LAST_DAY).cast("date")
+    days = F.col(column).cast("date")
+    span = df.agg(
+        (low if first else F.least(low, F.min(days))).alias("first"),
+        (high if last else F.greatest(high, F.max(days))).alias("last"),
+    )
+    return days_between(span)
 
 
 def days_between(span: DataFrame) -> DataFrame:
@@ -116,9 +126,8 @@ def fact_sales(
     return _fact(stage(order_items, "order_items"), stage(orders, "orders"), dim_customers, dim_products)
 
 
-def changed_orders(fact: DataFrame, orders: DataFrame, lookback: Column | None = None) -> DataFrame:
-    """Orders changed after the fact's high-water mark, less ``lookback``."""
-    mark = high_water_mark(fact, "updated_at")
+def changed_orders(orders: DataFrame, mark: Column, lookback: Column | None = None) -> DataFrame:
+    """Orders changed after the fact's mark, less ``lookback``."""
     return orders.where(F.col("updated_at") > (mark if lookback is None else mark - lookback))
 
 
@@ -130,15 +139,20 @@ def fact_sales_increment(
     dim_products: DataFrame,
     lookback: Column | None = None,
     catch_up: bool = False,
+    mark: Column | None = None,
 ) -> DataFrame:
-    """Fact rows of orders changed after the fact's high-water mark.
+    """Fact rows of orders changed after the fact's mark.
 
     lookback: interval to move the mark back by, for changes that arrive late.
     catch_up: also items the fact lacks, whatever their order's change time; an
               item that arrives after its order was loaded is found only so.
+    mark:     by default the largest change time in the fact. A build that writes
+              the fact in steps keeps its mark elsewhere: a half-written fact
+              has a mark that is too high.
     """
     items, all_orders = stage(order_items, "order_items"), stage(orders, "orders")
-    changed = changed_orders(fact, all_orders, lookback)
+    mark = high_water_mark(fact, "updated_at") if mark is None else mark
+    changed = changed_orders(all_orders, mark, lookback)
     rows = _fact(items, changed, dim_customers, dim_products)
     if not catch_up:
         return rows
@@ -174,6 +188,7 @@ def sales_model(
     )
 
 
+# Fixed values, with the two lists below: what is checked of which column.
 GOLD_CHECKS: tuple[Check, ...] = (
     Unique("dim_customers", "customer_key"),
     NotNull("dim_customers", "customer_key"),
@@ -193,6 +208,7 @@ GOLD_CHECKS: tuple[Check, ...] = (
     NotNull("dim_date", "date_key"),
     Unique("dim_date", "date_day"),
     NotNull("dim_date", "date_day"),
+    Relationship("fact_sales", "order_date", "dim_date", "date_day"),
 )
 
 SOURCE_CHECKS: tuple[Check, ...] = (

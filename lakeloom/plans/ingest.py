@@ -15,6 +15,7 @@ from lakeloom.plans.lakehouse import Lakehouse
 from lakeloom.sinks.bronze import write_batch, write_full
 from lakeloom.sources.bronze import read_batch, read_full
 from lakeloom.sources.control import FULL, ControlRow, control_rows, extract
+from lakeloom.sources.delimited import CSV_COLUMNS, read_csv
 
 log = logging.getLogger(__name__)
 
@@ -42,7 +43,8 @@ def ingest(
     sink: AuditSink | None = None,
     run_start: datetime | None = None,
 ) -> dict[str, int]:
-    """Copy every source the control table lists; returns rows copied per table.
+    """Copy every source the control table lists; returns rows copied per table. A new
+    lakehouse gets the control table first.
 
     Each source is one Spark job over its own table. A source that fails is
     audited and its mark stays; the others still run, then the first error is
@@ -52,6 +54,8 @@ def ingest(
     record = record or AuditRecord("Bronze", "", "", orchestrator="lakeloom")
     run_start = run_start or utc_now()
     control = lakehouse.control_table()
+    if not control.exists(spark):
+        lakehouse.seed_control(spark)
     copied: dict[str, int] = {}
     errors: list[Exception] = []
     for row in control_rows(control.read(spark)):
@@ -83,5 +87,30 @@ def _copy(
     if row.load_type == FULL:
         write_full(rows, lakehouse.bronze, row.table_name)
         return read_full(spark, lakehouse.bronze, row.table_name).count()
-    write_batch(rows, lakehouse.bronze, row.table_name, run_date)
-    return read_batch(spark, lakehouse.bronze, row.table_name, run_date).count()
+    since = row.last_loaded_at
+    write_batch(rows, lakehouse.bronze, row.table_name, run_date, since)
+    return read_batch(spark, lakehouse.bronze, row.table_name, run_date, since=since).count()
+
+
+def land_csv(
+    spark: SparkSession,
+    lakehouse: Lakehouse,
+    folder: str,
+    file_name: str,
+    table: str,
+    record: AuditRecord | None = None,
+    sink: AuditSink | None = None,
+) -> int:
+    """Copy a CSV source, all columns as text, to bronze; returns its rows."""
+    record = record or AuditRecord("", "", "", orchestrator="lakeloom")
+    this = replace(
+        record,
+        layer="Bronze",
+        source_name=table,
+        activity_name=f"Data Ingestion: {table}",
+        load_type="FULL",
+    )
+    with audited(sink or lakehouse.audit_sink(spark), this) as outcome:
+        write_full(read_csv(spark, folder, file_name, CSV_COLUMNS[table]), lakehouse.bronze, table)
+        outcome.row_count = read_full(spark, lakehouse.bronze, table).count()
+    return outcome.row_count

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakeloom.functions.watermark import LOWEST_WATERMARK
 from lakeloom.operators.quality import require_passed, run_checks
 from lakeloom.plans import gold
 from lakeloom.plans.audit import AuditRecord, AuditSink, audited
 from lakeloom.plans.lakehouse import Lakehouse
 from lakeloom.plans.silver import SILVER, Load, SilverTable
 from lakeloom.session import materialise
-from lakeloom.sinks.tables import MergeCounts, Ranges, Table
+from lakeloom.sinks.tables import RANGE, MergeCounts, Table
 from lakeloom.sources.bronze import read_batch, read_full
 
 
@@ -73,10 +75,44 @@ def gold_tables(spark: SparkSession, lakehouse: Lakehouse) -> dict[str, DataFram
     return {n: lakehouse.table(lakehouse.gold, n).read(spark) for n in names}
 
 
-def _shared_ranges(orders: Table, items: Table) -> Ranges | None:
-    """The ranges of ``order_id`` both tables are partitioned by, if they are."""
-    same = orders.ranges == items.ranges
-    return orders.ranges if same and orders.ranges and orders.ranges.column == "order_id" else None
+# The largest change time of an order whose rows are all in the fact, as a property of the fact.
+FACT_MARK = "lakeloom.mark"
+
+
+def _late_ranges(items: Table, fact: Table, spark: SparkSession) -> set[int]:
+    """Ranges in which the fact has fewer rows than the items: the only ones where
+    it can lack an item. Counted from the files' footers."""
+    held = fact.range_counts(spark).withColumnRenamed("rows", "held")
+    short = items.range_counts(spark).join(held, RANGE, "left")
+    return {r[0] for r in short.where(F.col("rows") > F.coalesce("held", F.lit(0))).select(RANGE).collect()}
+
+
+def _increment(
+    spark: SparkSession,
+    fact: Table,
+    orders: Table,
+    items: Table,
+    dims: tuple[DataFrame, DataFrame],
+    mark: Column,
+    catch_up: bool,
+) -> DataFrame:
+    """What the fact lacks. Of tables that share their ranges of ``order_id``, only
+    ranges with changed orders or missing items are read."""
+    fact, orders, items = (t.opened(spark) for t in (fact, orders, items))
+    ranges = orders.ranges
+    ranges = ranges if ranges and ranges.column == "order_id" and items.ranges == ranges else None
+    if catch_up and fact.ranges != ranges:
+        ranges = None
+    wanted = None
+    if ranges:
+        found = set(ranges.listed(gold.changed_orders(orders.read(spark), mark)))
+        if catch_up:
+            found |= _late_ranges(items, fact, spark)
+        wanted = sorted(found)
+    known = fact.read(spark, wanted if fact.ranges == ranges else None)
+    return gold.fact_sales_increment(
+        known, items.read(spark, wanted), orders.read(spark, wanted), *dims, catch_up=catch_up, mark=mark
+    )
 
 
 def build_gold(
@@ -84,13 +120,21 @@ def build_gold(
     lakehouse: Lakehouse,
     as_of: str | None = None,
     every_price: bool = False,
-    catch_up: bool = False,
+    catch_up: bool = True,
     check: bool = True,
+    first_day: str | None = None,
+    last_day: str | None = None,
 ) -> DataFrame:
     """Rebuild the dimensions, add to the fact, then check the star.
 
-    The first run builds the whole fact. Returns the check results; failures
-    raise unless ``check`` is off.
+    The first run builds the whole fact. The mark from which the next run goes on
+    is kept beside the fact and moved when the merge is done, so a run that died
+    at any point is simply run again. Returns the check results; failures raise
+    unless ``check`` is off.
+
+    catch_up:  also add items that arrived after their order was loaded. Without
+               it only changed orders are looked at.
+    first_day, last_day: of the date dimension; by default it covers all orders.
     """
 
     def silver(name: str) -> Table:
@@ -106,19 +150,21 @@ def build_gold(
     target("dim_products").replace(
         gold.dim_products(read("products"), read("supplier_price_list"), as_of, every_price)
     )
-    target("dim_date").replace(gold.dim_date(spark))
+    days = gold.dim_date_covering(read("orders"), "order_date", first_day, last_day)
+    target("dim_date").replace(days)
     dims = (target("dim_customers").read(spark), target("dim_products").read(spark))
-    orders, items = read("orders"), read("order_items")
     fact = target("fact_sales", "order_item_id")
-    if fact.exists(spark):
-        known = fact.read(spark)
-        if not catch_up and (ranges := _shared_ranges(silver("orders"), silver("order_items"))):
-            changed = gold.changed_orders(known, orders)
-            items = silver("order_items").read(spark, ranges.listed(changed))
-        increment = gold.fact_sales_increment(known, items, orders, *dims, catch_up=catch_up)
-        fact.upsert(increment, count_target=False)
-    else:
-        fact.replace(gold.fact_sales(items, orders, *dims))
+    reached = fact.properties(spark).get(FACT_MARK)
+    if reached:
+        mark = F.lit(reached).cast("timestamp_ntz")
+        rows = _increment(spark, fact, silver("orders"), silver("order_items"), dims, mark, catch_up)
+        rows = materialise(rows, "increment")
+        fact.upsert(rows, count_target=False)
+    else:  # there is none, or its first build did not end
+        rows = materialise(gold.fact_sales(read("order_items"), read("orders"), *dims), "fact")
+        fact.replace(rows)
+    newest = rows.agg(F.max("updated_at").cast("string")).first()[0]
+    fact.set_property(spark, FACT_MARK, max(filter(None, (reached, newest, LOWEST_WATERMARK))))
 
     results = materialise(run_checks(gold_tables(spark, lakehouse), gold.GOLD_CHECKS), "checks")
     if check:

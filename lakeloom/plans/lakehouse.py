@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import SparkSession
 
 from lakeloom.plans.audit import AuditSink, table_sink
 from lakeloom.sinks.tables import Ranges, Table
-from lakeloom.sources.control import CONTROL_SCHEMA
+from lakeloom.sources.control import CONTROL_SCHEMA, CONTROL_SEED
 
 
 @dataclass(frozen=True)
@@ -48,12 +48,12 @@ class Lakehouse:
         return self.table(self.control, "control_table", ("table_name",))
 
     def audit_table(self) -> Table:
-        return self.table(self.control, "audit_log")
+        return replace(self.table(self.control, "audit_log"), leaves=True)
 
     def audit_sink(self, spark: SparkSession) -> AuditSink:
         return table_sink(spark, self.audit_table())
 
-    def seed_control(self, spark: SparkSession, rows: list[tuple]) -> None:
+    def seed_control(self, spark: SparkSession, rows: Sequence[tuple] = CONTROL_SEED) -> None:
         """Add control rows for sources that have none yet."""
-        df = spark.createDataFrame(rows, schema=CONTROL_SCHEMA)
+        df = spark.createDataFrame(list(rows), schema=CONTROL_SCHEMA)
         self.control_table().insert_new(df)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -33,12 +34,12 @@ def _local_scratch() -> str:
 def workspace(spark: SparkSession, purpose: str) -> str:
     """A new, empty folder under the shared folder the cluster names.
 
-    Only a local-mode session without ``spark.checkpoint.dir`` falls back to a
-    temporary folder; executors on other machines could not read one.
+    Only a session whose driver is its one executor falls back to a temporary
+    folder without ``spark.checkpoint.dir``; other machines could not read one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/lakeloom/{purpose}-{uuid.uuid4().hex[:16]}"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 
-from lakeloom.sources.bronze import BATCH_COLUMN
+from lakeloom.sources.bronze import BATCH_COLUMN, mark_folder
 
 
 def _write(df: DataFrame, path: str, mode: str) -> None:
@@ -17,12 +19,16 @@ def write_full(df: DataFrame, base: str, table: str) -> None:
 
 
 def write_batch(
-    df: DataFrame, base: str, table: str, run_date: str, append: bool = False
+    df: DataFrame, base: str, table: str, run_date: str, since: datetime | None = None
 ) -> None:
     """Write the batch of ``run_date``; other days stay as they are.
 
-    By default a second run on the same day replaces that day. Use ``append``
-    where several successful runs a day each bring only their own rows.
+    since: the mark the batch starts from. Batches of one day with different marks
+           stay side by side, each run adds its own rows; a run that failed and
+           starts from its mark again replaces what it left. Without a mark the
+           batch is the whole day.
     """
     path = f"{base}/{table}/{BATCH_COLUMN}={run_date}"
-    _write(df, path, "append" if append else "overwrite")
+    if since is not None:
+        path += f"/{mark_folder(since)}"
+    _write(df, path, "overwrite")

@@ -8,14 +8,17 @@ state in place.
 A table may be partitioned by ranges of a whole-number column that never changes
 for a key, such as the key itself or the order an item belongs to. A merge then
 reads only the ranges its batch falls into and rewrites only those in which a
-row is really replaced; new keys alone are appended. Without ranges, a batch
-that replaces any row rewrites the table.
+row is really replaced or added. All files are written before the catalog hears
+of any, so a merge that died half-way is simply run again. Without ranges, a
+batch that replaces any row rewrites the table and new keys alone are appended.
+The ranges are kept with the table: a later run need not name them.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,10 @@ from lakeloom.operators import merge as m
 from lakeloom.session import materialise
 
 RANGE = "key_range"
+LEAF = "leaf"
+RANGE_COLUMN, RANGE_WIDTH = "lakeloom.range_column", "lakeloom.range_width"
+# Catalog calls at a time when the partitions of a merge are moved.
+CATALOG_CALLS = 16
 # Formats whose own MERGE is used instead.
 MERGING_FORMATS = frozenset({"delta", "iceberg"})
 
@@ -77,8 +84,10 @@ class Table:
     name:   catalog name, for example ``silver.orders``.
     root:   folder that holds the table's files.
     keys:   columns of the merge key; unique in the table.
-    ranges: how the table is partitioned, if it is.
+    ranges: how the table is partitioned, if it is; a table that exists knows it by itself.
     format: ``parquet``, or a format of the session that merges by itself.
+    leaves: each ``add`` makes a partition of its own, so that writers at one
+            time don't meet.
     """
 
     name: str
@@ -86,11 +95,31 @@ class Table:
     keys: tuple[str, ...] = ()
     ranges: Ranges | None = None
     format: str = "parquet"
+    leaves: bool = False
 
-    # -- reading -----------------------------------------------------------
+    # -- properties ----------------------------------------------------------
     def exists(self, spark: SparkSession) -> bool:
         return spark.catalog.tableExists(self.name)
 
+    def properties(self, spark: SparkSession) -> dict[str, str]:
+        rows = spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect() if self.exists(spark) else []
+        return {row["key"]: row["value"] for row in rows}
+
+    def set_property(self, spark: SparkSession, key: str, value: str) -> None:
+        spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+    def opened(self, spark: SparkSession) -> Table:
+        """This table with the ranges it was created with; others than those are an error."""
+        if self.leaves or not self.exists(spark):
+            return self
+        known = self.properties(spark)
+        stored = Ranges(known[RANGE_COLUMN], int(known[RANGE_WIDTH])) if RANGE_COLUMN in known else None
+        if self.ranges and self.ranges != stored:
+            raise ValueError(f"{self.name} was created with {stored}, not {self.ranges}")
+        return replace(self, ranges=stored)
+
+    # -- reading -----------------------------------------------------------
+
     def read(self, spark: SparkSession, ranges: list[int] | None = None) -> DataFrame:
         """The table, or only the partitions of ``ranges``.
 
@@ -99,9 +128,14 @@ class Table:
         """
         spark.catalog.refreshTable(self.name)
         df = spark.table(self.name)
-        if not self.ranges:
-            return df
-        return (df if ranges is None else df.where(F.col(RANGE).isin(ranges))).drop(RANGE)
+        if ranges is not None:
+            df = df.where(F.col(RANGE).isin(ranges))
+        return df.drop(LEAF if self.leaves else RANGE)
+
+    def range_counts(self, spark: SparkSession) -> DataFrame:
+        """Rows of each range, from the files' footers."""
+        spark.catalog.refreshTable(self.name)
+        return spark.table(self.name).groupBy(RANGE).agg(F.count(F.lit(1)).alias("rows"))
 
     # -- layout ------------------------------------------------------------
     def _placed(self, df: DataFrame) -> DataFrame:
@@ -129,9 +163,14 @@ class Table:
         if new := [v for v in ranges if v not in known]:
             added = " ".join(f"PARTITION ({RANGE}={v}) LOCATION {at(v)}" for v in new)
             spark.sql(f"ALTER TABLE {self.name} ADD {added}")
-        for v in ranges:
-            if v in known:
-                spark.sql(f"ALTER TABLE {self.name} PARTITION ({RANGE}={v}) SET LOCATION {at(v)}")
+        # catalogs move one partition a call
+        with ThreadPoolExecutor(CATALOG_CALLS) as calls:
+            moves = [calls.submit(self._move, spark, v, at(v)) for v in ranges if v in known]
+        for move in moves:
+            move.result()
+
+    def _move(self, spark: SparkSession, value: int, folder: str) -> None:
+        spark.sql(f"ALTER TABLE {self.name} PARTITION ({RANGE}={value}) SET LOCATION {folder}")
 
     def _known_ranges(self, spark: SparkSession) -> list[int]:
         rows = spark.sql(f"SHOW PARTITIONS {self.name}").collect()
@@ -143,15 +182,31 @@ class Table:
         if self.exists(spark):
             return
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        layout = ""
+        layout = kept = ""
         if self.ranges:
             columns += f", {RANGE} bigint"
             layout = f"PARTITIONED BY ({RANGE})"
+            kept = (
+                f"TBLPROPERTIES ('{RANGE_COLUMN}' = '{self.ranges.column}', "
+                f"'{RANGE_WIDTH}' = '{self.ranges.width}')"
+            )
+        elif self.leaves:
+            columns += f", {LEAF} string"
+            layout = f"PARTITIONED BY ({LEAF})"
+        # another first run may have been quicker
         spark.sql(
-            f"CREATE TABLE {self.name} ({columns}) USING {self.format} {layout} "
-            f"LOCATION '{self._new_folder()}'"
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING {self.format} {layout} "
+            f"LOCATION '{self._new_folder()}' {kept}"
         )
 
+    def add(self, df: DataFrame) -> None:
+        """Append rows as a partition of their own: files first, then one catalog call."""
+        spark, leaf = df.sparkSession, uuid.uuid4().hex
+        self.create_if_absent(spark, df.schema)
+        folder = f"{self.root.rstrip('/')}/{LEAF}={leaf}"
+        df.write.parquet(folder)
+        spark.sql(f"ALTER TABLE {self.name} ADD PARTITION ({LEAF}='{leaf}') LOCATION '{folder}'")
+
     def replace(self, df: DataFrame) -> int:
         """Full refresh: the table holds exactly ``df`` afterwards. Returns its rows.
 
@@ -160,6 +215,10 @@ class Table:
         """
         spark = df.sparkSession
         self.create_if_absent(spark, df.schema)
+        return self.opened(spark)._replace(df)
+
+    def _replace(self, df: DataFrame) -> int:
+        spark = df.sparkSession
         current = self.read(spark)
         if extra := set(df.columns) ^ set(current.columns):
             raise ValueError(f"{self.name}: columns differ in {sorted(extra)}")
@@ -170,7 +229,9 @@ class Table:
         folder = self._write_version(placed)
         if self.ranges:
             before = self._known_ranges(spark)
-            written = self.ranges.listed(spark.read.schema(placed.schema).parquet(folder))
+            # a partition column: folders are listed, no data is read
+            rows = spark.read.schema(placed.schema).parquet(folder).select(RANGE).distinct().collect()
+            written = sorted(row[0] for row in rows)
             self._point_ranges(spark, folder, written)
             for value in set(before) - set(written):
                 spark.sql(f"ALTER TABLE {self.name} DROP PARTITION ({RANGE}={value})")
@@ -193,7 +254,7 @@ class Table:
 
     def insert_new(self, batch: DataFrame, **options: bool) -> MergeCounts:
         """Insert-only merge: append rows whose key is new, touch nothing else."""
-        return self._merge(batch, "false", insert_only=True, **options)
+        return self._open_merge(batch, "false", insert_only=True, **options)
 
     def upsert(
         self, batch: DataFrame, update_when: str | None = None, **options: bool
@@ -205,7 +266,11 @@ class Table:
         count_target:     count the rows there were before, which opens every
                           file of the table, not just those of its ranges.
         """
-        return self._merge(batch, update_when, insert_only=False, **options)
+        return self._open_merge(batch, update_when, insert_only=False, **options)
+
+    def _open_merge(self, batch: DataFrame, update_when: str | None, **options: bool) -> MergeCounts:
+        self.create_if_absent(batch.sparkSession, batch.schema)
+        return self.opened(batch.sparkSession)._merge(batch, update_when, **options)
 
     def _merge(
         self,
@@ -217,7 +282,6 @@ class Table:
     ) -> MergeCounts:
         spark = batch.sparkSession
         keys = list(self.keys)
-        self.create_if_absent(spark, batch.schema)
         whole = self.read(spark)
         # computed once here; every later step reads these files
         staged = materialise(self._placed(m.conform(batch, whole)), "batch")
@@ -226,17 +290,19 @@ class Table:
 
         before = whole.count() if count_target else None  # from the file footers
         incoming, ranges = self._size(staged).first()
+        if not incoming:
+            return MergeCounts(before, 0, 0, 0)
         target = spark.table(self.name)
         if self.ranges:
             target = target.where(F.col(RANGE).isin(ranges))
         if before == 0 or (before is None and target.isEmpty()):
-            self._append(staged)
+            self._append(staged, ranges)
             return MergeCounts(before, incoming, 0, incoming)
         actions = m.classify(target, staged, keys, update_when)
         changes = materialise(actions.where(F.col(m.ACTION) != "none"), "changes")
         sizes = {row[0]: row[1:] for row in self._size(changes.groupBy(m.ACTION)).collect()}
-        updated, ranges = sizes.get("update", (0, []))
-        inserted, _ = sizes.get("insert", (0, []))
+        updated, changed = sizes.get("update", (0, []))
+        inserted, grown = sizes.get("insert", (0, []))
         counts = MergeCounts(before, incoming, updated, inserted)
 
         if self.format in MERGING_FORMATS:
@@ -248,20 +314,20 @@ class Table:
 
         updates = changes.where(F.col(m.ACTION) == "update").drop(m.ACTION)
         inserts = changes.where(F.col(m.ACTION) == "insert").drop(m.ACTION)
-        if updated:
-            here, inserts = inserts, None
-            if self.ranges:
-                # other ranges only grow: their new rows are appended below
-                touched = F.col(RANGE).isin(ranges)
-                target, inserts, here = target.where(touched), here.where(~touched), here.where(touched)
-            rewritten = m.update_matched(target, updates, keys, update_when).unionByName(here)
+        if self.ranges and (updated or inserted):
+            # ranges that only get rows are rewritten too: files added to a moved partition
+            # would be renamed one by one by the driver
+            here = sorted({*changed, *(set(grown) & set(self._known_ranges(spark)))})
+            target = target.where(F.col(RANGE).isin(here))
+            rewritten = m.update_matched(target, updates, keys, update_when).unionByName(inserts)
+            folder = self._write_version(rewritten)
+            self._point_ranges(spark, folder, sorted({*changed, *grown}))
+        elif updated:
+            rewritten = m.update_matched(target, updates, keys, update_when).unionByName(inserts)
             folder = self._write_version(rewritten)
-            if self.ranges:
-                self._point_ranges(spark, folder, ranges)
-            else:
-                spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{folder}'")
-        if inserted and inserts is not None:
-            self._append(inserts)
+            spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{folder}'")
+        elif inserted:
+            self._append(inserts, [])
         spark.catalog.refreshTable(self.name)
         return counts
 
@@ -270,8 +336,11 @@ class Table:
         ranges = F.collect_set(RANGE) if self.ranges else F.array()
         return rows.agg(F.count(F.lit(1)), ranges)
 
-    def _append(self, placed: DataFrame) -> None:
-        rows = placed.select(*placed.sparkSession.table(self.name).columns)
-        rows = rows.hint("rebalance", RANGE) if self.ranges else rows
-        rows.write.insertInto(self.name)
-        placed.sparkSession.catalog.refreshTable(self.name)
+    def _append(self, placed: DataFrame, ranges: list[int]) -> None:
+        """Add rows whose ranges, if there are any, hold none yet."""
+        spark = placed.sparkSession
+        if self.ranges:
+            self._point_ranges(spark, self._write_version(placed), ranges)
+        else:
+            placed.select(*spark.table(self.name).columns).write.insertInto(self.name)
+        spark.catalog.refreshTable(self.name)

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_COLUMN = "ingest_date"
+MARK_COLUMN = "since"
+
+
+def mark_folder(since: datetime) -> str:
+    return f"{MARK_COLUMN}={since:%Y%m%dT%H%M%S%f}"
 
 
 def read_full(spark: SparkSession, base: str, table: str) -> DataFrame:
@@ -15,18 +22,31 @@ def read_full(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 
 def read_batch(
-    spark: SparkSession, base: str, table: str, run_date: str, strict: bool = False
+    spark: SparkSession,
+    base: str,
+    table: str,
+    run_date: str,
+    strict: bool = False,
+    since: datetime | None = None,
 ) -> DataFrame:
-    """The rows that arrived on ``run_date``, without the partition column.
+    """The rows that arrived on ``run_date``, in one batch or several, without the
+    partition columns.
 
     Names the day's folder instead of filtering the whole table, so years of
     other days are not even listed. A day without a folder is an empty batch of
     the table's type; ``strict`` raises instead.
+
+    since: only the batch that starts from this mark.
     """
     folder = f"{base}/{table}"
+    batch = f"{folder}/{BATCH_COLUMN}={run_date}"
+    if since is not None:
+        batch += f"/{mark_folder(since)}"
     try:
-        return spark.read.parquet(f"{folder}/{BATCH_COLUMN}={run_date}")
+        # folders below the day's are its batches, not columns
+        day = spark.read.option("recursiveFileLookup", True)
+        return day.parquet(batch)
     except AnalysisException as error:
         if strict or error.getCondition() != "PATH_NOT_FOUND":
             raise
-    return spark.read.parquet(folder).drop(BATCH_COLUMN).where(F.lit(False))
+    return spark.read.parquet(folder).drop(BATCH_COLUMN, MARK_COLUMN).where(F.lit(False))

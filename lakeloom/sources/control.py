@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.watermark import LOWEST_WATERMARK
+
 CONTROL_SCHEMA = (
     "table_name string, source_schema string, load_type string, "
     "watermark_column string, last_loaded_at timestamp_ntz"
 )
 FULL, INCREMENTAL = "full", "incremental"
+NEVER = datetime.fromisoformat(LOWEST_WATERMARK)
+# The sources of a new lakehouse, none of which was loaded yet.
+CONTROL_SEED = (
+    ("customers", "dbo", "full", None, NEVER),
+    ("products", "dbo", "full", None, NEVER),
+    ("orders", "dbo", "incremental", "updated_at", NEVER),
+    ("order_items", "dbo", "incremental", "created_at", NEVER),
+    ("payments", "dbo", "incremental", "updated_at", NEVER),
+)
 
 
 @dataclass(frozen=True)
@@ -25,9 +36,11 @@ class ControlRow:
 
 
 def control_rows(control: DataFrame) -> list[ControlRow]:
-    """The control table on the driver: one row per source, so a few dozen."""
+    """The control table on the driver: one row per source, so a few dozen. A source
+    without a mark was never loaded."""
     names = ControlRow.__dataclass_fields__
     rows = [ControlRow(**row.asDict()) for row in control.select(*names).collect()]
+    rows = [row if row.last_loaded_at else replace(row, last_loaded_at=NEVER) for row in rows]
     for row in rows:
         if row.load_type not in (FULL, INCREMENTAL):
             raise ValueError(f"{row.table_name}: load_type {row.load_type!r}")

@@ -7,6 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# The columns of the sources that come as CSV files.
+CSV_COLUMNS = {
+    "marketing_spend": ("spend_date", "channel", "campaign", "spend_amount", "clicks"),
+    "supplier_price_list": (
+        "product_id", "product_name", "supplier_name", "supplier_cost", "effective_date",
+    ),
+}
+
 
 def read_csv(
     spark: SparkSession, folder: str, file_name: str, columns: Sequence[str]

@@ -53,5 +53,8 @@ class JdbcSource:
             }
         return options
 
+    def writer_options(self, table: str) -> dict[str, str]:
+        return {"url": self.url, "dbtable": table, **self.options}
+
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.reader_options(schema, table)).load()

@@ -88,6 +88,8 @@ PARTS: dict[str, str] = {
         SELECT * REPLACE (CAST(item_price + 1 AS DECIMAL(10,2)) AS item_price) FROM b_items""",
     "b_items_faulty": """
         SELECT * REPLACE (CASE WHEN quantity < 10 THEN 0 ELSE quantity END AS quantity,
+               CASE WHEN quantity > 47 THEN -order_id ELSE order_id END AS order_id,
+               CASE WHEN quantity = 40 THEN -product_id ELSE product_id END AS product_id,
                CAST(CASE WHEN quantity > 45 THEN -item_price ELSE item_price END
                     AS DECIMAL(10,2)) AS item_price)
         FROM b_items""",
@@ -96,7 +98,7 @@ PARTS: dict[str, str] = {
                {_padded("event_type")} AS method,
                strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS paid_at,
                strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS updated_at
-        FROM events WHERE event_type = 'purchase'""",
+        FROM events""",
     "b_spend": f"""
         SELECT CASE WHEN event_type = 'signup' THEN '2024-13-45'
                     ELSE strftime(ts, '%Y-%m-%d') END AS spend_date,
@@ -200,8 +202,9 @@ PARTS: dict[str, str] = {
                CAST(day(date_day) AS INT) AS day_of_month,
                CAST(dayofweek(date_day) + 1 AS INT) AS day_of_week,
                strftime(date_day, '%a') AS day_name
-        FROM (SELECT CAST(unnest(generate_series(min(order_date), max(order_date),
-                     INTERVAL 1 DAY)) AS DATE) AS date_day FROM orders_s)""",
+        FROM (SELECT CAST(unnest(generate_series(least(min(order_date), DATE '2024-01-01'),
+                     greatest(max(order_date), DATE '2026-12-31'), INTERVAL 1 DAY)) AS DATE)
+                     AS date_day FROM orders_s)""",
     "fact": """
         SELECT i.order_item_id, o.order_id, c.customer_key, p.product_key, o.customer_id,
                i.product_id, o.order_date, i.quantity, i.item_price,
@@ -234,19 +237,20 @@ PARTS: dict[str, str] = {
         UNION ALL
         SELECT * FROM items_s
         WHERE order_item_id NOT IN (SELECT order_item_id FROM items_before_s)""",
-    "fact_loaded_new": """
+    "fact_loaded": """
         SELECT i.order_item_id, o.order_id, c.customer_key, p.product_key, o.customer_id,
                i.product_id, o.order_date, i.quantity, i.item_price,
                CAST(i.quantity * i.item_price AS DECIMAL(21,2)) AS revenue, o.status, o.updated_at
         FROM items_loaded i JOIN orders_s o ON i.order_id = o.order_id
         LEFT JOIN dim_c c ON o.customer_id = c.customer_id
-        LEFT JOIN dim_p p ON i.product_id = p.product_id
-        WHERE o.updated_at > (SELECT mark FROM fact_mark)""",
-    "fact_loaded": """
-        SELECT * FROM fact_loaded_new
+        LEFT JOIN dim_p p ON i.product_id = p.product_id""",
+    # without the items that came after their order was loaded
+    "fact_changed_new": "SELECT * FROM fact_loaded WHERE updated_at > (SELECT mark FROM fact_mark)",
+    "fact_changed_only": """
+        SELECT * FROM fact_changed_new
         UNION ALL
         SELECT * FROM fact_yesterday
-        WHERE order_item_id NOT IN (SELECT order_item_id FROM fact_loaded_new)""",
+        WHERE order_item_id NOT IN (SELECT order_item_id FROM fact_changed_new)""",
     "star": """
         SELECT f.*, c.city, p.category, p.product_name, d.year, d.quarter, d.month,
                d.month_name, d.day_name
@@ -257,7 +261,8 @@ PARTS: dict[str, str] = {
         SELECT t.*, (SELECT mark FROM mark) AS last_loaded_at
         FROM (VALUES ('customers', 'dbo', 'full', NULL), ('products', 'dbo', 'full', NULL),
                      ('orders', 'dbo', 'incremental', 'updated_at'),
-                     ('order_items', 'dbo', 'incremental', 'created_at'))
+                     ('order_items', 'dbo', 'incremental', 'created_at'),
+                     ('payments', 'dbo', 'incremental', 'updated_at'))
           AS t(table_name, source_schema, load_type, watermark_column)""",
     "extracted": """
         SELECT 'customers' AS "table", count(*) AS "rows" FROM b_customers
@@ -265,11 +270,21 @@ PARTS: dict[str, str] = {
         UNION ALL SELECT 'orders', count(*) FROM b_orders
           WHERE updated_at > (SELECT mark FROM mark)
         UNION ALL SELECT 'order_items', count(*) FROM b_items
-          WHERE created_at > (SELECT mark FROM mark)""",
+          WHERE created_at > (SELECT mark FROM mark)
+        UNION ALL SELECT 'payments', count(*) FROM b_payments
+          WHERE updated_at > (SELECT strftime(mark, '%Y-%m-%d %H:%M:%S') FROM mark)""",
+    "control_wrong": """
+        SELECT * FROM control
+        UNION ALL SELECT 'orders', 'dbo', 'full', NULL, mark FROM mark
+        UNION ALL SELECT 'refunds', 'dbo', 'sometimes', NULL, mark FROM mark""",
     # quality
     "fact_dq": """
         SELECT * REPLACE (CASE WHEN quantity < 40 THEN product_key END AS product_key) FROM fact""",
-    "dim_c_dq": "SELECT * FROM dim_c WHERE city LIKE 'H%'",
+    "dim_c_dq": """
+        SELECT * REPLACE (CASE WHEN city LIKE 'M%' THEN -1 ELSE customer_id END AS customer_id)
+        FROM dim_c""",
+    "dim_c_some": "SELECT * FROM dim_c WHERE city LIKE 'H%'",
+    "dim_d_some": f"SELECT * FROM dim_d WHERE date_day < DATE '{CUTOFF}'",
 }
 
 
@@ -333,19 +348,20 @@ NOT_NULL_COLUMNS = (
     ("fact_sales", "product_key"), ("dim_date", "date_key"), ("dim_date", "date_day"),
 )
 UNIQUE_COLUMNS = tuple(c for c in NOT_NULL_COLUMNS if c not in NOT_NULL_COLUMNS[5:7])
+# column, the parent in the checks on test frames, in the checks of a build, its column
 RELATED_COLUMNS = (
-    ("customer_key", "dim_customers", "dim_c_dq", "dim_c"),
-    ("product_key", "dim_products", "dim_p", "dim_p"),
+    ("customer_key", "dim_c_some", "dim_c", "customer_key"),
+    ("product_key", "dim_p", "dim_p", "product_key"),
+    ("order_date", "dim_d_some", "dim_d", "date_day"),
 )
 CHECKED = {"dim_customers": "dim_c_dq", "dim_products": "dim_p", "dim_date": "dim_d",
            "fact_sales": "fact_dq"}
 CHECKED_EVERY = {**CHECKED, "dim_products": "dim_p_every"}
-BUILT = {"dim_customers": "dim_c", "dim_products": "dim_p", "fact_sales": "fact_loaded"}
+BUILT = {"dim_customers": "dim_c", "dim_products": "dim_p", "dim_date": "dim_d",
+         "fact_sales": "fact_loaded"}
 
 
 def _built_failures(kind: str, table: str, column: str) -> str:
-    if table == "dim_date":  # fixed days, nothing to fail
-        return "SELECT 0"
     return (_twice if kind == "unique" else _nulls)(BUILT[table], column)
 
 
@@ -442,6 +458,7 @@ STATEMENTS: dict[str, str] = {
         UNION ALL SELECT 'payments', count(*) FROM payments_s
         UNION ALL SELECT 'supplier_price_list', count(*) FROM prices_s""",
     "upsert_orders": "SELECT * FROM merged_orders",
+    "upsert_orders_small_batch": "SELECT * FROM merged_orders",
     "upsert_replay": "SELECT * FROM merged_orders",
     "table_upsert_orders": "SELECT * FROM merged_orders",
     "stream_orders_upsert": "SELECT * FROM merged_orders",
@@ -513,8 +530,10 @@ STATEMENTS: dict[str, str] = {
               UNION ALL SELECT 'marketing_spend', 'FULL_REFRESH', NULL, 'SUCCESS',
                      (SELECT count(*) FROM spend_s)
               UNION ALL SELECT 'orders', 'INCREMENTAL', '2026-01-31', 'SUCCESS',
-                     (SELECT count(*) FROM orders_before_s)
+                     (SELECT count(*) FROM orders_s)
               UNION ALL SELECT 'marketing_spend', 'FULL_REFRESH', NULL, 'FAIL', NULL)""",
+    "ingest_twice_a_day": "SELECT * FROM orders_s",
+    "csv_to_silver_prices": "SELECT * FROM prices_s",
     "dim_customers": "SELECT * FROM dim_c",
     "dim_products": "SELECT * FROM dim_p",
     "dim_products_as_of": f"""
@@ -558,12 +577,14 @@ STATEMENTS: dict[str, str] = {
     "fact_sales_lookback": """
         SELECT * FROM fact WHERE updated_at > (SELECT mark FROM fact_mark) - to_days(365)""",
     "gold_fact_table": "SELECT * FROM fact_loaded",
+    "gold_fact_after_retry": "SELECT * FROM fact_loaded",
+    "gold_fact_changed_only": "SELECT * FROM fact_changed_only",
     "gold_build_checks": _checks(
         *(("unique", t, c, _built_failures("unique", t, c)) for t, c in UNIQUE_COLUMNS),
         *(("not_null", t, c, _built_failures("not_null", t, c)) for t, c in NOT_NULL_COLUMNS),
         *(
-            ("relationships", "fact_sales", c, _lost("fact_loaded", c, built, c))
-            for c, _, _, built in RELATED_COLUMNS
+            ("relationships", "fact_sales", c, _lost("fact_loaded", c, built, key))
+            for c, _, built, key in RELATED_COLUMNS
         ),
     ),
     "star_join": """
@@ -587,8 +608,8 @@ STATEMENTS: dict[str, str] = {
     ),
     "dq_relationships": _checks(
         *(
-            ("relationships", "fact_sales", c, _lost("fact_dq", c, parent, c))
-            for c, _, parent, _ in RELATED_COLUMNS
+            ("relationships", "fact_sales", c, _lost("fact_dq", c, parent, key))
+            for c, parent, _, key in RELATED_COLUMNS
         )
     ),
     "dq_source_checks": _checks(
@@ -596,23 +617,23 @@ STATEMENTS: dict[str, str] = {
         ("unique", "customers", "email", _twice("b_customers", "email")),
         ("unique", "products", "product_id", _twice("b_products", "product_id")),
         ("condition", "products", "unit_price", _breaks("b_products", "unit_price >= 0")),
-        ("unique", "orders", "order_id", _twice("b_orders_before", "order_id")),
+        ("unique", "orders", "order_id", _twice("b_orders", "order_id")),
         ("relationships", "orders", "customer_id",
-         _lost("b_orders_before", "customer_id", "b_customers", "customer_id")),
+         _lost("b_orders", "customer_id", "b_customers", "customer_id")),
         ("unique", "order_items", "order_item_id", _twice("b_items_faulty", "order_item_id")),
         ("condition", "order_items", "quantity", _breaks("b_items_faulty", "quantity > 0")),
         ("relationships", "order_items", "order_id",
-         _lost("b_items_faulty", "order_id", "b_orders_before", "order_id")),
+         _lost("b_items_faulty", "order_id", "b_orders", "order_id")),
         ("relationships", "order_items", "product_id",
          _lost("b_items_faulty", "product_id", "b_products", "product_id")),
         ("unique", "payments", "payment_id", _twice("b_payments", "payment_id")),
         ("relationships", "payments", "order_id",
-         _lost("b_payments", "order_id", "b_orders_before", "order_id")),
+         _lost("b_payments", "order_id", "b_orders", "order_id")),
     ),
     "dq_control_table": _checks(
-        ("unique", "control_table", "table_name", _twice("control", "table_name")),
+        ("unique", "control_table", "table_name", _twice("control_wrong", "table_name")),
         ("condition", "control_table", "load_type",
-         _breaks("control", "load_type IN ('full', 'incremental')")),
+         _breaks("control_wrong", "load_type IN ('full', 'incremental')")),
     ),
     "orphan_rows": """
         SELECT order_id AS value, count(*) AS "rows" FROM b_items

@@ -146,9 +146,9 @@ class Roles:
 
     @cached_property
     def payments(self) -> DataFrame:
-        """Purchases as versions of one payment per user."""
+        """Events as versions of one payment per user, their type as its method."""
         text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        return self.read("events").where(F.col("event_type") == "purchase").select(
+        return self.read("events").select(
             F.col("user_id").alias("payment_id"),
             F.col("user_id").alias("order_id"),
             F.col("value").cast("string").alias("amount"),
@@ -213,7 +213,8 @@ class Roles:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date_of(self.silver("orders"), "order_date")
+        # the span of the raw dates holds that of the silver ones, and needs no deduplication
+        return gold.dim_date_covering(self.orders, "order_date")
 
     def fact(self, orders: DataFrame | None = None) -> DataFrame:
         return gold.fact_sales(

@@ -64,6 +64,14 @@ def test_date_dimension(spark):
     assert [t for _, t in days.dtypes[:2]] == ["date", "int"]
 
 
+def test_date_dimension_covers_all_days(spark):
+    days = spark.createDataFrame([(date(2020, 1, 1),), (None,), (date(2026, 5, 5),)], "d date")
+    span = lambda *a: tuple(map(str, gold.dim_date_covering(*a).agg(F.min("date_day"), F.max("date_day")).first()))
+    assert span(days, "d") == ("2020-01-01", "2026-12-31")
+    assert span(days.where("d is null"), "d") == ("2024-01-01", "2026-12-31")
+    assert span(days, "d", "2021-01-01", "2021-02-01") == ("2021-01-01", "2021-02-01")
+
+
 def test_fact_rows(spark, rows):
     fact = gold.fact_sales(*star(spark))
     assert rows(fact.select("order_item_id", "order_id", "revenue", "status")) == [

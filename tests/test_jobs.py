@@ -1,20 +1,22 @@
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 import fixtures as fx
 from lakeloom import cli
 from lakeloom.operators.quality import QualityError
-from lakeloom.plans import audit
+from lakeloom.plans import audit, jobs
 from lakeloom.plans.audit import AuditRecord, audited
-from lakeloom.plans.ingest import ingest
+from lakeloom.plans.ingest import ingest, land_csv
 from lakeloom.plans.jobs import build_gold, run_silver, silver_target
 from lakeloom.plans.silver import SILVER
 from lakeloom.sinks import write_batch, write_full
-from lakeloom.sinks.tables import MergeCounts, Ranges
-from lakeloom.sources import read_batch, read_full
+from lakeloom.sinks.tables import MergeCounts, Ranges, Table
+from lakeloom.sources import JdbcSource, read_batch, read_full
 
 START = datetime(2025, 2, 1, 1, 0, 0, 123456)
 
@@ -34,12 +36,25 @@ def test_success_is_recorded(spark, lakehouse):
 
 
 def test_failure_is_recorded_and_raised(spark, lakehouse):
-    with pytest.raises(KeyError), audited(
+    with pytest.raises(ValueError), audited(
         lakehouse.audit_sink(spark), AuditRecord("Silver", "t", "a")
     ):
-        raise KeyError("x" * 5000)
+        raise ValueError("x" * 50_000 + " root cause")
     (row,) = log(spark, lakehouse)
-    assert (row.status, row.row_count, len(row.error_message)) == ("FAIL", None, 4000)
+    assert (row.status, row.row_count) == ("FAIL", None)
+    assert row.error_message == "x" * 50_000 + " root cause"
+
+
+def test_parallel_tasks_all_leave_their_row(spark, lakehouse):
+    def task(n):
+        with audited(lakehouse.audit_sink(spark), AuditRecord("Silver", f"t{n}", "a")) as outcome:
+            outcome.row_count = n
+
+    for after in (7, 14, 21):
+        with ThreadPoolExecutor(7) as pool:
+            list(pool.map(task, range(7)))
+        found = log(spark, lakehouse)
+        assert len(found) == after and {r.source_name for r in found} == {f"t{n}" for n in range(7)}
 
 
 def test_a_broken_log_does_not_hide_the_error():
@@ -141,7 +156,7 @@ def test_gold_is_built_and_added_to(spark, lakehouse, rows, ranged):
     load(spark, lakehouse, "supplier_price_list", fx.prices(spark))
     load(spark, lakehouse, "orders", fx.orders(spark, (1, 1, "Placed", fx.day(1)), (2, 2, "Placed", fx.day(2))))
     load(spark, lakehouse, "order_items", fx.items(spark, (10, 1, 1, 2, "5"), (20, 2, 2, 1, "3")))
-    assert build_gold(spark, lakehouse).count() == 18
+    assert build_gold(spark, lakehouse).count() == 19
 
     fact = lakehouse.table(lakehouse.gold, "fact_sales")
     assert rows(fact.read(spark).select("order_item_id", "revenue")) == [(10, D(10)), (20, D(3))]
@@ -151,15 +166,98 @@ def test_gold_is_built_and_added_to(spark, lakehouse, rows, ranged):
         spark, lakehouse, "order_items",
         fx.items(spark, (11, 1, 1, 1, "5"), (21, 2, 2, 1, "3"), (30, 3, 2, 1, "3")),
     )
-    build_gold(spark, lakehouse)
+    build_gold(spark, lakehouse, catch_up=False)
     loaded = [(10, "Shipped"), (11, "Shipped"), (20, "Placed"), (30, "Placed")]
     assert rows(fact.read(spark).select("order_item_id", "status")) == loaded
-    build_gold(spark, lakehouse)
+    build_gold(spark, lakehouse, catch_up=False)
     assert rows(fact.read(spark).select("order_item_id", "status")) == loaded
-    build_gold(spark, lakehouse, catch_up=True)
+    build_gold(spark, lakehouse)  # finds the item that came after its order
     assert [r[0] for r in rows(fact.read(spark).select("order_item_id"))] == [10, 11, 20, 21, 30]
 
 
+def two_days(spark, lakehouse):
+    """A lake whose gold was built once; since then an order changed, one is new, and an item came late."""
+    ranges = {
+        f"{schema}.{name}": Ranges("order_id", 1)
+        for schema, name in ((lakehouse.silver, "orders"), (lakehouse.silver, "order_items"), (lakehouse.gold, "fact_sales"))
+    }
+    lakehouse = replace(lakehouse, ranges=ranges)
+    load(spark, lakehouse, "customers", fx.customers(spark))
+    load(spark, lakehouse, "products", fx.products(spark))
+    load(spark, lakehouse, "supplier_price_list", fx.prices(spark))
+    load(spark, lakehouse, "orders", fx.orders(spark, (1, 1, "Placed", fx.day(1)), (2, 2, "Placed", fx.day(2))))
+    load(spark, lakehouse, "order_items", fx.items(spark, (10, 1, 1, 2, "5"), (20, 2, 2, 1, "3")))
+    build_gold(spark, lakehouse)
+    load(
+        spark, lakehouse, "orders",
+        fx.orders(spark, (1, 1, "Shipped", fx.day(9)), (2, 2, "Shipped", fx.day(8)), (3, 2, "Placed", fx.day(4))),
+    )
+    load(spark, lakehouse, "order_items", fx.items(spark, (30, 3, 2, 1, "3"), (11, 1, 1, 1, "5")))
+    return lakehouse
+
+
+@pytest.mark.parametrize("dies_in", ["_write_version", "_move", "_point_ranges", "set_property"])
+@pytest.mark.parametrize("catch_up", [True, False])
+def test_a_build_that_died_is_run_again(spark, lakehouse, rows, monkeypatch, dies_in, catch_up):
+    lakehouse = two_days(spark, lakehouse)
+    whole, calls = getattr(Table, dies_in), []
+
+    def dying(self, *args):
+        if not self.name.endswith("fact_sales"):
+            return whole(self, *args)
+        calls.append(args)
+        if len(calls) == (2 if dies_in == "_move" else 1):  # the first of several partitions is moved
+            raise OSError("executor lost")
+        return whole(self, *args)
+
+    monkeypatch.setattr(Table, dies_in, dying)
+    with pytest.raises(OSError):
+        build_gold(spark, lakehouse, catch_up=catch_up)
+    monkeypatch.undo()
+    build_gold(spark, lakehouse, catch_up=catch_up)
+    fact = lakehouse.table(lakehouse.gold, "fact_sales").read(spark)
+    assert rows(fact.select("order_item_id", "status")) == [
+        (10, "Shipped"), (11, "Shipped"), (20, "Shipped"), (30, "Placed"),
+    ]
+
+
+def test_a_first_build_that_died_starts_anew(spark, lakehouse, rows, monkeypatch):
+    monkeypatch.setattr(Table, "set_property", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        two_days(spark, lakehouse)
+    monkeypatch.undo()
+    build_gold(spark, lakehouse)
+    fact = lakehouse.table(lakehouse.gold, "fact_sales").read(spark)
+    assert rows(fact.select("order_item_id")) == [(10,), (20,)]
+
+
+def test_only_ranges_with_something_new_are_read(spark, lakehouse):
+    lakehouse = two_days(spark, lakehouse)
+    many = [(k, 1, "Placed", fx.day(1)) for k in range(100, 120)]
+    load(spark, lakehouse, "orders", fx.orders(spark, *many))
+    load(spark, lakehouse, "order_items", fx.items(spark, *((k * 10, k, 1, 1, "5") for k in range(100, 119))))
+    build_gold(spark, lakehouse)
+    load(spark, lakehouse, "order_items", fx.items(spark, (1190, 119, 1, 1, "5")))
+    items = silver_target(lakehouse, SILVER["order_items"])
+    fact = lakehouse.table(lakehouse.gold, "fact_sales", ("order_item_id",))
+    assert jobs._late_ranges(items, fact, spark) == {119}
+    build_gold(spark, lakehouse)
+    assert fact.read(spark).where("order_item_id = 1190").count() == 1
+
+
+def test_calendar_covers_the_orders_or_what_is_asked(spark, lakehouse):
+    lakehouse = two_days(spark, lakehouse)
+    days = lambda: lakehouse.table(lakehouse.gold, "dim_date").read(spark).agg(F.min("date_day"), F.max("date_day")).first()
+    assert tuple(map(str, days())) == ("2024-01-01", "2026-12-31")
+    with pytest.raises(QualityError, match="relationships.fact_sales.order_date."):
+        build_gold(spark, lakehouse, first_day="2026-06-01", last_day="2027-02-01")
+    assert tuple(map(str, days())) == ("2026-06-01", "2027-02-01")
+    late = fx.orders(spark, (5, 1, "Placed", fx.day(20)))
+    load(spark, lakehouse, "orders", late.withColumn("order_date", F.lit("2031-05-05").cast("date")))
+    build_gold(spark, lakehouse)
+    assert tuple(map(str, days())) == ("2024-01-01", "2031-05-05")
+
+
 def test_failed_checks_stop_the_build(spark, lakehouse):
     load(spark, lakehouse, "customers", fx.customers(spark, (1,)))
     load(spark, lakehouse, "products", fx.products(spark, (2,)))
@@ -230,6 +328,60 @@ def test_a_failing_source_keeps_its_mark_and_the_others_run(spark, lakehouse):
     }
 
 
+def test_two_runs_on_a_day_and_a_failed_one(spark, lakehouse, rows):
+    source = [(k, 1, "a", fx.day(k)) for k in (1, 2)]
+    run = lambda start: ingest(
+        spark, lakehouse, lambda schema, table: fx.orders(spark, *source), "2025-02-01", run_start=start
+    )
+    lakehouse.seed_control(spark, [("orders", "dbo", "incremental", "updated_at", None)])
+    assert run(fx.day(2)) == {"orders": 2}
+    source += [(3, 1, "b", fx.day(3)), (4, 1, "b", fx.day(4))]
+    # a run that died after it had written some of its rows, before the mark was moved
+    write_batch(fx.orders(spark, source[2]), lakehouse.bronze, "orders", "2025-02-01", since=fx.day(2))
+    assert run(fx.day(4)) == {"orders": 2}
+    assert run(fx.day(5)) == {"orders": 0}
+    batch = read_batch(spark, lakehouse.bronze, "orders", "2025-02-01")
+    assert rows(batch.select("order_id")) == [(1,), (2,), (3,), (4,)]
+    assert batch.columns == fx.orders(spark, source[0]).columns
+    assert run_silver(spark, lakehouse, "orders", "2025-02-01").inserts == 4
+
+
+def test_ingestion_into_an_empty_lake(spark, lakehouse):
+    sources = {
+        "customers": fx.customers(spark), "products": fx.products(spark),
+        "orders": fx.orders(spark, (1, 1, "a", fx.day(1))), "order_items": fx.items(spark, (1, 1, 1, 1, "5")),
+        "payments": fx.orders(spark, (1, 1, "a", fx.day(1))),
+    }
+    copied = ingest(spark, lakehouse, lambda schema, table: sources[table], "2025-02-01", run_start=START)
+    assert set(copied) == set(sources) and min(copied.values()) >= 1
+    assert set(marks(spark, lakehouse).values()) == {datetime(2025, 2, 1, 1)}
+
+
+def test_from_csv_and_bronze_to_gold(spark, lakehouse, tmp_path):
+    prices = tmp_path / "prices.csv"
+    prices.write_text("product_id,product_name,supplier_name,supplier_cost,effective_date\n1,A, S ,2.50,2025-01-01\n2,B,S,x,2025-01-01\n")
+    assert land_csv(spark, lakehouse, str(tmp_path), "prices.csv", "supplier_price_list") == 2
+    spend = tmp_path / "spend.csv"
+    spend.write_text("spend_date,channel,campaign,spend_amount,clicks\n2025-01-01,Mail,M_1,10.00,3\n")
+    assert land_csv(spark, lakehouse, str(tmp_path), "spend.csv", "marketing_spend") == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        land_csv(spark, lakehouse, str(tmp_path), "none.csv", "marketing_spend")
+    write_full(fx.customers(spark), lakehouse.bronze, "customers")
+    write_full(fx.products(spark), lakehouse.bronze, "products")
+    write_batch(fx.orders(spark, (1, 1, "a", fx.day(1))), lakehouse.bronze, "orders", "2025-01-01")
+    write_batch(fx.items(spark, (1, 1, 1, 1, "5")), lakehouse.bronze, "order_items", "2025-01-01")
+    for name in ("customers", "products", "supplier_price_list", "marketing_spend", "orders", "order_items"):
+        run_silver(spark, lakehouse, name, "2025-01-01")
+    build_gold(spark, lakehouse)
+    dim = lakehouse.table(lakehouse.gold, "dim_products").read(spark)
+    assert {r.product_id: r.supplier_cost for r in dim.collect()} == {1: D("2.50"), 2: None}
+    landed = [(r.layer, r.source_name, r.status, r.row_count) for r in log(spark, lakehouse)][:3]
+    assert landed == [
+        ("Bronze", "supplier_price_list", "SUCCESS", 2), ("Bronze", "marketing_spend", "SUCCESS", 1),
+        ("Bronze", "marketing_spend", "FAIL", None),
+    ]
+
+
 # -- command line ------------------------------------------------------------
 def test_command_line(spark, lakehouse, capsys):
     write_full(fx.customers(spark), lakehouse.bronze, "customers")
@@ -239,7 +391,12 @@ def test_command_line(spark, lakehouse, capsys):
     write_batch(fx.items(spark, (1, 1, 1, 1, "5")), lakehouse.bronze, "order_items", "2025-01-01")
     where = [
         "--root", lakehouse.root, "--silver_schema", lakehouse.silver, "--gold_schema", lakehouse.gold,
+        "--in_memory_catalog",
     ]
+    with pytest.raises(SystemExit, match="metastore"):
+        cli.main(["gold", *where[:-1]])
+    cli.main(["seed", *where])
+    assert lakehouse.control_table().name == f"{lakehouse.control}.control_table"
     for name in ("customers", "products", "supplier_price_list", "orders", "order_items"):
         dated = ["--run_date", "2025-01-01"] if SILVER[name].incremental else []
         cli.main(["silver", name, *where, *dated, "--job_name", "nightly"])
@@ -257,3 +414,37 @@ def test_ingestion_arguments():
     source = cli.jdbc_source(args)
     assert source.options == {"password": "a=b"}
     assert source.reader_options("dbo", "orders")["numPartitions"] == "4"
+
+
+def folders(spark, name):
+    out = {}
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        detail = spark.sql(f"DESCRIBE EXTENDED {name} PARTITION ({row[0]})")
+        out[row[0]] = detail.where("col_name = 'Location'").first().data_type
+    return out
+
+
+def test_ranges_from_the_command_line_are_remembered(spark, lakehouse):
+    name = f"{lakehouse.silver}.orders"
+    where = ["--root", lakehouse.root, "--silver_schema", lakehouse.silver, "--in_memory_catalog"]
+    first = fx.orders(spark, *((k, 1, "a", fx.day(1)) for k in range(40)))
+    write_batch(first, lakehouse.bronze, "orders", "2025-01-01")
+    cli.main(["silver", "orders", *where, "--run_date", "2025-01-01", "--ranges", f"{name}:order_id:10"])
+    before = folders(spark, name)
+    assert len(before) == 4
+    write_batch(fx.orders(spark, (15, 1, "b", fx.day(2))), lakehouse.bronze, "orders", "2025-01-02")
+    cli.main(["silver", "orders", *where, "--run_date", "2025-01-02"])  # not named again
+    after = folders(spark, name)
+    assert {k for k in before if before[k] != after[k]} == {"key_range=1"}
+    with pytest.raises(ValueError, match="was created with"):
+        cli.main(["silver", "orders", *where, "--run_date", "2025-01-02", "--ranges", f"{name}:order_id:20"])
+
+
+def test_audit_database_arguments(spark):
+    args = cli.parser().parse_args(
+        ["silver", "orders", "--root", "r", "--audit_jdbc_url", "jdbc:x", "--audit_table", "a.log", "--audit_jdbc_option", "user=me"]
+    )
+    assert cli.audit_sink(args, spark) is not None
+    source = JdbcSource(args.audit_jdbc_url, cli.named(args.audit_jdbc_option))
+    assert source.writer_options(args.audit_table) == {"url": "jdbc:x", "dbtable": "a.log", "user": "me"}
+    assert cli.audit_sink(cli.parser().parse_args(["silver", "orders", "--root", "r"]), spark) is None

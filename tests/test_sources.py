@@ -20,9 +20,12 @@ def test_a_day_is_replaced_alone(spark, rows, tmp_path):
     write_batch(numbers(spark, 4), base, "t", "2026-01-02")
     assert rows(read_batch(spark, base, "t", "2026-01-01")) == [(1,), (2,)]
     assert rows(read_batch(spark, base, "t", "2026-01-02")) == [(4,)]
-    write_batch(numbers(spark, 5), base, "t", "2026-01-02", append=True)
-    assert rows(read_batch(spark, base, "t", "2026-01-02")) == [(4,), (5,)]
-    assert read_full(spark, base, "t").count() == 4
+    write_batch(numbers(spark, 8), base, "t", "2026-01-03", since=datetime(2026, 1, 2))
+    write_batch(numbers(spark, 5), base, "t", "2026-01-03", since=datetime(2026, 1, 2))
+    write_batch(numbers(spark, 6), base, "t", "2026-01-03", since=datetime(2026, 1, 3, 1, 2, 3))
+    assert rows(read_batch(spark, base, "t", "2026-01-03")) == [(5,), (6,)]
+    assert rows(read_batch(spark, base, "t", "2026-01-03", since=datetime(2026, 1, 2))) == [(5,)]
+    assert read_full(spark, f"{base}/t", "ingest_date=2026-01-01").count() == 2
     assert list(tmp_path.glob("t/*/*.snappy.parquet"))
 
 
