@@ -43,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
         "--ranges", action="append", default=[], metavar="SCHEMA.TABLE:COLUMN:WIDTH",
         help="how a new table is partitioned; one that exists knows it",
     )
+    shared.add_argument("--format", default="parquet", help="of new tables, such as delta or iceberg")
     shared.add_argument("--audit_jdbc_url", help="a database that gets the audit rows")
     shared.add_argument("--audit_table", default="etl.audit_log")
     shared.add_argument("--audit_jdbc_option", action="append", default=[], metavar="NAME=VALUE")
@@ -108,7 +109,8 @@ def main(argv: list[str] | None = None) -> None:
     if in_memory and not args.in_memory_catalog:
         raise SystemExit("no metastore: other jobs would not find the tables of this one")
     lakehouse = Lakehouse(
-        args.root, silver=args.silver_schema, gold=args.gold_schema, ranges=table_ranges(args)
+        args.root, silver=args.silver_schema, gold=args.gold_schema, ranges=table_ranges(args),
+        format=args.format,
     )
     lakehouse.create_schemas(spark)
     ids = {name: getattr(args, name) for name in RUN_IDS}

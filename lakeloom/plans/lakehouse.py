@@ -20,6 +20,7 @@ class Lakehouse:
     ranges: ``schema.table`` -> how a large table is partitioned. Give orders,
           order items and the fact the same ranges of ``order_id``, and a gold
           build reads only the items whose orders changed.
+    format: of new tables: ``parquet``, or a format of the session that merges by itself.
     """
 
     root: str
@@ -27,6 +28,7 @@ class Lakehouse:
     gold: str = "gold"
     control: str = "etl"
     ranges: Mapping[str, Ranges] = field(default_factory=dict)
+    format: str = "parquet"
 
     @property
     def bronze(self) -> str:
@@ -42,13 +44,14 @@ class Lakehouse:
             root=f"{self.root}/{schema}/{name}",
             keys=keys,
             ranges=self.ranges.get(f"{schema}.{name}"),
+            format=self.format,
         )
 
     def control_table(self) -> Table:
         return self.table(self.control, "control_table", ("table_name",))
 
     def audit_table(self) -> Table:
-        return replace(self.table(self.control, "audit_log"), leaves=True)
+        return replace(self.table(self.control, "audit_log"), leaves=True, format="parquet")
 
     def audit_sink(self, spark: SparkSession) -> AuditSink:
         return table_sink(spark, self.audit_table())

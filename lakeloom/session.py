@@ -32,7 +32,8 @@ def _local_scratch() -> str:
 
 
 def workspace(spark: SparkSession, purpose: str) -> str:
-    """A new, empty folder under the shared folder the cluster names.
+    """A new, empty folder under the shared folder the cluster names. All folders of
+    one application are in one, so that they can be expired together.
 
     Only a session whose driver is its one executor falls back to a temporary
     folder without ``spark.checkpoint.dir``; other machines could not read one.
@@ -42,7 +43,8 @@ def workspace(spark: SparkSession, purpose: str) -> str:
         if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_scratch()
-    return f"{base.rstrip('/')}/lakeloom/{purpose}-{uuid.uuid4().hex[:16]}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/lakeloom/{application}/{purpose}-{uuid.uuid4().hex[:16]}"
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:

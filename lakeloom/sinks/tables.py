@@ -298,14 +298,20 @@ class Table:
         if before == 0 or (before is None and target.isEmpty()):
             self._append(staged, ranges)
             return MergeCounts(before, incoming, 0, incoming)
-        actions = m.classify(target, staged, keys, update_when)
-        changes = materialise(actions.where(F.col(m.ACTION) != "none"), "changes")
-        sizes = {row[0]: row[1:] for row in self._size(changes.groupBy(m.ACTION)).collect()}
+        actions = m.classify(target, staged, keys, update_when).where(F.col(m.ACTION) != "none")
+        merges = self.format in MERGING_FORMATS
+        # a format that merges by itself joins again: there only the counts are taken here
+        changes = actions.select(m.ACTION) if merges else materialise(actions, "changes")
+        by_action = changes.groupBy(m.ACTION)
+        sizes = {
+            row[0]: row[1:]
+            for row in (by_action.agg(F.count(F.lit(1)), F.array()) if merges else self._size(by_action)).collect()
+        }
         updated, changed = sizes.get("update", (0, []))
         inserted, grown = sizes.get("insert", (0, []))
         counts = MergeCounts(before, incoming, updated, inserted)
 
-        if self.format in MERGING_FORMATS:
+        if merges:
             view = f"merge_source_{uuid.uuid4().hex}"
             staged.createOrReplaceTempView(view)
             spark.sql(self.merge_statement(view, update_when, insert_only))
