@@ -20,8 +20,13 @@ __all__ = [
 ]
 
 
+#: Texts may be long: what a Python worker is given at once is bounded by bytes, not by rows.
+BATCH_BYTES = "8m"
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Give the package to the Python workers, once per application, so that they need no path of their own to it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if getattr(context, "_lakeloom_shipped", False):
         return spark

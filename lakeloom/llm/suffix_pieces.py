@@ -60,7 +60,7 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
 class Pieces:
     """Encodes and decodes by a model's pieces. most: words and pairs remembered; beyond it they are asked anew."""
 
-    def __init__(self, file: str, most: int = 700_000, block: int = 500_000):
+    def __init__(self, file: str, most: int = 400_000, block: int = 500_000):
         import sentencepiece
 
         library = sentencepiece.SentencePieceProcessor(model_file=file)

@@ -36,7 +36,7 @@ class Counter(dict):
     most: words held at once beside the proved ones; beyond it they are dropped, which costs time only.
     """
 
-    def __init__(self, file: str, most: int = 700_000):
+    def __init__(self, file: str, most: int = 400_000):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=file)

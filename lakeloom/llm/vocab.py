@@ -43,7 +43,7 @@ class Encoder(dict):
     segment: least characters of a text that goes to the library in one call, where it can be cut.
     """
 
-    def __init__(self, file: str, most: int = 600_000, segment: int = 20_000):
+    def __init__(self, file: str, most: int = 250_000, segment: int = 20_000):
         from tokenizers import Tokenizer
 
         super().__init__()
