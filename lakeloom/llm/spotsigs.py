@@ -21,7 +21,8 @@ A null text is empty. Documents follow one another by doc_id, null ones first an
 those of one doc_id by text; with one document, it is its own next. Repeated rows
 each give a row. An empty table gives an empty result; other columns are ignored.
 Texts are moved once: documents go to buckets by doc_id, and with each bucket goes
-the first document of the next.
+the first document of the next. A doc_id is an identifier: rows that share one,
+or have none, are one task's.
 """
 
 from __future__ import annotations

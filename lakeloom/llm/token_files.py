@@ -11,7 +11,8 @@ few buckets, plus ``bucket_start``; no task sees all documents.
 A null text is empty (the end id alone); a null doc_id comes before all others;
 equal doc_ids are ordered by text; an empty table gives empty files; other
 columns of the input are ignored. A document's ids are held whole by one task,
-a range of documents never is.
+a range of documents never is. A doc_id is an identifier: rows that share one,
+or have none, are written by one task.
 """
 
 from __future__ import annotations
