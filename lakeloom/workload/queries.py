@@ -37,7 +37,7 @@ NEWER = "source.updated_at > target.updated_at"
 RUN_DATE = "2026-01-31"
 RUN_START = datetime(2026, 1, 31, 1, 0, 0)
 # Orders of a partition; in production enough for some gigabytes.
-RANGE_WIDTH = 25_000
+RANGE_WIDTH = 10_000
 
 
 def query(run: Callable[[Roles], DataFrame]) -> Callable[[Roles], DataFrame]:

@@ -31,8 +31,9 @@ MERGED = [
 ]
 
 
-def test_upsert_matrix(spark, rows):
-    merged = merge.upsert(frame(spark, TARGET), frame(spark, SOURCE), ["k"], NEWER)
+@pytest.mark.parametrize("large", [False, True])
+def test_upsert_matrix(spark, rows, large):
+    merged = merge.upsert(frame(spark, TARGET), frame(spark, SOURCE), ["k"], NEWER, large)
     assert rows(merged) == sorted(MERGED, key=repr)
 
 
@@ -68,11 +69,12 @@ def test_columns_match_by_name_and_take_the_target_types(spark):
         merge.upsert(frame(spark, TARGET), source.drop("t"), ["k"])
 
 
-def test_two_column_keys(spark, rows):
+@pytest.mark.parametrize("large", [False, True])
+def test_two_column_keys(spark, rows, large):
     schema = "a int, b string, v int"
     target = spark.createDataFrame([(1, "x", 0), (1, "y", 0), (1, None, 0)], schema)
     source = spark.createDataFrame([(1, "y", 1), (2, "x", 1), (1, None, 1)], schema)
-    assert rows(merge.upsert(target, source, ["a", "b"])) == sorted(
+    assert rows(merge.upsert(target, source, ["a", "b"], large_batch=large)) == sorted(
         [(1, "x", 0), (1, "y", 1), (2, "x", 1), (1, None, 0), (1, None, 1)], key=repr
     )
 
@@ -113,6 +115,7 @@ def test_against_a_model_and_replay(spark, rows, target, source):
     once = merge.upsert(t, s, ["k"], NEWER)
     assert rows(once) == model(target, source)
     assert rows(merge.upsert(once, s, ["k"], NEWER)) == model(target, source)
+    assert rows(merge.upsert(t, s, ["k"], NEWER, large_batch=True)) == model(target, source)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))

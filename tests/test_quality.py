@@ -56,5 +56,20 @@ def test_empty_tables_pass(tables):
     )
 
 
+def test_relationships_of_a_table_are_one_pass(spark, tables, rows):
+    related = [
+        q.Relationship("child", "parent_id", "parent", "id"),
+        q.Relationship("child", "amount", "parent", "id"),
+        q.Relationship("child", "id", "wide", "id"),
+        q.Relationship("parent", "id", "child", "id"),
+    ]
+    tables["wide"] = spark.createDataFrame([(1,), (5,)], "id long")
+    results = q.run_checks(tables, related)
+    assert rows(results) == [
+        ("relationships", "child", "amount", 3), ("relationships", "child", "id", 1),
+        ("relationships", "child", "parent_id", 2), ("relationships", "parent", "id", 0),
+    ]
+
+
 def test_orphans(tables, rows):
     assert rows(q.orphans(tables["child"], "parent_id", tables["parent"], "id")) == [(9, 2)]
