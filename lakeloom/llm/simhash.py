@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -57,15 +56,23 @@ def fingerprint(text: str, width: int = 4, slice_: int = 50_000) -> int:
     return int(np.packbits(2 * set_ > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """doc_id and fingerprint (signed) of every document."""
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def fingerprints(docs: DataFrame, width: int = 4, with_key: bool = False) -> DataFrame:
+    """doc_id and fingerprint (signed) of every document, and its text's SHA-256 if asked for."""
+    kept = ["doc_id", *["text_key"] * with_key]
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(frames):
             found = [fingerprint(t, width) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(found, pa.int64())], [*kept, "fingerprint"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, fingerprint long")
+    texts = documents(docs)
+    if with_key:
+        texts = texts.withColumn("text_key", _text_key(F.col("text")))
+    return texts.mapInArrow(run, f"doc_id long, {'text_key binary, ' * with_key}fingerprint long")
 
 
 def segment_count(n: int) -> int:
@@ -115,12 +122,15 @@ def links(distinct: DataFrame, distance: int, count: int) -> DataFrame:
     return found.select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, distance: int = 4, width: int = 4, count: int | None = None) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, distance: int = 4, width: int = 4, count: int | None = None, with_key: bool = False
+) -> DataFrame:
     """One row per document: doc_id, fingerprint (signed), component_id (its smallest doc_id), component_key.
 
     component_key is the component's smallest fingerprint: unique to it even where doc_ids repeat.
+    with_key: also text_key, the text's SHA-256.
     """
-    prints = materialise(fingerprints(docs, width), "fingerprints")
+    prints = materialise(fingerprints(docs, width, with_key), "fingerprints")
     distinct = materialise(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     found = links(distinct.select("fingerprint"), distance, count or segment_count(distinct.count()))
     roots = components(found)
@@ -128,7 +138,8 @@ def near_duplicates(docs: DataFrame, distance: int = 4, width: int = 4, count: i
     rooted = rooted.withColumn("component_key", F.coalesce("root", "fingerprint")).drop("root")
     least = rooted.groupBy("component_key").agg(F.min("least").alias("component_id"))
     named = spread_join(rooted.drop("least"), least, ["component_key"], "inner")
-    return spread_join(prints, named, ["fingerprint"], "inner").select("doc_id", "fingerprint", "component_id", "component_key")
+    columns = ["doc_id", "fingerprint", "component_id", "component_key", *["text_key"] * with_key]
+    return spread_join(prints, named, ["fingerprint"], "inner").select(*columns)
 
 
 def drop_near_duplicates(docs: DataFrame, distance: int = 4, width: int = 4) -> DataFrame:
@@ -136,22 +147,11 @@ def drop_near_duplicates(docs: DataFrame, distance: int = 4, width: int = 4) ->
 
     The one with the component's smallest doc_id stays; if rows share it, one of them.
     """
-    one, key, row = fresh(docs, "__id"), fresh(docs, "__component"), fresh(docs, "__row")
-    found = near_duplicates(docs, distance, width).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # the smallest fingerprint among the rows of that doc_id in the component tells apart rows that share it
-    stay = found.groupBy("component_key").agg(
-        F.first("doc_id").alias(one), F.min("fingerprint").alias(row)
-    ).withColumnRenamed("component_key", key)
-    prints = with_fingerprint(docs, row + "f", width)
-    same = prints["doc_id"].cast("long").eqNullSafe(stay[one]) & (prints[row + "f"] == stay[row])
-    return prints.join(stay, same, "left_semi").dropDuplicates(["doc_id", row + "f"]).drop(row + "f")
-
-
-def with_fingerprint(docs: DataFrame, out: str, width: int = 4) -> DataFrame:
-    """``docs`` with their fingerprints as one more column."""
-
-    @F.pandas_udf("long")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t or "", width) for t in texts], dtype="int64")
-
-    return docs.withColumn(out, run(F.col("text").cast("string")))
+    one, key = fresh(docs, "__id"), fresh(docs, "__key")
+    found = near_duplicates(docs, distance, width, with_key=True)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")  # null doc_ids come last
+    stay = found.groupBy("component_key").agg(F.min(first).alias("first"))
+    stay = stay.select(F.col("first.doc_id").alias(one), F.col("first.text_key").alias(key + "_"))
+    keyed = docs.withColumn(key, _text_key(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    same = keyed["doc_id"].cast("long").eqNullSafe(stay[one]) & (keyed[key] == stay[key + "_"])
+    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", key]).drop(key)
