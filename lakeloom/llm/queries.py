@@ -64,12 +64,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_pieces(spark: SparkSession, sf_dir: str, file: str = "piece_bpe_32k.model") -> DataFrame:
     """n_tokens and checksum of the ids of every text, and the SHA-256 of the text that they decode to."""
     from lakeloom.llm.suffix_pieces import decode, encode
-    from lakeloom.llm.token_files import with_checksum
 
     model = vocabulary(file)
     back = decode(encode(table(spark, sf_dir, "documents"), model), model)
-    rows = back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
-    return with_checksum(rows)
+    return back.select("doc_id", "n_tokens", F.sha2("decoded", 256).alias("decoded_sha256"), "ids_crc32")
 
 
 def op8_packing(

@@ -1,13 +1,14 @@
 """SentencePiece encoding and decoding of whole texts, with a suffix array instead of merges.
 
-Method (suffix-array matching): the words of a batch that no earlier batch had,
-each with its space marks, are put one after another, and a suffix array of that
-text is built, ordered by as many characters as the longest piece has. Binary
-search gives every piece its range of the array, that is all places where it
-occurs. Each occurrence is an edge from its first to its last place; the edges
-are sorted by where they end, and one walk over them relaxes each place: of the
-pieces that end there, it takes the one that the model's merges leave last in the
-word so far. Whether they do depends on that piece and the one before it
+Method (suffix-array matching): a batch of texts is cut wherever no piece reaches
+across, which is where the two characters stand side by side in no piece. The
+stretches that no earlier batch had are put one after another, and a suffix
+array of that text is built, ordered by as many characters as the longest piece
+has. Binary search gives every piece its range of the array, that is all places
+where it occurs. Each occurrence is an edge from its first to its last place; the
+edges are sorted by where they end, and one walk over them relaxes each place: of
+the pieces that end there, it takes the one that the model's merges leave last in
+the stretch so far. Whether they do depends on that piece and the one before it
 alone: two pieces stand side by side exactly if merging their joint string gives
 those two again. That is asked once for each pair and remembered.
 
@@ -20,11 +21,13 @@ Characters without a piece become the pieces of their UTF-8 bytes. Decoding join
 pieces and bytes and drops the mark in front; a space mark in a text comes back
 as a space, as the library has it. A null or empty text has no ids and decodes to
 the empty text. Repeated rows each give a row; an empty table gives an empty
-result; other columns are ignored. A long text is taken apart at its spaces.
+result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,9 +38,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.rows import batches, documents
-from lakeloom.llm.token_counts import MARK, proved, words
+from lakeloom.llm.token_counts import MARK, proved
 
-_BETWEEN = "\ud800"  # between words in the indexed text: half a surrogate pair, which no text holds
+_BETWEEN = "\ud800"  # between texts and stretches: half a surrogate pair, which no text holds
 _LAST = "\U0010ffff"
 
 
@@ -57,140 +60,200 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
+def codes_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 class Pieces:
-    """Encodes and decodes by a model's pieces. most: words and pairs remembered; beyond it they are asked anew."""
+    """A model's pieces by id, and decoding with them."""
 
-    def __init__(self, file: str, most: int = 400_000, block: int = 500_000):
+    def __init__(self, file: str):
         import sentencepiece
 
-        library = sentencepiece.SentencePieceProcessor(model_file=file)
-        proved(library)  # raises for models whose words can't be encoded one by one
+        self.library = library = sentencepiece.SentencePieceProcessor(model_file=file)
         n = library.vocab_size()
-        names = [library.id_to_piece(i) for i in range(n)]
-        self.bytes = {int(names[i][3:5], 16): i for i in range(n) if library.is_byte(i)}
-        own = [i for i in range(n) if not (library.is_byte(i) or library.is_control(i) or library.is_unknown(i) or library.is_unused(i))]
-        self.ids = {names[i]: i for i in own}
-        self.scores = {names[i]: library.get_score(i) for i in own}
-        self.by_length = sorted(own, key=lambda i: -len(names[i]))
-        self.names, self.most, self.block = names, most, block
-        self.depth = 1 << (max(len(names[i]) for i in own) - 1).bit_length()
-        kind = f"<U{self.depth}"
-        self._first = np.array([names[i] for i in own], kind)
-        self._behind = np.array([names[i] + _LAST for i in own], f"<U{self.depth + 1}")
-        self._own, self._sizes = np.array(own), np.array([len(names[i]) for i in own])
-        self._raw = {i: names[i].replace(MARK, " ").encode() for i in own} | {i: bytes([b]) for b, i in self.bytes.items()}
-        self.words: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-
-    def merged(self, text: str) -> list[str]:
+        self.names = [library.id_to_piece(i) for i in range(n)]
+        self.bytes = {int(self.names[i][3:5], 16): i for i in range(n) if library.is_byte(i)}
+        aside = (library.is_byte, library.is_control, library.is_unknown, library.is_unused)
+        self.own = [i for i in range(n) if not any(f(i) for f in aside)]
+        self._raw = {i: self.names[i].replace(MARK, " ").encode() for i in self.own}
+        self._raw |= {i: bytes([b]) for b, i in self.bytes.items()}
+
+    def decode(self, ids: list[int]) -> str:
+        text = b"".join(map(self._raw.__getitem__, ids)).decode("utf-8", "replace")
+        return text[1:] if text.startswith(" ") else text
+
+
+class Matcher(Pieces):
+    """Encoding with them.
+
+    most: stretches, and pairs of pieces, remembered; beyond it they are asked anew, which costs time only.
+    block: characters indexed at once, about; a stretch is never cut.
+    """
+
+    def __init__(self, file: str, most: int = 400_000, block: int = 250_000):
+        super().__init__(file)
+        proved(self.library)  # raises for models that change texts
+        self.most, self.block = most, block
+        self.scores = {self.names[i]: self.library.get_score(i) for i in self.own}
+        self.ids = {self.names[i]: i for i in self.own}
+        # a piece that its own merges don't end with is in no encoding
+        reached = [i for i in self.own if self._merged(self.names[i]) == [self.names[i]]]
+        longest = max(len(self.names[i]) for i in reached)
+        self.depth = 1 << (longest - 1).bit_length()
+        self._piece = np.array(reached)
+        self._size = np.array([len(self.names[i]) for i in reached])
+        self._first = np.array([self.names[i] for i in reached], f"<U{self.depth}")
+        self._behind = np.array([self.names[i] + _LAST for i in reached], f"<U{self.depth + 1}")
+        pairs = {x + y for i in self.own for x, y in zip(self.names[i], self.names[i][1:], strict=False)}
+        self._class = np.zeros(0x110000, np.uint16)  # 0: stands beside no other
+        for number, letter in enumerate(sorted({x for p in pairs for x in p}), 1):
+            self._class[ord(letter)] = number
+        count = int(self._class.max()) + 1
+        self._beside = np.zeros((count, count), bool)
+        for p in pairs:
+            self._beside[self._class[ord(p[0])], self._class[ord(p[1])]] = True
+        self.known: dict[str, bytes] = {}
+        self.pairs: dict[int, bool] = {}
+
+    def _merged(self, text: str) -> list[str]:
         """A short string by the model's own rule: the neighbours with the best joint piece first, leftmost of equals."""
         parts = list(text)
+        scores = self.scores
         while True:
             best, at = None, -1
             for i in range(len(parts) - 1):
-                score = self.scores.get(parts[i] + parts[i + 1])
+                score = scores.get(parts[i] + parts[i + 1])
                 if score is not None and (best is None or score > best):
                     best, at = score, i
             if best is None:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def beside(self, one: str, two: str) -> bool:
-        known = self.pairs.get((one, two))
-        if known is None:
-            if len(self.pairs) >= self.most:
-                self.pairs.clear()
-            known = self.pairs[one, two] = self.merged(one + two) == [one, two]
-        return known
+    def _name(self, number: int) -> str:
+        """Of a piece, or of a character without one, which has a number above them."""
+        return self.names[number] if number < len(self.names) else chr(number - len(self.names))
+
+    def _fits(self, one: int, two: int) -> bool:
+        x, y = self._name(one), self._name(two)
+        return self._merged(x + y) == [x, y]
 
-    def occurrences(self, text: str) -> tuple[list[int], list[int], list[str]]:
+    def occurrences(self, text: str) -> tuple[list[int], list[int], list[int]]:
         """Edges (end, start, piece) of all pieces in a text, sorted by end, the longest first."""
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        codes = codes_of(text)
         order = suffix_order(codes, self.depth)
         padded = np.concatenate([codes, np.zeros(self.depth, np.uint32)])
         ahead = np.lib.stride_tricks.sliding_window_view(padded, self.depth)[order]
         suffixes = np.ascontiguousarray(ahead).view(self._first.dtype).ravel()
         low = np.searchsorted(suffixes, self._first, "left")
-        high = np.searchsorted(suffixes, self._behind, "left")
-        counts = np.maximum(high - low, 0)
+        counts = np.maximum(np.searchsorted(suffixes, self._behind, "left") - low, 0)
         piece = np.repeat(np.arange(len(counts)), counts)
         within = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
         start = order[np.repeat(low, counts) + within]
-        size = self._sizes[piece]
-        by_end = np.lexsort((-size, start + size))
-        names = self.names
-        return (
-            (start + size)[by_end].tolist(),
-            start[by_end].tolist(),
-            [names[i] for i in self._own[piece[by_end]].tolist()],
-        )
+        size = self._size[piece]
+        end = start + size
+        by_end = np.argsort(end * (self.depth + 1) - size, kind="stable")
+        return end[by_end].tolist(), start[by_end].tolist(), self._piece[piece[by_end]].tolist()
 
     def _relax(self, block: list[str]) -> None:
-        """Encode words and remember them."""
+        """Encode stretches and remember them."""
         text = _BETWEEN.join(block)
-        last: list[str | None] = [None] * (len(text) + 1)
-        begins = np.cumsum([0, *(len(w) + 1 for w in block)])[:-1].tolist()
-        first = set(begins)
-        ends, starts, names = self.occurrences(text)
-        beside, done = self.beside, 0
-        for end, start, name in zip(ends, starts, names, strict=True):
-            if last[end] is None:
+        last = [-1] * (len(text) + 1)
+        begins = np.cumsum([0, *(len(x) + 1 for x in block)])[:-1].tolist()
+        first, above = set(begins), len(self.names)
+        pairs, done = self.pairs, 0
+        for end, start, piece in zip(*self.occurrences(text), strict=True):
+            if last[end] < 0:
                 while done < end - 1:  # a place that no piece reached: its character has none
                     done += 1
-                    if last[done] is None:
-                        last[done] = text[done - 1]
-                if start in first or beside(last[start], name):
-                    last[end] = name
-                    done = max(done, end)
-        for word, begin in zip(block, begins, strict=True):
-            at, ids = begin + len(word), []
+                    if last[done] < 0:
+                        last[done] = above + ord(text[done - 1])
+                if start in first:
+                    last[end] = piece
+                else:
+                    pair = last[start] << 32 | piece
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = pairs[pair] = self._fits(last[start], piece)
+                    if fits:
+                        last[end] = piece
+        if len(pairs) > self.most:
+            pairs.clear()
+        for stretch, begin in zip(block, begins, strict=True):
+            at, ids = begin + len(stretch), []
             while at > begin:
-                name = last[at] or text[at - 1]
+                number = last[at] if last[at] >= 0 else above + ord(text[at - 1])
+                name = self._name(number)
                 at -= len(name)
-                known = self.ids.get(name)
-                ids += [known] if known is not None else [self.bytes[b] for b in reversed(name.encode())]
-            self.words[word] = np.array(ids[::-1], "<u4").tobytes()
+                ids += [number] if number < above else self._by_bytes(name)[::-1]
+            self.known[stretch] = struct.pack(f"<{len(ids)}I", *ids[::-1])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.words) > self.most:
-            self.words.clear()
-        split = [words(t) for t in texts]
+    def _by_bytes(self, letter: str) -> list[int]:
+        known = self.ids.get(letter)
+        return [known] if known is not None else [self.bytes[b] for b in letter.encode()]
+
+    def _learn(self, stretches: set[str]) -> None:
         block, size = [], 0
-        for word in {w for of in split for w in of if w not in self.words}:
-            block.append(word)
-            size += len(word) + 1
+        for stretch in stretches:
+            if len(stretch) == 1:
+                ids = self._by_bytes(stretch)
+                self.known[stretch] = struct.pack(f"<{len(ids)}I", *ids)
+                continue
+            block.append(stretch)
+            size += len(stretch) + 1
             if size >= self.block:
                 self._relax(block)
                 block, size = [], 0
         if block:
             self._relax(block)
-        of = self.words.__getitem__
-        return [b"".join(map(of, ws)) for ws in split]
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self._raw.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.known) > self.most:
+            self.known.clear()
+        # as the model sees them: a mark for each space and one in front
+        joined = _BETWEEN.join(MARK + t.replace(" ", MARK) if t else "" for t in texts) + _BETWEEN
+        codes = codes_of(joined)
+        letters = self._class[codes]
+        cuts = np.flatnonzero(~self._beside[letters[:-1], letters[1:]]) + 1
+        ends = [*cuts.tolist(), len(joined)]
+        stretches = list(map(joined.__getitem__, map(slice, [0, *ends], ends)))
+        self.known[_BETWEEN] = b""
+        if new := set(stretches).difference(self.known):
+            self._learn(new)
+        # a text's stretches end with the mark between texts, which stands alone
+        bounds = np.searchsorted(cuts, np.flatnonzero(codes == ord(_BETWEEN))).tolist()
+        ids = list(map(self.known.__getitem__, stretches))
+        return [b"".join(ids[a:b]) for a, b in zip([0, *(x + 1 for x in bounds)], [x + 1 for x in bounds], strict=False)]
 
 
 @lru_cache(maxsize=2)
-def pieces(file: str) -> Pieces:
+def matcher(file: str) -> Matcher:
     """One per worker process."""
+    return Matcher(file)
+
+
+@lru_cache(maxsize=2)
+def pieces(file: str) -> Pieces:
     return Pieces(file)
 
 
 def encode(docs: DataFrame, file: str) -> DataFrame:
-    """doc_id and ids of every text."""
+    """doc_id, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit integers) and ids of every text."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(file)
-        for batch in batches(frames, 4000):
+        model = matcher(file)
+        for batch in batches(frames, 1000):
             ids = model.encode(batch.column("text").to_pylist())
-            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
+            sums = pa.array(map(zlib.crc32, ids), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes), sums, lists], ["doc_id", "n_tokens", "ids_crc32", "ids"]
+            )
 
-    return documents(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return documents(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, ids array<int>")
 
 
 def decode(encoded: DataFrame, file: str) -> DataFrame:

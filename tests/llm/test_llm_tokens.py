@@ -58,7 +58,7 @@ def test_proved_pieces_are_single_tokens():
 def test_counts_and_suffix_arrays_give_the_library_pieces(texts):
     want = LIBRARY.encode(texts)
     assert token_counts.counter(PIECES).count(texts) == [len(w) for w in want]
-    model = suffix_pieces.pieces(PIECES)
+    model = suffix_pieces.matcher(PIECES)
     assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(texts)] == want
     assert [model.decode(w) for w in want] == LIBRARY.decode(want)
 
