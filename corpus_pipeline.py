@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.byte_cnn import UNKNOWN, classify, learn
+from lakeloom.llm.byte_cnn import UNKNOWN, classify, learn, lettered
 from lakeloom.llm.chunk_dedup import drop_duplicates
 from lakeloom.llm.packing import pack
 from lakeloom.llm.queries import vocabulary
@@ -23,7 +23,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no text or no letter) go; every other one stays."""
     tune(ship(spark))
     found = fresh(docs, "__language")
-    return classify(docs, learn(docs), found).filter(F.col(found) != UNKNOWN).drop(found)
+    # a text with a letter stays also where there was no label to learn, or where one is called as the unknown language is
+    kept = (F.col(found) != UNKNOWN) | lettered(F.col("text"))
+    return classify(docs, learn(docs), found).filter(kept).drop(found)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -247,3 +247,13 @@ def classify(docs: DataFrame, network: Network, out: str) -> DataFrame:
         return pd.Series([x for part in found for x, _ in part], dtype=object)
 
     return docs.withColumn(out, run(F.col("text").cast("string")))
+
+
+def lettered(text: Column) -> Column:
+    """Whether a text has a letter; a null one has none."""
+
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([isinstance(t, str) and has_letter(t) for t in texts], dtype=bool)
+
+    return run(text.cast("string"))

@@ -7,11 +7,13 @@ from pathlib import Path
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_llm_dedup import BLANK, brute_components, brute_print, order
 from test_llm_texts import brute_spans
 from test_llm_tokens import check_packing
 
 import __spark_entry__
+from lakeloom.llm.byte_cnn import held_out
 from lakeloom.llm.queries import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -95,6 +97,19 @@ def test_stages(spark, docs, hard, tmp_path):
     check_packing(packing(spark, held, "").collect(), rows, 2048, 1)
 
 
+@pytest.mark.parametrize("label", ["null", "null but where held out", "und"])
+def test_language_stage_without_usable_labels(spark, docs, hard, label):
+    lang = {
+        "null": F.lit(None).cast("string"),
+        "null but where held out": F.when(held_out(F.col("doc_id")), "en"),
+        "und": F.when(F.col("doc_id") % 2 == 0, "und").otherwise("en"),
+    }[label]
+    kept = corpus_pipeline.STAGES[0][1](spark, docs.withColumn("lang", lang), "")
+    assert kept.columns == docs.columns
+    want = Counter((i, t) for i, t in hard if t is not None and any(c.isalpha() for c in t))
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == want
+
+
 def test_stages_of_nothing(spark, none):
     held = none
     for _, stage in corpus_pipeline.STAGES[:-1]:
