@@ -10,7 +10,7 @@ tasks get the weights (some thousands of numbers) and apply them to batches of
 windows. As inputs are bytes, a filter's response is a sum of table entries, and
 two bytes make one entry, so no multiplication is left at prediction.
 
-The sample to learn from is bounded: about ``rows_per_language`` documents of
+The sample to learn from is bounded: about ``rows_per_language`` distinct texts of
 each language, chosen by hash, and ``windows_per_document`` of their windows,
 spread over the text. Everything else covers all rows and whole texts.
 
@@ -185,17 +185,25 @@ def train(rows: np.ndarray, labels: list[str], steps: int = 500, batch: int = 96
     return net
 
 
+def draw(labelled: DataFrame, rows_per_language: int) -> tuple[DataFrame, int]:
+    """About so many distinct texts of each language (lang, text), by the hash of the text; how many languages there are."""
+    hashed = labelled.select("lang", "text", F.xxhash64("text", F.lit(11)).alias("hash"))
+    # copies of a text are drawn together and count once, in the share as in the sample
+    counts = hashed.select("lang", "hash").distinct().groupBy("lang").count().collect()  # a row for each language
+    shares = labelled.sparkSession.createDataFrame(
+        [(r["lang"], rows_per_language / r["count"]) for r in counts], "lang string, share double"
+    )
+    drawn = (F.pmod(F.col("hash"), F.lit(1 << 30)) / (1 << 30)) < F.col("share")
+    sample = hashed.join(F.broadcast(shares), "lang").filter(drawn).select("lang", "text").dropDuplicates()
+    return sample, len(counts)
+
+
 def learn(docs: DataFrame, rows_per_language: int = 600, windows_per_document: int = 6) -> Network:
     """A network from the labelled documents that aren't held out."""
-    spark = docs.sparkSession
     labelled = docs.select(
         F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = labelled.groupBy("lang").count().collect()  # a row for each language
-    shares = spark.createDataFrame([(r["lang"], rows_per_language / r["count"]) for r in counts], "lang string, share double")
-    drawn = (F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) / (1 << 30)) < F.col("share")
-    # copies of a text are drawn together, then count once
-    sample = labelled.join(F.broadcast(shares), "lang").filter(drawn).select("lang", "text").dropDuplicates()
+    sample, languages = draw(labelled, rows_per_language)
 
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(frames):
@@ -210,7 +218,7 @@ def learn(docs: DataFrame, rows_per_language: int = 600, windows_per_document: i
                 [pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.binary())], ["lang", "bytes"]
             )
 
-    most = 2 * rows_per_language * windows_per_document * max(1, len(counts))
+    most = 2 * rows_per_language * windows_per_document * max(1, languages)
     taken = sample.mapInArrow(cut, "lang string, bytes binary").orderBy(F.xxhash64("bytes"), "lang", "bytes").limit(most).collect()
     rows, _ = windows([bytes(r["bytes"]) for r in taken])
     return train(rows, [r["lang"] for r in taken])

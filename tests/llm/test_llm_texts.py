@@ -172,6 +172,20 @@ def test_language_of_hard_texts(docs, hard, none, spark):
     assert {r.lang_pred for r in byte_cnn.predictions(unlabelled, byte_cnn.learn(unlabelled)).collect()} == {"und"}
 
 
+def test_copies_take_no_share_of_the_sample(spark, hard):
+    rows = [("a", f"house number {i}") for i in range(400)] + [("b", f"casa {i}") for i in range(400)] + [("b", "copia")] * 4000
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    sample, languages = byte_cnn.draw(labelled, 100)
+    drawn = Counter(r.lang for r in sample.collect())
+    assert languages == 2 and all(70 <= drawn[x] <= 130 for x in "ab")
+
+
+def test_a_language_of_copies_is_learned(spark, hard):
+    texts = [("a", f"house number {i}") for i in range(40)] + [("b", "copia de casa")] * 4000
+    docs = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    assert byte_cnn.learn(docs, rows_per_language=40).labels == ["a", "b"]
+
+
 def test_tables_are_the_convolution():
     network = byte_cnn.Network.new(["a", "b"])
     rows, counts = byte_cnn.windows([b"hello world", b"x" * 600, b""])
