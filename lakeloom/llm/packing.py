@@ -20,7 +20,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -119,35 +118,22 @@ def pack(
         "*", (2 * F.col("piece")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
 
-    def place(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "piece"], ascending=[False, True], kind="stable")
-        sequences, offsets = best_fit(group["length"].tolist(), size)
-        number = int(group["group"].iloc[0])
-        return pd.DataFrame(
-            {
-                "piece": group["piece"].to_numpy(),
-                "sequence_id": 2 * (np.asarray(sequences, np.int64) * groups + number) + 1,
-                "offset": np.asarray(offsets, np.int64),
-            }
-        )
+    # Arrow, as pandas would turn ids beside a null into floating point
+    def place(group: pa.Table) -> pa.Table:
+        lengths, numbers = (group[c].to_numpy() for c in ("length", "piece"))
+        group = group.take(np.lexsort((numbers, -lengths)))
+        sequences, offsets = best_fit(group["length"].to_pylist(), size)
+        number = group["group"][0].as_py()
+        ids = 2 * (np.asarray(sequences, np.int64) * groups + number) + 1
+        placed = group.drop_columns("group").append_column("sequence_id", pa.array(ids))
+        return placed.append_column("offset", pa.array(np.asarray(offsets, np.int64)))
 
     group = F.pmod(F.xxhash64("piece"), F.lit(groups)).cast("int")
-    rest = [c for c in pieces.columns if c not in ("piece", "length")]
-    if with_ids:  # the ids stay out of the packing tasks
-        placed = items.select("piece", "length", group.alias("group")).groupBy("group").applyInPandas(
-            place, "piece long, sequence_id long, offset long"
-        )
-        packed = items.join(placed, "piece")
-    else:
-        schema = items.select("piece", "length", *rest).schema.simpleString()[7:-1].replace(":", " ")
-
-        def place_rows(rows: pd.DataFrame) -> pd.DataFrame:
-            return rows.drop(columns="group").merge(place(rows[["piece", "length", "group"]]), on="piece")
-
-        packed = (
-            items.select("piece", "length", *rest, group.alias("group"))
-            .groupBy("group")
-            .applyInPandas(place_rows, f"{schema}, sequence_id long, offset long")
-        )
+    # the ids stay out of the packing tasks
+    given = ["piece", "length"] if with_ids else [c for c in pieces.columns if c != "ids"]
+    schema = ", ".join(f"{c} long" for c in [*given, "sequence_id", "offset"])
+    packed = items.select(*given, group.alias("group")).groupBy("group").applyInArrow(place, schema)
+    if with_ids:
+        packed = items.join(packed.drop("length"), "piece")
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids, "sequence_id", "offset"]
     return full.select(columns).unionByName(packed.select(columns))

@@ -10,6 +10,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_rows import frame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -143,6 +144,13 @@ def test_pack_with_ids(docs, hard):
     assert all(len(r.ids) == r.length and crc(r.ids) == r.ids_crc32 for r in rows)
 
 
+@pytest.mark.parametrize("with_ids", [False, True])
+def test_pack_keeps_large_ids_beside_a_null_one(spark, hard, with_ids):
+    rows = [(2**53 + 1 + 2 * i, f"house {i}") for i in range(20)] + [(None, "no id"), (-(2**62) - 1, "cloud"), (2**63 - 1, "river")]
+    packed = packing.pack(frame(spark, rows), WORDS, 1, 64, with_ids=with_ids).collect()
+    check_packing(packed, rows, 64, 1)
+
+
 def test_pack_of_nothing(none):
     assert packing.pack(none, WORDS, 1).count() == 0
 
