@@ -91,6 +91,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predictions(docs, learn(docs))
 
 
+def op11_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.weak_quality import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chunk_recipes": op1_chunk_recipes,
     "op2_line_dedup": op2_line_dedup,
@@ -102,6 +108,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_spotsigs": op9_spotsigs,
     "op10_language": op10_language,
+    "op11_weak_quality": op11_weak_quality,
 }
 
 

@@ -9,14 +9,16 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import lakeloom
 from lakeloom.session import materialise, tune, workspace
 
 __all__ = [
-    "batches", "documents", "fresh", "materialise", "ordered_buckets", "per_bucket", "ship", "table", "tasks", "tune", "workspace",
+    "batches", "documents", "fresh", "materialise", "numbered", "ordered_buckets", "per_bucket", "ship", "table", "tasks", "tune",
+    "word_blocks", "workspace",
 ]
 
 
@@ -71,6 +73,39 @@ def batches(frames: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in parts of about ``size`` bytes, cut at spaces only, so that a long text's words are not all held at once."""
+    at = 0
+    while at < len(data):
+        end = data.find(b" ", at + size)
+        end = end if end >= 0 else len(data)
+        yield data[at:end]
+        at = end
+
+
+def numbered(df: DataFrame, order: Sequence[Column], out: str, by: Sequence[str] = (), purpose: str = "numbered") -> DataFrame:
+    """``df`` with each row's number, from 0 on, in a total order of all rows or of those with the same ``by``.
+
+    A window would put all rows of one ``by``, or all rows, into one task. Here rows are dealt over tasks by ranges of
+    (by, order), so that a hot group is many tasks', and written; a row's number is its place in its task plus the rows of
+    its group in the tasks before, of which there are at most as many as tasks. The order must tell all rows apart.
+    """
+    part, at = fresh(df, "__part"), fresh(df, "__at")
+    keys = [*(F.asc(c) for c in by), *order]
+    n = tasks(df)
+    dealt = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    place = F.monotonically_increasing_id()  # the partition's number, then 33 bits for the place in it
+    placed = dealt.withColumn(part, F.spark_partition_id()).withColumn(at, place.bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = materialise(placed, purpose)
+    # a group's rows in a task are consecutive: they start at the smallest place
+    starts = placed.groupBy(*by, part).agg(F.min(at).alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    before = W.partitionBy(*by).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    starts = starts.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).drop("__first", "__rows")
+    same = [placed[c].eqNullSafe(starts[c]) for c in by] + [placed[part] == starts[part]]
+    columns = [placed[c] for c in df.columns]
+    return placed.join(starts, same).select(*columns, (placed[at] + F.col("__offset")).alias(out))
+
+
 def ordered_buckets(df: DataFrame, key: str, count: int, out: str) -> tuple[DataFrame, int]:
     """Number the rows' buckets so that a lower number means lower keys; equal keys share one. Also how many there may be.
 
