@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +99,12 @@ def op11_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.resampling import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_chunk_recipes": op1_chunk_recipes,
     "op2_line_dedup": op2_line_dedup,
@@ -109,6 +117,7 @@ QUERIES = {
     "op9_spotsigs": op9_spotsigs,
     "op10_language": op10_language,
     "op11_weak_quality": op11_weak_quality,
+    "op12_resampling": op12_resampling,
 }
 
 
@@ -135,6 +144,47 @@ def _spans_sql() -> str:
     )
 
 
+def _resampling_sql() -> str:
+    """CRC-32 byte by byte over the distinct features, with the table of what each byte adds."""
+    bytes_ = [zlib.crc32(bytes([v])) ^ zlib.crc32(b"\0") for v in range(256)]
+    runs = " UNION ALL ".join(
+        f"SELECT side, r, unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i+{n - 1}], ' '))) AS f FROM d"
+        for n in (1, 2, 3)
+    )
+    return rf"""
+        WITH d AS (
+            SELECT side, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM (SELECT 0 AS side, row_number() OVER () AS r, doc_id, text FROM documents
+                  UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark)
+        ), g AS (SELECT side, r, f, count(*) AS k FROM ({runs}) GROUP BY ALL
+        ), c AS (
+            SELECT f, xor(list_reduce(list_transform(range(1, 2 * strlen(f), 2), lambda i: CAST('0x' || x[i:i+1] AS BIGINT)),
+                                      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS b
+            FROM (SELECT f, hex(f) AS x FROM (SELECT DISTINCT f FROM g)), (SELECT {bytes_} AS t)
+        ), h AS (
+            SELECT b, coalesce(sum(k) FILTER (WHERE side = 0), 0) AS s, coalesce(sum(k) FILTER (WHERE side = 1), 0) AS t
+            FROM g JOIN c USING (f) GROUP BY b
+        ), gain AS (
+            SELECT b, CAST(floor(1000 * ln((CAST(t + 1 AS DOUBLE) * CAST((SELECT sum(s) FROM h) + 10000 AS DOUBLE))
+                         / (CAST(s + 1 AS DOUBLE) * CAST((SELECT sum(t) FROM h) + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM h
+        ), weighed AS (
+            SELECT r, CAST(sum(k) AS BIGINT) AS n_features, CAST(sum(k * gain) AS BIGINT) AS weight
+            FROM g JOIN c USING (f) JOIN gain USING (b) WHERE side = 0 GROUP BY r
+        ), scored AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS fit,
+                   coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((
+                       CAST('0x' || sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) + 0.5) / 4294967296.0))) AS BIGINT)
+                   AS score
+            FROM d LEFT JOIN weighed USING (r) WHERE side = 0
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored
+        )
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN fit AND place <= 5 * (SELECT count(*) FROM scored WHERE fit) // 100 THEN place END AS rank FROM placed
+    """
+
+
 _BLANK = r"[\x20\x09-\x0D]"
 ORACLES = {
     "op1_chunk_recipes": rf"""
@@ -177,4 +227,5 @@ ORACLES = {
                sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
         FROM d LEFT JOIN l USING (r)
     """,
+    "op12_resampling": _resampling_sql(),
 }
