@@ -105,6 +105,12 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_chunk_recipes": op1_chunk_recipes,
     "op2_line_dedup": op2_line_dedup,
@@ -118,6 +124,7 @@ QUERIES = {
     "op10_language": op10_language,
     "op11_weak_quality": op11_weak_quality,
     "op12_resampling": op12_resampling,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 
@@ -144,9 +151,12 @@ def _spans_sql() -> str:
     )
 
 
+#: What a byte adds to a CRC-32.
+_CRC = [zlib.crc32(bytes([v])) ^ zlib.crc32(b"\0") for v in range(256)]
+
+
 def _resampling_sql() -> str:
     """CRC-32 byte by byte over the distinct features, with the table of what each byte adds."""
-    bytes_ = [zlib.crc32(bytes([v])) ^ zlib.crc32(b"\0") for v in range(256)]
     runs = " UNION ALL ".join(
         f"SELECT side, r, unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i+{n - 1}], ' '))) AS f FROM d"
         for n in (1, 2, 3)
@@ -161,7 +171,7 @@ def _resampling_sql() -> str:
         ), c AS (
             SELECT f, xor(list_reduce(list_transform(range(1, 2 * strlen(f), 2), lambda i: CAST('0x' || x[i:i+1] AS BIGINT)),
                                       lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS b
-            FROM (SELECT f, hex(f) AS x FROM (SELECT DISTINCT f FROM g)), (SELECT {bytes_} AS t)
+            FROM (SELECT f, hex(f) AS x FROM (SELECT DISTINCT f FROM g)), (SELECT {_CRC} AS t)
         ), h AS (
             SELECT b, coalesce(sum(k) FILTER (WHERE side = 0), 0) AS s, coalesce(sum(k) FILTER (WHERE side = 1), 0) AS t
             FROM g JOIN c USING (f) GROUP BY b
@@ -228,4 +238,39 @@ ORACLES = {
         FROM d LEFT JOIN l USING (r)
     """,
     "op12_resampling": _resampling_sql(),
+    "op13_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id, turn, dense_rank() OVER (ORDER BY coalesce(role, ''), coalesce(text, '')) AS id,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+                   sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS tie
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT conv_id, list({'id': id, 'words': words} ORDER BY turn NULLS FIRST, tie) AS s FROM t GROUP BY conv_id
+        ), crc AS (
+            SELECT conv_id, s, xor(list_reduce(list_transform(range(1, 2 * strlen(d), 2), lambda i: CAST('0x' || hex(d)[i:i+1] AS BIGINT)),
+                                   lambda a, b: xor(a >> 8, k[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 4 AS h
+            FROM (SELECT conv_id, s, CAST(conv_id AS VARCHAR) AS d FROM own), (SELECT CRC_TABLE AS k)
+        ), seq AS (
+            SELECT a.conv_id, list_concat(coalesce(b.s[1:a.h], []), a.s[a.h + 1:]) AS s
+            FROM crc a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20
+        ), p AS (
+            SELECT conv_id, d, len(s) AS len, list_transform(s[1:d], lambda x: x.id) AS key, coalesce(s[d].words, 0) AS words
+            FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM seq)
+        ), n AS (
+            SELECT d, key, min(conv_id) AS least, count(*) AS n, max(words) AS words, max(len) = d AS leaf,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len = d), '') AS ends
+            FROM p GROUP BY d, key
+        ), c AS (
+            SELECT d - 1 AS d, key[1:d - 1] AS key, count(*) AS children FROM n WHERE d > 0 GROUP BY ALL
+        ), r AS (
+            -- what a conversation adds to the nodes it is in: the nodes further on of which it is the smallest member
+            SELECT p.d, p.key, sum(CASE WHEN p.conv_id = n.least THEN (n.n - 1) * n.words ELSE 0 END) OVER w AS saved,
+                   sum(CASE WHEN p.conv_id = n.least AND n.leaf THEN 1 ELSE 0 END) OVER w AS leaves
+            FROM p JOIN n USING (d, key) WINDOW w AS (PARTITION BY p.conv_id ORDER BY p.d DESC)
+        ), sums AS (SELECT d, key, sum(saved) AS saved, sum(leaves) AS leaves FROM r GROUP BY d, key)
+        SELECT n.least AS conv_id, CAST(n.d AS BIGINT) AS depth, u.least AS parent_conv_id, n.n AS n_convs,
+               coalesce(c.children, 0) AS n_children, CAST(sums.leaves AS BIGINT) AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens,
+               sha256(n.ends) AS ends_sha256
+        FROM n JOIN sums USING (d, key) LEFT JOIN c USING (d, key) LEFT JOIN n u ON u.d = n.d - 1 AND u.key = n.key[1:n.d - 1]
+    """.replace("CRC_TABLE", str(_CRC)),
 }

@@ -98,12 +98,14 @@ def numbered(df: DataFrame, order: Sequence[Column], out: str, by: Sequence[str]
     placed = dealt.withColumn(part, F.spark_partition_id()).withColumn(at, place.bitwiseAND(F.lit((1 << 33) - 1)))
     placed = materialise(placed, purpose)
     # a group's rows in a task are consecutive: they start at the smallest place
-    starts = placed.groupBy(*by, part).agg(F.min(at).alias("__first"), F.count(F.lit(1)).alias("__rows"))
-    before = W.partitionBy(*by).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    names = {c: f"__{i}" for i, c in enumerate([*by, part])}
+    groups = (F.col(c).alias(n) for c, n in names.items())
+    starts = placed.groupBy(*groups).agg(F.min(at).alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    before = W.partitionBy(*(names[c] for c in by)).orderBy(names[part]).rowsBetween(W.unboundedPreceding, -1)
     starts = starts.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).drop("__first", "__rows")
-    same = [placed[c].eqNullSafe(starts[c]) for c in by] + [placed[part] == starts[part]]
-    columns = [placed[c] for c in df.columns]
-    return placed.join(starts, same).select(*columns, (placed[at] + F.col("__offset")).alias(out))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{n}")) for c, n in names.items()]
+    numbered_rows = placed.alias("l").join(starts.alias("r"), same)
+    return numbered_rows.select(*(F.col(f"l.{c}") for c in df.columns), (F.col(f"l.{at}") + F.col("r.__offset")).alias(out))
 
 
 def ordered_buckets(df: DataFrame, key: str, count: int, out: str) -> tuple[DataFrame, int]:
