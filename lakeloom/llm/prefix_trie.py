@@ -112,7 +112,7 @@ def _blocks(turns: DataFrame, lengths: DataFrame, block: int) -> tuple[DataFrame
     hashes = [F.xxhash64("ids", "level", F.lit(seed)) for seed in (1, 2)]
     rows = rows.withColumns({f"h{i}": h for i, h in enumerate(hashes)})
     rows = rows.withColumns({f"p{i}": F.bit_xor(f"h{i}").over(path.rowsBetween(W.unboundedPreceding, 0)) for i in range(2)})
-    rows = rows.withColumn("top", F.coalesce(F.lag(F.element_at(F.col("words"), -1)).over(path), F.lit(0).cast("long")))
+    rows = rows.withColumn("top", F.coalesce(F.lag(F.try_element_at(F.col("words"), F.lit(-1))).over(path), F.lit(0).cast("long")))
 
     def key(level: Column, first: Column, second: Column) -> Column:
         return F.unhex(F.md5(F.concat_ws(":", level, first, second)))
@@ -186,7 +186,7 @@ def _burst(rows: DataFrame, limit: int) -> tuple[DataFrame, list[DataFrame], lis
         heads.append(over)
         marked = spread_join(rows, over.select("head", "shared"), ["head"], "left", by=["head"])
         here = F.size("ids") > F.col("shared")
-        following = F.unhex(F.md5(F.concat(F.col("head"), F.element_at("ids", F.col("shared") + 1))))
+        following = F.unhex(F.md5(F.concat(F.col("head"), F.try_element_at("ids", F.col("shared") + 1))))
         moved = (
             marked.filter(F.col("shared").isNull() | here)
             .withColumn("parent", F.when(here, F.col("head")).otherwise(F.col("parent")))

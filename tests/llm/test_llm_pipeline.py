@@ -28,12 +28,17 @@ COLUMNS = {
     "op8_": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op9_": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11_": [
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality", "votes",
+    ],
+    "op12_": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op13_": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
 }
 
 
 def test_every_operator_is_registered_once():
     found = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in found) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in found) == list(range(1, 14))
     assert set(found) == set(QUERIES) and "pipeline" in __spark_entry__.queries()
     assert set(ORACLES) <= set(QUERIES)
 
@@ -48,7 +53,8 @@ def test_query_columns(spark, name):
 def test_queries_say_what_the_sql_says(spark, name):
     rows = QUERIES[name](spark, SMALL)
     db = duckdb.connect()
-    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for name_ in ("documents", "benchmark", "conversations"):
+        db.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{SMALL}/{name_}.parquet'")
     want = db.execute(ORACLES[name])
     columns = [c[0] for c in want.description]
     assert sorted(columns) == sorted(rows.columns)
