@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from lakeloom.plans.audit import AuditRecord, AuditSink, audited, utc_now
 from lakeloom.plans.lakehouse import Lakehouse
-from lakeloom.sinks.bronze import write_batch, write_full
-from lakeloom.sources.bronze import read_batch, read_full
-from lakeloom.sources.control import FULL, ControlRow, control_rows, extract
+from lakeloom.sinks.bronze import write_batch, write_full, write_unmarked
+from lakeloom.sources.bronze import read_batch, read_full, read_unmarked
+from lakeloom.sources.control import FULL, ControlRow, control_rows, extract, unmarked_rows
 from lakeloom.sources.delimited import CSV_COLUMNS, read_csv
 
 log = logging.getLogger(__name__)
@@ -49,6 +49,10 @@ def ingest(
     Each source is one Spark job over its own table. A source that fails is
     audited and its mark stays; the others still run, then the first error is
     raised.
+
+    Rows of an incremental source whose mark column is null are copied in every run,
+    as nothing tells whether they changed; a day holds them once, merges are
+    idempotent, and an audit row of their own says how many there were.
     """
     sink = sink or lakehouse.audit_sink(spark)
     record = record or AuditRecord("Bronze", "", "", orchestrator="lakeloom")
@@ -69,9 +73,13 @@ def ingest(
         )
         try:
             with audited(sink, this) as outcome:
-                outcome.row_count = _copy(spark, lakehouse, reader, row, run_date)
+                outcome.row_count, unmarked = _copy(spark, lakehouse, reader, row, run_date)
                 control.replace(advanced(control.read(spark), row.table_name, run_start))
-            copied[row.table_name] = outcome.row_count
+            copied[row.table_name] = outcome.row_count + unmarked
+            if unmarked:
+                log.warning("%s: %d rows without %s", row.table_name, unmarked, row.watermark_column)
+                with audited(sink, replace(this, activity_name=f"Rows without {row.watermark_column}: {row.table_name}")) as outcome:
+                    outcome.row_count = unmarked
         except Exception as error:
             log.error("ingestion of %s failed: %s", row.table_name, error)
             errors.append(error)
@@ -82,14 +90,18 @@ def ingest(
 
 def _copy(
     spark: SparkSession, lakehouse: Lakehouse, reader: Reader, row: ControlRow, run_date: str
-) -> int:
-    rows = extract(reader(row.source_schema, row.table_name), row)
+) -> tuple[int, int]:
+    """Rows copied: by the mark or in full, and without a mark."""
+    source = reader(row.source_schema, row.table_name)
+    place = (lakehouse.bronze, row.table_name)
     if row.load_type == FULL:
-        write_full(rows, lakehouse.bronze, row.table_name)
-        return read_full(spark, lakehouse.bronze, row.table_name).count()
+        write_full(source, *place)
+        return read_full(spark, *place).count(), 0
     since = row.last_loaded_at
-    write_batch(rows, lakehouse.bronze, row.table_name, run_date, since)
-    return read_batch(spark, lakehouse.bronze, row.table_name, run_date, since=since).count()
+    write_batch(extract(source, row), *place, run_date, since)
+    write_unmarked(unmarked_rows(source, row.watermark_column), *place, run_date)
+    marked = read_batch(spark, *place, run_date, since=since).count()
+    return marked, read_unmarked(spark, *place, run_date).count()
 
 
 def land_csv(

@@ -1,4 +1,9 @@
-"""Raw Parquet folders: all of a table, or the batch of one day."""
+"""Raw Parquet folders: all of a table, or the batch of one day.
+
+A table loaded by batches has a folder per day, and in it one per mark that a batch
+starts from (``since=none`` for rows without one). A fully loaded table has a folder
+per copy, and beside it a small list of the copies that are whole.
+"""
 
 from __future__ import annotations
 
@@ -10,15 +15,44 @@ from pyspark.sql import functions as F
 
 BATCH_COLUMN = "ingest_date"
 MARK_COLUMN = "since"
+NO_MARK = "none"
+COPY = "copy"
+
+
+def mark_folder(since: datetime | None) -> str:
+    return f"{MARK_COLUMN}={NO_MARK if since is None else f'{since:%Y%m%dT%H%M%S%f}'}"
+
+
+def copies(base: str, table: str) -> str:
+    """Where the whole copies of a table are listed."""
+    return f"{base}/{table}.copies"
+
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """All files below a folder. Folders of days and marks are no columns: lakes hold days
+    with and without marks, which Spark would not read as one table."""
+    return spark.read.option("recursiveFileLookup", True).parquet(path)
 
-def mark_folder(since: datetime) -> str:
-    return f"{MARK_COLUMN}={since:%Y%m%dT%H%M%S%f}"
+
+def current_copy(spark: SparkSession, base: str, table: str) -> str | None:
+    """The name of the last whole copy; None if the table was never fully loaded, or by an older release."""
+    try:
+        return spark.read.schema(f"{COPY} string").parquet(copies(base, table)).agg(F.max(COPY)).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return None
 
 
 def read_full(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """Every file of a bronze table."""
-    return spark.read.parquet(f"{base}/{table}")
+    """Every row of a bronze table: its last whole copy, or all its batches."""
+    copy = current_copy(spark, base, table)
+    return _files(spark, f"{base}/{table}" + (f"/{COPY}={copy}" if copy else ""))
+
+
+def read_unmarked(spark: SparkSession, base: str, table: str, run_date: str) -> DataFrame:
+    """The rows of ``run_date`` that have no mark."""
+    return _files(spark, f"{base}/{table}/{BATCH_COLUMN}={run_date}/{mark_folder(None)}")
 
 
 def read_batch(
@@ -43,10 +77,8 @@ def read_batch(
     if since is not None:
         batch += f"/{mark_folder(since)}"
     try:
-        # folders below the day's are its batches, not columns
-        day = spark.read.option("recursiveFileLookup", True)
-        return day.parquet(batch)
+        return _files(spark, batch)
     except AnalysisException as error:
         if strict or error.getCondition() != "PATH_NOT_FOUND":
             raise
-    return spark.read.parquet(folder).drop(BATCH_COLUMN, MARK_COLUMN).where(F.lit(False))
+    return _files(spark, folder).where(F.lit(False))

@@ -50,14 +50,20 @@ def control_rows(control: DataFrame) -> list[ControlRow]:
 
 
 def incremental_rows(df: DataFrame, watermark_column: str, last_loaded_at: datetime) -> DataFrame:
-    """Rows changed after ``last_loaded_at``; a row at the mark was loaded before."""
+    """Rows changed after ``last_loaded_at``; a row at the mark was loaded before. Rows without
+    a mark are not among them, see ``unmarked_rows``."""
     column_type = df.schema[watermark_column].dataType.simpleString()
     mark = F.lit(last_loaded_at.isoformat(sep=" ")).cast(column_type)
     return df.where(F.col(watermark_column) > mark)
 
 
+def unmarked_rows(df: DataFrame, watermark_column: str) -> DataFrame:
+    """Rows of unknown change time. No mark tells whether they were loaded, so each run copies them all."""
+    return df.where(F.col(watermark_column).isNull())
+
+
 def extract(df: DataFrame, row: ControlRow) -> DataFrame:
-    """What this run must copy from one source table."""
+    """What this run must copy from one source table, less the rows without a mark."""
     if row.load_type == FULL:
         return df
     return incremental_rows(df, row.watermark_column, row.last_loaded_at)

@@ -28,10 +28,10 @@ def stream_silver(
     """
     if not table.incremental:
         raise ValueError(f"{table.name} is loaded by full refresh")
-    reader = spark.readStream.schema(schema)
+    # the folders of days and marks are no columns of the table, and days may differ in them
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    # the day folders add a partition column that is not part of the table
     arrived = reader.parquet(bronze_folder).select(*schema.names)
 
     def load(batch: DataFrame, _: int) -> None:

@@ -517,8 +517,10 @@ STATEMENTS: dict[str, str] = {
                                ELSE last_loaded_at END AS last_loaded_at)
         FROM control""",
     "ingest_control_run": """
-        SELECT "table", "rows", load_type, TIMESTAMP '2026-01-31 01:00:00' AS last_loaded_at
-        FROM extracted JOIN control ON table_name = "table" """,
+        SELECT "table", "rows" + coalesce(unmarked, 0) AS "rows", load_type, TIMESTAMP '2026-01-31 01:00:00' AS last_loaded_at
+        FROM extracted JOIN control ON table_name = "table" LEFT JOIN (
+          SELECT 'orders' AS "table", count(*) AS unmarked FROM b_orders WHERE updated_at IS NULL
+          UNION ALL SELECT 'order_items', count(*) FROM b_items WHERE created_at IS NULL) USING ("table")""",
     "audit_summary": """
         SELECT 'Silver' AS layer, source_name, 'Data Transformation: ' || source_name
                  AS activity_name,
@@ -533,6 +535,10 @@ STATEMENTS: dict[str, str] = {
                      (SELECT count(*) FROM orders_s)
               UNION ALL SELECT 'marketing_spend', 'FULL_REFRESH', NULL, 'FAIL', NULL)""",
     "ingest_twice_a_day": "SELECT * FROM orders_s",
+    "bronze_mixed_layout": f"""
+        SELECT *, 'all' AS batch FROM b_orders
+        UNION ALL
+        SELECT *, '2026-01-31' FROM b_orders WHERE order_date >= {CUT} OR order_date IS NULL""",
     "csv_to_silver_prices": "SELECT * FROM prices_s",
     "dim_customers": "SELECT * FROM dim_c",
     "dim_products": "SELECT * FROM dim_p",

@@ -22,7 +22,7 @@ from lakeloom.plans.lakehouse import Lakehouse
 from lakeloom.plans.silver import SILVER
 from lakeloom.plans.staging import STAGED_COLUMNS, stage
 from lakeloom.session import materialise, workspace
-from lakeloom.sinks import write_batch, write_full
+from lakeloom.sinks import write_batch, write_full, write_unmarked
 from lakeloom.sinks.tables import Ranges, Table
 from lakeloom.sources import control_rows, extract, read_batch, read_csv, read_full
 from lakeloom.sources.control import CONTROL_SEED
@@ -94,6 +94,22 @@ def bronze_batch_scan(r: Roles) -> DataFrame:
     )
 
 
+@query
+def bronze_mixed_layout(r: Roles) -> DataFrame:
+    """Days written as a whole, as batches by their marks, and with rows that have no mark, read together and by day."""
+    base, new = workspace(r.spark, "bronze"), F.col("order_date") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    write_batch(r.orders_before, base, "orders", "2026-01-30")
+    for since, part in ((datetime(2026, 1, 30), F.col("order_id") % 2 == 0), (RUN_START, F.col("order_id") % 2 == 1)):
+        write_batch(r.orders.where(new & part), base, "orders", RUN_DATE, since=since)
+    write_unmarked(r.orders.where(F.col("order_date").isNull()), base, "orders", RUN_DATE)
+    return all_of(
+        [
+            read_full(r.spark, base, "orders").withColumn("batch", F.lit("all")),
+            *(read_batch(r.spark, base, "orders", day).withColumn("batch", F.lit(day)) for day in (RUN_DATE, "2026-02-01")),
+        ]
+    )
+
+
 @query
 def csv_source_scan(r: Roles) -> DataFrame:
     folder = workspace(r.spark, "csv")

@@ -6,8 +6,9 @@ import tempfile
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
 from compare import TABLES, compare, connect
+from lakeloom.workload.oracles import ORACLES
+from lakeloom.workload.queries import QUERIES
 
 SOURCE = "/root/testdata/sf0.001"
 CHANGES = {
@@ -53,7 +54,7 @@ def sql(hard_dir):
     return connect(hard_dir)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_same_result(spark, sql, hard_dir, name):
-    result = contract.queries()[name](spark, hard_dir)
-    assert compare(result, sql, contract.oracle_sql()[name]) == []
+    result = QUERIES[name](spark, hard_dir)
+    assert compare(result, sql, ORACLES[name]) == []

@@ -346,6 +346,21 @@ def test_two_runs_on_a_day_and_a_failed_one(spark, lakehouse, rows):
     assert run_silver(spark, lakehouse, "orders", "2025-02-01").inserts == 4
 
 
+def test_rows_without_a_mark_arrive_and_are_counted(spark, lakehouse, rows):
+    source = [(1, 1, "a", fx.day(1)), (2, 1, "b", None)]
+    run = lambda start: ingest(
+        spark, lakehouse, lambda schema, table: fx.orders(spark, *source), "2025-02-01", run_start=start
+    )
+    lakehouse.seed_control(spark, [("orders", "dbo", "incremental", "updated_at", None)])
+    assert run(fx.day(2)) == {"orders": 2}
+    source[1:] = [(2, 1, "c", None), (3, 1, "d", None)]
+    assert run(fx.day(4)) == {"orders": 2}
+    batch = read_batch(spark, lakehouse.bronze, "orders", "2025-02-01")
+    assert rows(batch.select("order_id", "status")) == [(1, "a"), (2, "c"), (3, "d")]
+    counted = [(r.activity_name, r.row_count) for r in log(spark, lakehouse) if "without" in r.activity_name]
+    assert sorted(counted) == [("Rows without updated_at: orders", n) for n in (1, 2)]
+
+
 def test_ingestion_into_an_empty_lake(spark, lakehouse):
     sources = {
         "customers": fx.customers(spark), "products": fx.products(spark),

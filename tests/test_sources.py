@@ -2,9 +2,10 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from lakeloom.session import materialise, workspace
-from lakeloom.sinks import write_batch, write_full
+from lakeloom.sinks import write_batch, write_full, write_unmarked
 from lakeloom.sources import JdbcSource, Split, control_rows, extract, read_batch, read_csv, read_full
 from lakeloom.sources.control import CONTROL_SCHEMA
 
@@ -46,6 +47,31 @@ def test_full_copy_is_replaced(spark, rows, tmp_path):
     assert rows(read_full(spark, str(tmp_path), "t")) == [(3,)]
 
 
+def test_a_full_write_that_died_leaves_the_last_copy(spark, rows, tmp_path):
+    base = str(tmp_path)
+    numbers(spark, 0).write.parquet(f"{base}/t")  # as older releases wrote it
+    assert rows(read_full(spark, base, "t")) == [(0,)]
+    write_full(numbers(spark, 1, 2), base, "t")
+    numbers(spark, 7).write.parquet(f"{base}/t/copy=99991231T000000000000-dead")  # never listed
+    dying = numbers(spark, 8).select(F.raise_error(F.lit("died")).cast("int").alias("n"))
+    with pytest.raises(Exception, match="died"):
+        write_full(dying, base, "t")
+    assert rows(read_full(spark, base, "t")) == [(1,), (2,)]
+
+
+def test_days_with_and_without_marks_are_one_table(spark, rows, tmp_path):
+    base, day = str(tmp_path), "2026-01-02"
+    write_batch(numbers(spark, 1), base, "t", "2026-01-01")
+    write_batch(numbers(spark, 2), base, "t", day, since=datetime(2026, 1, 1))
+    write_unmarked(numbers(spark, 3), base, "t", day)
+    write_unmarked(numbers(spark, 4), base, "t", day)  # in place of the ones before
+    assert rows(read_full(spark, base, "t")) == [(1,), (2,), (4,)]
+    assert rows(read_batch(spark, base, "t", day)) == [(2,), (4,)]
+    assert rows(read_batch(spark, base, "t", "2026-01-05")) == []
+    write_batch(numbers(spark, 9), base, "t", day)  # without a mark: the whole day
+    assert rows(read_full(spark, base, "t")) == [(1,), (9,)]
+
+
 def test_csv(spark, rows, tmp_path):
     text = 'spend_date,channel,clicks\r\n2026-01-01,"Meta, \\"Ads\\"",345\r\n2026-01-02,,7\r\n'
     (tmp_path / "spend.csv").write_bytes(text.encode())
