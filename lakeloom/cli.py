@@ -69,6 +69,7 @@ def parser() -> argparse.ArgumentParser:
     gold.add_argument("--as_of")
     gold.add_argument("--every_price", action="store_true")
     gold.add_argument("--changed_only", action="store_true", help="leave out items later than their order")
+    gold.add_argument("--lookback", help="with --changed_only: how far to go back behind the mark, as '7 days'")
     gold.add_argument("--first_day")
     gold.add_argument("--last_day")
     landing = jobs.add_parser("csv", parents=[shared])
@@ -121,6 +122,7 @@ def main(argv: list[str] | None = None) -> None:
             results = build_gold(
                 spark, lakehouse, as_of=args.as_of, every_price=args.every_price,
                 catch_up=not args.changed_only, first_day=args.first_day, last_day=args.last_day,
+                lookback=args.lookback,
             )
             results.show(50, False)
         case "seed":

@@ -161,6 +161,17 @@ def fact_sales_increment(
     return rows.unionByName(_fact(late, settled, dim_customers, dim_products))
 
 
+def fact_sales_difference(whole: DataFrame, fact: DataFrame) -> DataFrame:
+    """Rows of the whole fact that the stored one lacks or holds otherwise, by key and a hash of the row."""
+    columns = sorted(whole.columns)
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("__row", F.xxhash64(*(F.struct(F.col(c).cast(fact.schema[c].dataType)) for c in columns)))
+
+    held = keyed(fact).select("order_item_id", "__row")
+    return spread_join(keyed(whole), held, ["order_item_id", "__row"], "left_anti", by=["__row"]).drop("__row")
+
+
 def fact_sales_merged(fact: DataFrame, increment: DataFrame) -> DataFrame:
     """The fact after an increment: matched rows replaced, new ones added."""
     return upsert(fact, increment, ["order_item_id"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,14 +10,18 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.watermark import LOWEST_WATERMARK
 from lakeloom.operators.quality import require_passed, run_checks
+from lakeloom.operators.range_checks import CHECK_STATE, PARENT_STATE, RangeChecks
 from lakeloom.plans import gold
 from lakeloom.plans.audit import AuditRecord, AuditSink, audited
 from lakeloom.plans.lakehouse import Lakehouse
+from lakeloom.plans.range_state import STATE, Changes, changes
 from lakeloom.plans.silver import SILVER, Load, SilverTable
 from lakeloom.session import materialise
-from lakeloom.sinks.tables import RANGE, MergeCounts, Table
+from lakeloom.sinks.tables import RANGE, MergeCounts, Ranges, Table
 from lakeloom.sources.bronze import read_batch, read_full
 
+Dims = tuple[DataFrame, DataFrame]
+
 
 def silver_target(lakehouse: Lakehouse, table: SilverTable) -> Table:
     return lakehouse.table(lakehouse.silver, table.name, table.keys)
@@ -79,42 +84,69 @@ def gold_tables(spark: SparkSession, lakehouse: Lakehouse) -> dict[str, DataFram
 FACT_MARK = "lakeloom.mark"
 
 
-def _late_ranges(items: Table, fact: Table, spark: SparkSession) -> set[int]:
-    """Ranges in which the fact has fewer rows than the items: the only ones where
-    it can lack an item. Counted from the files' footers."""
-    held = fact.range_counts(spark).withColumnRenamed("rows", "held")
-    short = items.range_counts(spark).join(held, RANGE, "left")
-    return {r[0] for r in short.where(F.col("rows") > F.coalesce("held", F.lit(0))).select(RANGE).collect()}
+def _shared_ranges(fact: Table, orders: Table, items: Table) -> Ranges | None:
+    """The ranges of ``order_id`` that all three tables have, if they have the same."""
+    ranges = orders.ranges
+    alike = ranges and ranges.column == "order_id" and items.ranges == ranges and fact.ranges == ranges
+    return ranges if alike else None
 
 
-def _increment(
-    spark: SparkSession,
-    fact: Table,
-    orders: Table,
-    items: Table,
-    dims: tuple[DataFrame, DataFrame],
-    mark: Column,
-    catch_up: bool,
+def _newer(
+    spark: SparkSession, fact: Table, orders: Table, items: Table, dims: Dims, mark: Column, lookback: Column | None
 ) -> DataFrame:
-    """What the fact lacks. Of tables that share their ranges of ``order_id``, only
-    ranges with changed orders or missing items are read."""
-    fact, orders, items = (t.opened(spark) for t in (fact, orders, items))
+    """Fact rows of orders changed after the mark. Of tables that share their ranges of ``order_id``, only
+    ranges with changed orders are read."""
     ranges = orders.ranges
-    ranges = ranges if ranges and ranges.column == "order_id" and items.ranges == ranges else None
-    if catch_up and fact.ranges != ranges:
-        ranges = None
     wanted = None
-    if ranges:
-        found = set(ranges.listed(gold.changed_orders(orders.read(spark), mark)))
-        if catch_up:
-            found |= _late_ranges(items, fact, spark)
-        wanted = sorted(found)
+    if ranges and ranges.column == "order_id" and items.ranges == ranges:
+        wanted = ranges.listed(gold.changed_orders(orders.read(spark), mark, lookback))
     known = fact.read(spark, wanted if fact.ranges == ranges else None)
     return gold.fact_sales_increment(
-        known, items.read(spark, wanted), orders.read(spark, wanted), *dims, catch_up=catch_up, mark=mark
+        known, items.read(spark, wanted), orders.read(spark, wanted), *dims, lookback=lookback, mark=mark
     )
 
 
+class _FactState:
+    """What the last build knew of the fact's sources and of its checks, in tables beside it."""
+
+    def __init__(self, spark: SparkSession, lakehouse: Lakehouse):
+        self.spark, self.checks = spark, RangeChecks("fact_sales", gold.GOLD_CHECKS)
+
+        def state(name: str, schema: str) -> Table:
+            table = lakehouse.table(lakehouse.gold, f"fact_sales_{name}")
+            table.create_if_absent(spark, spark.createDataFrame([], schema).schema)
+            return table
+
+        self.sources = state("sources", STATE)
+        self.checked, self.parents = state("checked", CHECK_STATE), state("parents", PARENT_STATE)
+        self.built = state("built", STATE)
+
+    def check(self, fact: Table, tables: dict[str, DataFrame]) -> DataFrame:
+        """The fact's checks. Only ranges whose files are others than at the last check are checked again."""
+        moved = changes(self.spark, self.built.read(self.spark), {"fact_sales": fact})
+        parents = materialise(self.checks.parents(tables), "parents")
+
+        def read(ranges: Sequence[int] | None) -> DataFrame:
+            return fact.placed(self.spark, ranges).withColumnRenamed(RANGE, "number")
+
+        state = self.checks.advanced(
+            self.checked.read(self.spark), self.parents.read(self.spark), parents, read, moved.ranges
+        )
+        # the ranges come last: a build that dies before checks them again, which gives the same
+        self.checked.replace(state)
+        self.parents.replace(parents)
+        self.built.replace(moved.state)
+        return self.checks.results(self.checked.read(self.spark), parents)
+
+
+def _first_changes(spark: SparkSession, lakehouse: Lakehouse, orders: Table, items: Table) -> Changes | None:
+    """All ranges of both sources, for a fact that has the same."""
+    fact = lakehouse.table(lakehouse.gold, "fact_sales")
+    if not _shared_ranges(fact, orders, items):
+        return None
+    return changes(spark, spark.createDataFrame([], STATE), {"orders": orders, "order_items": items})
+
+
 def build_gold(
     spark: SparkSession,
     lakehouse: Lakehouse,
@@ -124,6 +156,7 @@ def build_gold(
     check: bool = True,
     first_day: str | None = None,
     last_day: str | None = None,
+    lookback: str | None = None,
 ) -> DataFrame:
     """Rebuild the dimensions, add to the fact, then check the star.
 
@@ -132,8 +165,12 @@ def build_gold(
     at any point is simply run again. Returns the check results; failures raise
     unless ``check`` is off.
 
-    catch_up:  also add items that arrived after their order was loaded. Without
-               it only changed orders are looked at.
+    catch_up:  everything that changed in silver reaches the fact, whatever its change
+               time. Of tables that share their ranges of ``order_id``, ranges that look as
+               they did at the last build are not read, and only the others are checked
+               again; without ranges, the whole fact is compared. Without ``catch_up`` only
+               orders changed after the mark are looked at.
+    lookback:  without ``catch_up``, how far to go back behind the mark, as ``7 days``.
     first_day, last_day: of the date dimension; by default it covers all orders.
     """
 
@@ -155,18 +192,39 @@ def build_gold(
     dims = (target("dim_customers").read(spark), target("dim_products").read(spark))
     fact = target("fact_sales", "order_item_id")
     reached = fact.properties(spark).get(FACT_MARK)
-    if reached:
-        mark = F.lit(reached).cast("timestamp_ntz")
-        rows = _increment(spark, fact, silver("orders"), silver("order_items"), dims, mark, catch_up)
-        rows = materialise(rows, "increment")
-        fact.upsert(rows, count_target=False)
-    else:  # there is none, or its first build did not end
-        rows = materialise(gold.fact_sales(read("order_items"), read("orders"), *dims), "fact")
+    orders, items = silver("orders").opened(spark), silver("order_items").opened(spark)
+    if not reached:  # there is none, or its first build did not end
+        found = _first_changes(spark, lakehouse, orders, items)
+        rows = materialise(gold.fact_sales(items.read(spark), orders.read(spark), *dims), "fact")
         fact.replace(rows)
+    elif not catch_up:
+        found, mark = None, F.lit(reached).cast("timestamp_ntz")
+        back = F.expr(f"interval {lookback}") if lookback else None
+        rows = materialise(_newer(spark, fact.opened(spark), orders, items, dims, mark, back), "increment")
+        fact.upsert(rows, count_target=False)
+    elif _shared_ranges(fact.opened(spark), orders, items):
+        found = changes(spark, _FactState(spark, lakehouse).sources.read(spark), {"orders": orders, "order_items": items})
+        of = (items.read(spark, found.ranges), orders.read(spark, found.ranges))
+        rows = materialise(gold.fact_sales(*of, *dims), "increment")
+        fact.opened(spark).replace_ranges(rows, found.ranges)
+    else:
+        found = None
+        whole = gold.fact_sales(items.read(spark), orders.read(spark), *dims)
+        rows = materialise(gold.fact_sales_difference(whole, fact.read(spark)), "increment")
+        fact.upsert(rows, count_target=False)
     newest = rows.agg(F.max("updated_at").cast("string")).first()[0]
     fact.set_property(spark, FACT_MARK, max(filter(None, (reached, newest, LOWEST_WATERMARK))))
-
-    results = materialise(run_checks(gold_tables(spark, lakehouse), gold.GOLD_CHECKS), "checks")
+    if found:
+        _FactState(spark, lakehouse).sources.replace(found.state)
+
+    tables = gold_tables(spark, lakehouse)
+    ranged = _shared_ranges(fact.opened(spark), orders, items)
+    if ranged:
+        of_dims = [c for c in gold.GOLD_CHECKS if c.table != "fact_sales"]
+        results = run_checks(tables, of_dims).unionByName(_FactState(spark, lakehouse).check(fact.opened(spark), tables))
+    else:
+        results = run_checks(tables, gold.GOLD_CHECKS)
+    results = materialise(results, "checks")
     if check:
         require_passed(results)
     return results

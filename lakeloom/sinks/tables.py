@@ -17,6 +17,7 @@ The ranges are kept with the table: a later run need not name them.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
@@ -132,10 +133,11 @@ class Table:
             df = df.where(F.col(RANGE).isin(ranges))
         return df.drop(LEAF if self.leaves else RANGE)
 
-    def range_counts(self, spark: SparkSession) -> DataFrame:
-        """Rows of each range, from the files' footers."""
+    def placed(self, spark: SparkSession, ranges: Sequence[int] | None = None) -> DataFrame:
+        """The rows with the number of their range, of all ranges or some."""
         spark.catalog.refreshTable(self.name)
-        return spark.table(self.name).groupBy(RANGE).agg(F.count(F.lit(1)).alias("rows"))
+        df = spark.table(self.name)
+        return df if ranges is None else df.where(F.col(RANGE).isin(list(ranges)))
 
     # -- layout ------------------------------------------------------------
     def _placed(self, df: DataFrame) -> DataFrame:
@@ -240,6 +242,23 @@ class Table:
         spark.catalog.refreshTable(self.name)
         return self.read(spark).count()
 
+    def replace_ranges(self, df: DataFrame, ranges: Sequence[int]) -> None:
+        """The given ranges hold exactly ``df`` afterwards; others stay as they are and are not read."""
+        spark = df.sparkSession
+        if not ranges:
+            return
+        placed = self._placed(m.conform(df, self.read(spark)))
+        folder = self._write_version(placed)
+        rows = spark.read.schema(placed.schema).parquet(folder).select(RANGE).distinct().collect()
+        written = {row[0] for row in rows}
+        if beside := written - set(ranges):
+            raise ValueError(f"{self.name}: rows of other ranges, {sorted(beside)[:5]}")
+        known = set(self._known_ranges(spark))
+        self._point_ranges(spark, folder, sorted(written))
+        for value in sorted(known & set(ranges) - written):
+            spark.sql(f"ALTER TABLE {self.name} DROP PARTITION ({RANGE}={value})")
+        spark.catalog.refreshTable(self.name)
+
     # -- merging -------------------------------------------------------------
     def merge_statement(self, source_view: str, update_when: str | None, insert_only: bool) -> str:
         """The same merge as SQL, for a format that has ``MERGE INTO``."""

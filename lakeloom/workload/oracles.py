@@ -366,6 +366,11 @@ def _built_failures(kind: str, table: str, column: str) -> str:
 
 
 _SHIPPED = "l_orderkey, l_linenumber"
+_LATE = """
+    SELECT * REPLACE (
+        CASE WHEN order_id % 7 = 0 AND updated_at IS NOT NULL THEN 'late ' || status ELSE status END AS status,
+        CASE WHEN order_id % 7 = 0 THEN updated_at + INTERVAL 1 SECOND ELSE updated_at END AS updated_at)
+    FROM fact_loaded"""
 _MERGE_COUNTS = """
     SELECT (SELECT count(*) FROM {target}) AS before_count, {incoming} AS incoming_count,
            {updates} AS update_count, {inserts} AS insert_count,
@@ -585,6 +590,17 @@ STATEMENTS: dict[str, str] = {
     "gold_fact_table": "SELECT * FROM fact_loaded",
     "gold_fact_after_retry": "SELECT * FROM fact_loaded",
     "gold_fact_changed_only": "SELECT * FROM fact_changed_only",
+    "gold_fact_late_update": _LATE,
+    "gold_fact_late_update_unranged": _LATE,
+    "gold_fact_with_orphans": "SELECT * FROM fact_loaded",
+    "gold_checks_incremental": _checks(
+        *(("unique", t, c, _built_failures("unique", t, c)) for t, c in UNIQUE_COLUMNS),
+        *(("not_null", t, c, _built_failures("not_null", t, c)) for t, c in NOT_NULL_COLUMNS),
+        *(
+            ("relationships", "fact_sales", c, _lost("fact_loaded", c, built, key))
+            for c, _, built, key in RELATED_COLUMNS
+        ),
+    ),
     "gold_build_checks": _checks(
         *(("unique", t, c, _built_failures("unique", t, c)) for t, c in UNIQUE_COLUMNS),
         *(("not_null", t, c, _built_failures("not_null", t, c)) for t, c in NOT_NULL_COLUMNS),

@@ -637,15 +637,16 @@ def fact_sales_lookback(r: Roles) -> DataFrame:
 
 
 def _built_gold(
-    r: Roles, lakehouse: Lakehouse | None = None, **options
+    r: Roles, lakehouse: Lakehouse | None = None, orders: DataFrame | None = None, **options
 ) -> tuple[Lakehouse, DataFrame]:
-    """Silver loaded in two daily batches, gold built after each."""
+    """Silver loaded in two daily batches, gold built after each. orders: other ones for the second day."""
     lakehouse = lakehouse or new_lakehouse(r, "orders", "order_items", "fact_sales")
     for name in ("customers", "products", "supplier_price_list"):
         load_silver(SILVER[name], silver_target(lakehouse, SILVER[name]), r.silver(name))
     on_time = r.order_items.where(F.col("created_at") < F.lit(CUTOFF).cast("timestamp_ntz"))
-    for orders, items in ((r.orders_before, on_time), (r.orders, r.order_items)):
-        for name, bronze in (("orders", orders), ("order_items", items)):
+    second = r.orders if orders is None else orders
+    for placed, items in ((r.orders_before, on_time), (second, r.order_items)):
+        for name, bronze in (("orders", placed), ("order_items", items)):
             load_silver(SILVER[name], silver_target(lakehouse, SILVER[name]), r.silver(name, bronze))
         results = build_gold(r.spark, lakehouse, check=False, **options)
     return lakehouse, results
@@ -660,6 +661,51 @@ def gold_fact_table(r: Roles) -> DataFrame:
     return _fact_of(r, _built_gold(r)[0])
 
 
+def _late_update(r: Roles, lakehouse: Lakehouse) -> None:
+    """Orders that change a second after their last change, far below the fact's mark."""
+    late = r.orders.where((F.col("order_id") % 7 == 0) & F.col("updated_at").isNotNull())
+    late = late.withColumns(
+        {"status": F.concat(F.lit("late "), "status"), "updated_at": F.col("updated_at") + F.expr("interval 1 second")}
+    )
+    load_silver(SILVER["orders"], _orders_table(lakehouse), r.silver("orders", late))
+
+
+@query
+def gold_fact_late_update(r: Roles) -> DataFrame:
+    lakehouse, _ = _built_gold(r)
+    _late_update(r, lakehouse)
+    build_gold(r.spark, lakehouse, check=False)
+    return _fact_of(r, lakehouse)
+
+
+@query
+def gold_fact_late_update_unranged(r: Roles) -> DataFrame:
+    """The same on tables without ranges, where the whole fact is compared."""
+    lakehouse, _ = _built_gold(r, new_lakehouse(r))
+    _late_update(r, lakehouse)
+    build_gold(r.spark, lakehouse, check=False)
+    return _fact_of(r, lakehouse)
+
+
+@query
+def gold_fact_with_orphans(r: Roles) -> DataFrame:
+    """A tenth of the orders arrives only before the last of three builds; until then their items have none."""
+    lakehouse = new_lakehouse(r, "orders", "order_items", "fact_sales")
+    held = r.orders.where(F.col("order_id") % 10 != 3)
+    _built_gold(r, lakehouse, orders=held)
+    load_silver(SILVER["orders"], _orders_table(lakehouse), r.silver("orders"))
+    build_gold(r.spark, lakehouse, check=False)
+    return _fact_of(r, lakehouse)
+
+
+@query
+def gold_checks_incremental(r: Roles) -> DataFrame:
+    """The checks of the third build, which takes most of them from what the two before left."""
+    lakehouse, _ = _built_gold(r)
+    _late_update(r, lakehouse)
+    return build_gold(r.spark, lakehouse, check=False)
+
+
 @query
 def gold_fact_changed_only(r: Roles) -> DataFrame:
     """Without the items that came after their order was loaded."""

@@ -1,0 +1,66 @@
+"""Checks kept per range against the same checks over the whole table, through changes of the table and of its parents."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeloom.operators.quality import Condition, NotNull, Relationship, Unique, run_checks
+from lakeloom.operators.range_checks import CHECK_STATE, PARENT_STATE, RangeChecks, clusters
+from lakeloom.session import materialise
+
+CHECKS = (
+    Unique("t", "key"), NotNull("t", "key"), NotNull("t", "a"), Condition("t", "a", "a < 8"),
+    Relationship("t", "a", "p", "a"), Relationship("t", "b", "q", "b"), Unique("p", "a"),
+)
+
+
+@pytest.mark.parametrize("spread", [1, 40])
+def test_the_same_as_all_at_once(spark, rows, spread):
+    """spread: how far the keys of a range reach into those of others."""
+    rng = random.Random(spread)
+    checks, reads = RangeChecks("t", CHECKS), []
+
+    def new(number):
+        key = lambda: None if rng.random() < 0.1 else 20 * number + rng.randrange(20 * spread)
+        value = lambda k: None if rng.random() < 0.1 else rng.randrange(k)
+        return [(number, key(), value(10), str(value(6))) for _ in range(12)]
+
+    data = {n: new(n) for n in range(8)}
+    parents = {"p": set(range(9)), "q": set("012345")}
+    state, known = spark.createDataFrame([], CHECK_STATE), spark.createDataFrame([], PARENT_STATE)
+    changed = list(data)
+    for step in range(5):
+        table = spark.createDataFrame([r for part in data.values() for r in part], "number long, key long, a int, b string")
+        frames = {
+            "t": table, "p": spark.createDataFrame([(v,) for v in sorted(parents["p"])], "a int"),
+            "q": spark.createDataFrame([(v,) for v in sorted(parents["q"])], "b string"),
+        }
+
+        def read(ranges):
+            reads.append(ranges)
+            return table if ranges is None else table.where(F.col("number").isin(list(ranges)))
+
+        held = materialise(checks.parents(frames), "held")
+        state = materialise(checks.advanced(state, known, held, read, changed), "state")
+        want = run_checks(frames, [c for c in CHECKS if c.table == "t"])
+        assert rows(checks.results(state, held)) == rows(want)
+        known, reads_before = held, list(reads)
+        reads.clear()
+        if step and spread == 1:  # only the changed ranges, but for values a parent lost
+            assert {n for r in reads_before if r is not None for n in r} <= set(changed)
+            assert (None in reads_before) == (step == 3)
+        changed = rng.sample(range(9), 2) if step != 2 else []
+        for n in changed:
+            data[n] = new(n)
+        if step == 1:
+            data.pop(changed[0], None)  # a range without rows
+        if step == 2:
+            parents["p"] -= {3, 4}
+            parents["q"] |= {"None"}
+
+
+@pytest.mark.parametrize("changed, found", [({1}, {1}), ({2}, {2, 3, 4}), ({4}, {2, 3, 4}), (set(), set()), ({1, 9}, {1, 9})])
+def test_clusters(changed, found):
+    spans = {1: (0, 4), 2: (5, 9), 3: (9, 12), 4: (11, 11), 5: (13, 20), 9: (30, 30)}
+    assert clusters(spans, changed) == found
