@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakeloom.llm.rows import batches, documents, fresh, materialise
+from lakeloom.llm.rows import batches, documents, materialise, without_losers
 from lakeloom.operators.spread import spread_join
 
 #: Each run of white space that isn't just one space.
@@ -156,9 +156,5 @@ def exact_duplicates(docs: DataFrame, id_bits: int = 64) -> DataFrame:
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay."""
-    digest, one = fresh(docs, "__digest"), fresh(docs, "__id")
-    stay = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias(one), F.col("text_sha256").alias(digest))
-    marked = docs.withColumn(digest, F.sha2(normalised(F.col("text").cast("string")), 256))
-    same = marked["doc_id"].cast("long").eqNullSafe(stay[one]) & (marked[digest] == stay[digest])
-    # repeated rows of one doc_id and text both find the one that stays
-    return marked.join(stay, same, "left_semi").dropDuplicates(["doc_id", digest]).drop(digest)
+    decided = exact_duplicates(docs).select("doc_id", F.col("text_sha256").alias("digest"), "kept")
+    return without_losers(docs, F.sha2(normalised(F.col("text").cast("string")), 256), decided)

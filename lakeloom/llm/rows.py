@@ -18,7 +18,7 @@ from lakeloom.session import materialise, tune, workspace
 
 __all__ = [
     "batches", "documents", "fresh", "materialise", "numbered", "ordered_buckets", "per_bucket", "ship", "table", "tasks", "tune",
-    "word_blocks", "workspace",
+    "without_losers", "word_blocks", "workspace",
 ]
 
 
@@ -108,6 +108,27 @@ def numbered(df: DataFrame, order: Sequence[Column], out: str, by: Sequence[str]
     return numbered_rows.select(*(F.col(f"l.{c}") for c in df.columns), (F.col(f"l.{at}") + F.col("r.__offset")).alias(out))
 
 
+def without_losers(docs: DataFrame, digest: Column, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay; decided: doc_id, digest and kept of every row.
+
+    Whole rows meet only the list of those that go, so texts are shuffled once at most, and not at all where the list is
+    small. Of rows with one doc_id and text, of which one is kept, one stays: only rows on a list of such repeats are compared.
+    """
+    one, key = fresh(docs, "__id"), fresh(docs, "__key")
+    keys = decided.groupBy(F.col("doc_id").alias(one), F.col("digest").alias(f"{key}_")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")
+    )
+    gone = materialise(keys.filter("n > 1 OR NOT kept"), "losers")
+    keyed = docs.withColumn(key, digest)
+    same = keyed["doc_id"].cast("long").eqNullSafe(F.col(one)) & (F.col(key) == F.col(f"{key}_"))
+    left = keyed.join(gone.drop("n", "kept"), same, "left_anti").drop(key)
+    repeats = gone.filter("kept").drop("n", "kept")
+    if repeats.isEmpty():
+        return left
+    again = keyed.join(repeats, same, "left_semi").dropDuplicates(["doc_id", key]).drop(key)
+    return left.unionByName(again)
+
+
 def ordered_buckets(df: DataFrame, key: str, count: int, out: str) -> tuple[DataFrame, int]:
     """Number the rows' buckets so that a lower number means lower keys; equal keys share one. Also how many there may be.
 

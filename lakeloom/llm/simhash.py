@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.components import components
-from lakeloom.llm.rows import batches, documents, fresh, materialise
+from lakeloom.llm.rows import batches, documents, materialise, without_losers
 from lakeloom.operators.spread import spread_join
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -147,11 +147,11 @@ def drop_near_duplicates(docs: DataFrame, distance: int = 4, width: int = 4) ->
 
     The one with the component's smallest doc_id stays; if rows share it, one of them.
     """
-    one, key = fresh(docs, "__id"), fresh(docs, "__key")
-    found = near_duplicates(docs, distance, width, with_key=True)
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")  # null doc_ids come last
-    stay = found.groupBy("component_key").agg(F.min(first).alias("first"))
-    stay = stay.select(F.col("first.doc_id").alias(one), F.col("first.text_key").alias(key + "_"))
-    keyed = docs.withColumn(key, _text_key(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    same = keyed["doc_id"].cast("long").eqNullSafe(stay[one]) & (keyed[key] == stay[key + "_"])
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", key]).drop(key)
+    found = near_duplicates(docs, distance, width, with_key=True).select("doc_id", "text_key", "component_key")
+    mine = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")  # null doc_ids come last
+    found = materialise(found.withColumn("mine", mine), "near-groups")
+    first = found.groupBy("component_key").agg(F.min("mine").alias("first"))
+    decided = spread_join(found, first, ["component_key"], "inner").select(
+        "doc_id", F.col("text_key").alias("digest"), F.col("mine").eqNullSafe(F.col("first")).alias("kept")
+    )
+    return without_losers(docs, _text_key(F.coalesce(F.col("text").cast("string"), F.lit(""))), decided)
