@@ -20,34 +20,52 @@ from lakeloom.llm.simhash import drop_near_duplicates
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text or no letter) go; every other one stays."""
+    """Documents without a language (no text or no letter) go; every other one stays, and gets the predicted
+    language where it has none.
+
+    Null and empty texts go. A label that is there stays as it is; a column lang of text is filled where it is null, and
+    stays null where there was no label to learn. Repeated rows are treated alike; other columns pass, whatever their names.
+    """
     tune(ship(spark))
     found = fresh(docs, "__language")
     # a text with a letter stays also where there was no label to learn, or where one is called as the unknown language is
     kept = (F.col(found) != UNKNOWN) | lettered(F.col("text"))
-    return classify(docs, learn(docs), found).filter(kept).drop(found)
+    held = classify(docs, learn(docs), found).filter(kept)
+    if dict(docs.dtypes).get("lang") == "string":
+        known = F.when(F.col(found) != UNKNOWN, F.col(found))
+        held = held.withColumn("lang", F.coalesce("lang", known))
+    return held.select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest doc_id stays."""
+    """Of equal texts the document with the smallest doc_id stays; a null doc_id is the largest, a null text empty.
+
+    Of repeated rows one stays. Other columns pass as they are.
+    """
     tune(ship(spark))
     return drop_duplicates(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their fingerprints the one with the smallest doc_id stays."""
+    """Of documents linked by their fingerprints the one with the smallest doc_id stays; null ones come last.
+
+    Null and empty texts share a fingerprint, so one of them stays. Of repeated rows one stays. Other columns pass.
+    """
     tune(ship(spark))
     return drop_near_duplicates(docs)
 
 
-def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; secrets in its text are masked."""
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """Every document stays; secrets in its text are masked. A null text stays null; other columns pass, n_chars follows.
+
+    ledger: folder of the ledger of earlier runs, whose texts are not scanned again; by default a new one.
+    """
     tune(ship(spark))
-    return redact(docs, workspace(spark, "secret-ledger"))
+    return redact(docs, ledger or workspace(spark, "secret-ledger"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, with their places in sequences of 2048 tokens."""
+    """The pieces of all documents, with their places in sequences of 2048 tokens; a null or empty text is its end id alone."""
     tune(ship(spark))
     return pack(docs, vocabulary("word_bpe_49k.json"), end_id=1, size=2048)
 
