@@ -56,6 +56,19 @@ def test_ledger_scans_only_what_it_does_not_know(spark, hard):
     assert scanned("other") == 2 and {r.doc_id for r in rows if r.spans} == {4}
 
 
+def test_query_scans_a_second_time_only_what_is_new(spark, monkeypatch):
+    from lakeloom.llm import queries
+
+    path, small = workspace(spark, "ledger"), "/root/testdata/sf0.001"
+    monkeypatch.setattr(queries, "workspace", lambda *_: path)
+    rows = queries.op6_secrets(spark, small).count()
+    texts = spark.read.parquet(f"{small}/documents.parquet")
+    blobs = secret_ledger.read_ledger(spark, path, secret_ledger.RULES_VERSION).filter("kind = -1")
+    runs = spark.read.parquet(path).filter("kind = -1").groupBy("run").count().collect()
+    assert rows == texts.count() and len(runs) == 2
+    assert blobs.count() == blobs.select("blob").distinct().count() == texts.select("text").distinct().count()
+
+
 def test_main_path_has_no_python(spark, docs):
     plan = secret_ledger.find_secrets(docs, workspace(spark, "ledger"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

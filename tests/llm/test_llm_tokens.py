@@ -171,3 +171,10 @@ def test_best_fit_takes_the_tightest_room(lengths, size):
             rooms.append(size - n)
     sequences, offsets = packing.best_fit(lengths, size)
     assert [size - o for o in offsets] == want and len(set(sequences)) == len(rooms)
+
+
+def test_short_documents_leave_hardly_any_padding(spark):
+    rows = [(i, " ".join(f"w{(i * k) % 97}" for k in range(1, 4 + i % 3))) for i in range(20_000)]
+    pieces = packing.pack(frame(spark, rows), WORDS, 1).select("sequence_id", "length").collect()
+    sequences = len({r.sequence_id for r in pieces})
+    assert sequences <= 1.01 * -(-sum(r.length for r in pieces) // 2048)
