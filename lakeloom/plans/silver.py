@@ -64,6 +64,7 @@ class SilverTable:
         return self.recipe.keep_valid(dedupe(converted))
 
 
+# The columns that each table converts and requires.
 SILVER = {
     table.name: table
     for table in (
