@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +31,8 @@ class StarModel:
     measures:   fact columns that may be summed.
     attributes: fact columns that may be grouped or filtered by. Every
                 dimension column may be, and none may be summed.
+    groupings:  fact columns -> the fact's sums by them, as ``KeptSums`` keeps
+                them, fewest rows first. They must be those of this fact.
     """
 
     fact: DataFrame
@@ -38,6 +40,14 @@ class StarModel:
     links: Sequence[Link]
     measures: Sequence[str]
     attributes: Sequence[str]
+    groupings: Mapping[tuple[str, ...], DataFrame] = field(default_factory=dict)
+
+    def _source(self, columns: set[str], measures: Sequence[str]) -> DataFrame:
+        """The first grouping that has the columns and sums, else the fact."""
+        for grouping, sums in self.groupings.items():
+            if columns <= set(grouping) and set(measures) <= set(sums.columns):
+                return sums
+        return self.fact
 
     def _split(self, name: str) -> tuple[str | None, str]:
         """``dimension.column`` or a fact attribute."""
@@ -79,6 +89,7 @@ class StarModel:
                before any shuffle. Sums of sums are exact. Small dimensions are
                joined first.
 
+        A stored grouping that covers the question answers it in the fact's place.
         A fact row without a dimension row is kept, with null attributes.
         """
         where = where or {}
@@ -114,7 +125,7 @@ class StarModel:
         links.sort(key=lambda link: not link.small)
         held = {name for name in wanted if wanted[name][0] is None}
         keys = {link.fact_column for link in links}
-        rows = kept(self.fact, None).select(*sorted(held | keys), *measures)
+        rows = kept(self._source(held | keys, measures), None).select(*sorted(held | keys), *measures)
         for n, link in enumerate(links):
             if eager and (link is links[-1] or not link.small):
                 rows = summed(rows, *sorted(held | {later.fact_column for later in links[n:]}))

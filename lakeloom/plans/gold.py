@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -177,12 +177,16 @@ def fact_sales_merged(fact: DataFrame, increment: DataFrame) -> DataFrame:
     return upsert(fact, increment, ["order_item_id"])
 
 
+MEASURES = ("quantity", "item_price", "revenue")
+
+
 def sales_model(
     fact: DataFrame,
     customers: DataFrame,
     products: DataFrame,
     dates: DataFrame,
-    measures: Sequence[str] = ("quantity", "item_price", "revenue"),
+    measures: Sequence[str] = MEASURES,
+    groupings: Mapping[tuple[str, ...], DataFrame] | None = None,
 ) -> StarModel:
     """What reports may ask: sums of the fact by any attribute. Sums of ids mean
     nothing, so ids are not measures unless named."""
@@ -195,6 +199,7 @@ def sales_model(
             Link("order_date", "dim_date", "date_day", small=True),
         ),
         measures=measures,
+        groupings=groupings or {},
         attributes=("customer_id", "product_id", "order_date", "status"),
     )
 

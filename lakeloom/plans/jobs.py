@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.watermark import LOWEST_WATERMARK
+from lakeloom.operators.kept_sums import KeptSums
 from lakeloom.operators.quality import require_passed, run_checks
 from lakeloom.operators.range_checks import CHECK_STATE, PARENT_STATE, RangeChecks
+from lakeloom.operators.star import StarModel
 from lakeloom.plans import gold
 from lakeloom.plans.audit import AuditRecord, AuditSink, audited
 from lakeloom.plans.lakehouse import Lakehouse
@@ -75,6 +77,61 @@ def run_silver(
     return result
 
 
+class _FactSums:
+    """The fact's kept groupings, in tables beside it, and the state of the fact that they are sums of.
+
+    They are advanced by the difference of the ranges that a build replaces. A build
+    writes the fact, then the groupings, then that state; where one died in between,
+    the fact has other files than the state says and the next build sums it anew.
+    """
+
+    def __init__(self, spark: SparkSession, lakehouse: Lakehouse, groupings: Sequence[Sequence[str]]):
+        self.spark, self.lakehouse = spark, lakehouse
+        self.sums = KeptSums([tuple(sorted(g)) for g in groupings], gold.MEASURES)
+        self.of = lakehouse.table(lakehouse.gold, "fact_sales_summed")
+
+    def table(self, grouping: tuple[str, ...]) -> Table:
+        return self.lakehouse.table(self.lakehouse.gold, f"fact_sales_by_{'_and_'.join(grouping) or 'nothing'}")
+
+    def _now(self, fact: Table) -> Changes:
+        self.of.create_if_absent(self.spark, self.spark.createDataFrame([], STATE).schema)
+        return changes(self.spark, self.of.read(self.spark), {"fact_sales": fact})
+
+    def fit(self, fact: Table) -> bool:
+        """Whether all groupings are there and of the fact as it is."""
+        there = all(self.table(g).exists(self.spark) for g in self.sums.groupings)
+        return there and not self._now(fact).ranges
+
+    def change(self, fact: Table, rows: DataFrame, ranges: Sequence[int]) -> DataFrame:
+        """What replacing ``ranges`` by ``rows`` will do; to be asked before it is done."""
+        return materialise(self.sums.change(fact.read(self.spark, list(ranges)), rows), "sums-change")
+
+    def write(self, fact: Table, change: DataFrame | None) -> None:
+        """Advance the groupings, or sum the whole fact."""
+        if change is None:
+            made = self.sums.built(fact.read(self.spark))
+        else:
+            made = self.sums.advanced({g: self.table(g).read(self.spark) for g in self.sums.groupings}, change)
+        for grouping, df in made.items():
+            self.table(grouping).replace(df)
+        if fact.ranges:
+            self.of.replace(self._now(fact).state)
+
+    def read(self) -> dict[tuple[str, ...], DataFrame]:
+        """The groupings, those of fewest rows first; rows are counted in the file footers."""
+        made = {g: self.table(g).read(self.spark) for g in self.sums.groupings}
+        rows = {g: df.count() for g, df in made.items()}
+        return {g: made[g] for g in sorted(made, key=lambda g: (rows[g], g))}
+
+
+def gold_model(spark: SparkSession, lakehouse: Lakehouse, groupings: Sequence[Sequence[str]] = ()) -> StarModel:
+    """The stored star. groupings: those that its builds keep; queries that they cover don't read the fact."""
+    tables = gold_tables(spark, lakehouse)
+    kept = _FactSums(spark, lakehouse, groupings).read() if groupings else {}
+    dims = (tables[n] for n in ("dim_customers", "dim_products", "dim_date"))
+    return gold.sales_model(tables["fact_sales"], *dims, groupings=kept)
+
+
 def gold_tables(spark: SparkSession, lakehouse: Lakehouse) -> dict[str, DataFrame]:
     names = ("dim_customers", "dim_products", "dim_date", "fact_sales")
     return {n: lakehouse.table(lakehouse.gold, n).read(spark) for n in names}
@@ -157,6 +214,7 @@ def build_gold(
     first_day: str | None = None,
     last_day: str | None = None,
     lookback: str | None = None,
+    groupings: Sequence[Sequence[str]] = (),
 ) -> DataFrame:
     """Rebuild the dimensions, add to the fact, then check the star.
 
@@ -172,6 +230,8 @@ def build_gold(
                orders changed after the mark are looked at.
     lookback:  without ``catch_up``, how far to go back behind the mark, as ``7 days``.
     first_day, last_day: of the date dimension; by default it covers all orders.
+    groupings: fact columns by which sums of the fact are kept, for ``gold_model``. With ranges they are
+               advanced by what the build replaces; else they are summed anew.
     """
 
     def silver(name: str) -> Table:
@@ -193,6 +253,7 @@ def build_gold(
     fact = target("fact_sales", "order_item_id")
     reached = fact.properties(spark).get(FACT_MARK)
     orders, items = silver("orders").opened(spark), silver("order_items").opened(spark)
+    sums, change = _FactSums(spark, lakehouse, groupings) if groupings else None, None
     if not reached:  # there is none, or its first build did not end
         found = _first_changes(spark, lakehouse, orders, items)
         rows = materialise(gold.fact_sales(items.read(spark), orders.read(spark), *dims), "fact")
@@ -206,6 +267,8 @@ def build_gold(
         found = changes(spark, _FactState(spark, lakehouse).sources.read(spark), {"orders": orders, "order_items": items})
         of = (items.read(spark, found.ranges), orders.read(spark, found.ranges))
         rows = materialise(gold.fact_sales(*of, *dims), "increment")
+        if sums and sums.fit(fact.opened(spark)):
+            change = sums.change(fact.opened(spark), rows, found.ranges)
         fact.opened(spark).replace_ranges(rows, found.ranges)
     else:
         found = None
@@ -214,6 +277,8 @@ def build_gold(
         fact.upsert(rows, count_target=False)
     newest = rows.agg(F.max("updated_at").cast("string")).first()[0]
     fact.set_property(spark, FACT_MARK, max(filter(None, (reached, newest, LOWEST_WATERMARK))))
+    if sums:
+        sums.write(fact.opened(spark), change)
     if found:
         _FactState(spark, lakehouse).sources.replace(found.state)
 

@@ -621,6 +621,9 @@ STATEMENTS: dict[str, str] = {
         "WHERE status IN ('F', 'O') AND year IN (1997, 1998)",
     ),
     "star_all_dimensions": _star("day_name, city, category", f"{REVENUE}, {QUANTITY}, {PRICE}"),
+    "star_from_aggregate": f"""
+        SELECT category, status, {REVENUE}, {QUANTITY}
+        FROM ({_LATE}) f LEFT JOIN dim_p p ON f.product_id = p.product_id GROUP BY category, status""",
     "star_grand_total": _star("", f"{REVENUE}, {QUANTITY}"),
     "dq_unique": _checks(
         *(("unique", t, c, _twice(CHECKED_EVERY[t], c)) for t, c in UNIQUE_COLUMNS)

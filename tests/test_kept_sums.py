@@ -1,0 +1,121 @@
+from decimal import Decimal as D
+
+import pytest
+
+import fixtures as fx
+from lakeloom.operators.kept_sums import KeptSums
+from lakeloom.operators.star import Link, StarModel
+from lakeloom.plans import jobs
+from lakeloom.plans.jobs import build_gold, gold_model, load_silver, silver_target
+from lakeloom.plans.silver import SILVER
+from lakeloom.sinks.tables import Ranges
+
+SCHEMA = "k int, place string, sold int, paid decimal(10,2)"
+GROUPINGS = (("k", "place"), ("place",), ())
+KEPT = KeptSums(GROUPINGS, ("sold", "paid"))
+FACT = [(1, "a", 5, D("1.50")), (1, "a", 7, None), (2, "a", 1, D(2)), (None, None, None, None), (3, "b", -2, D(1))]
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_advanced_equals_built_anew(spark, rows):
+    old, new = FACT[1:4], [(1, "a", 8, D(4)), (4, None, None, D(3)), (3, "b", 2, D(-1))]
+    kept = KEPT.built(table(spark, FACT))
+    moved = KEPT.advanced(kept, KEPT.change(table(spark, old), table(spark, new)))
+    anew = KEPT.built(table(spark, [FACT[0], FACT[4], *new]))
+    for grouping in GROUPINGS:
+        assert rows(moved[grouping]) == rows(anew[grouping])
+        assert moved[grouping].schema == anew[grouping].schema
+    # (3, b) has rows and its sums are 0; the row without any value is gone
+    assert (3, "b", 2, 0, 2, D(0), 2) in rows(moved[("k", "place")])
+    assert all(r[0] is not None for r in rows(moved[("k", "place")]))
+
+
+def test_a_sum_without_values_is_null_and_a_change_and_back_leaves_nothing(spark, rows):
+    kept = KEPT.built(table(spark, FACT))
+    assert (None, None, 1, None, 0, None, 0) in rows(kept[("k", "place")])
+    assert KEPT.change(table(spark, FACT), table(spark, FACT[::-1])).isEmpty()
+    gone = KEPT.advanced(kept, KEPT.change(table(spark, FACT), table(spark, [])))
+    assert all(df.isEmpty() for df in gone.values())
+
+
+def test_empty_fact(spark):
+    assert all(df.isEmpty() for df in KEPT.built(table(spark, [])).values())
+
+
+def test_what_cannot_be_kept(spark):
+    with pytest.raises(ValueError, match="twice"):
+        KeptSums((("a", "b"), ("b", "a")), ("n",))
+    with pytest.raises(ValueError, match="names of sums"):
+        KeptSums((("n",),), ("n",))
+    with pytest.raises(ValueError, match="order of the rows"):
+        KeptSums((("k",),), ("x",)).built(spark.createDataFrame([(1, 0.5)], "k int, x double"))
+
+
+def test_the_model_takes_the_smallest_grouping_that_covers(spark, rows):
+    fact, places = table(spark, FACT), spark.createDataFrame([("a", "x"), ("b", "x")], "place string, land string")
+    model = StarModel(fact, {"places": places}, [Link("place", "places", "place")], ("sold", "paid"), ("k", "place"))
+    made = KEPT.built(fact)
+    small_first = {g: made[g] for g in reversed(GROUPINGS)}
+    kept = StarModel(**{**model.__dict__, "groupings": small_first})
+    for by, where, source in (
+        (["places.land"], {}, ("place",)),
+        (["k"], {"places.land": "x"}, ("k", "place")),
+        ([], {}, ()),
+        ([], {"place": ["a"]}, ("place",)),
+    ):
+        assert rows(kept.query(["sold", "paid"], by, where)) == rows(model.query(["sold", "paid"], by, where))
+        needed = {"places.land": "place"}
+        assert kept._source({needed.get(c, c) for c in (*by, *where)}, ["sold"]) is small_first[source]
+    assert kept._source({"other"}, ["sold"]) is fact
+
+
+def load(spark, lakehouse, **tables):
+    for name, df in tables.items():
+        load_silver(SILVER[name], silver_target(lakehouse, SILVER[name]), df)
+
+
+def test_builds_keep_the_sums(spark, lakehouse, rows, monkeypatch):
+    ranges = Ranges("order_id", 10)
+    lakehouse.ranges.update(
+        {f"{lakehouse.silver}.orders": ranges, f"{lakehouse.silver}.order_items": ranges, f"{lakehouse.gold}.fact_sales": ranges}
+    )
+    load(spark, lakehouse, customers=fx.customers(spark), products=fx.products(spark), supplier_price_list=fx.prices(spark),
+         orders=fx.orders(spark, *((o, 1, "Placed", fx.day(1)) for o in range(30))),
+         order_items=fx.items(spark, *((o, o, 1 + o % 2, 2, "5") for o in range(30))))
+    kept = (("product_id", "status"), ("status",))
+    whole = []
+    built = KeptSums.built
+    monkeypatch.setattr(KeptSums, "built", lambda self, fact: whole.append(1) or built(self, fact))
+
+    def same():
+        build_gold(spark, lakehouse, groupings=kept)
+        for by in (["status"], ["dim_products.category", "status"]):
+            query = gold_model(spark, lakehouse, kept).query(["revenue", "quantity"], by)
+            assert rows(query) == rows(gold_model(spark, lakehouse).query(["revenue", "quantity"], by))
+            assert "fact_sales/" not in query._jdf.queryExecution().toString()
+            assert all("/fact_sales_by_" in f or "/dim_" in f for f in query.inputFiles())
+
+    same()
+    assert len(whole) == 1
+    load(spark, lakehouse, orders=fx.orders(spark, (3, 1, "Late", fx.day(2)), (40, 1, "New", fx.day(2))),
+         order_items=fx.items(spark, (40, 40, 2, 7, "3")))
+    same()
+    assert len(whole) == 1  # advanced by the difference
+
+    class Died(Exception):
+        pass
+
+    def dies(self, fact, change):
+        raise Died
+
+    write = jobs._FactSums.write
+    monkeypatch.setattr(jobs._FactSums, "write", dies)
+    load(spark, lakehouse, orders=fx.orders(spark, (12, 1, "Late", fx.day(3))))
+    with pytest.raises(Died):
+        build_gold(spark, lakehouse, groupings=kept)
+    monkeypatch.setattr(jobs._FactSums, "write", write)
+    same()
+    assert len(whole) == 2  # the fact had moved on without them
