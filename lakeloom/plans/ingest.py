@@ -10,12 +10,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.operators.cleaning import CleaningRecipe
+from lakeloom.operators.quarantine import sort_out
 from lakeloom.plans.audit import AuditRecord, AuditSink, audited, utc_now
 from lakeloom.plans.lakehouse import Lakehouse
 from lakeloom.sinks.bronze import write_batch, write_full, write_unmarked
 from lakeloom.sources.bronze import read_batch, read_full, read_unmarked
 from lakeloom.sources.control import FULL, ControlRow, control_rows, extract, unmarked_rows
-from lakeloom.sources.delimited import CSV_COLUMNS, read_csv
+from lakeloom.sources.delimited import CSV_COLUMNS, read_csv, read_csv_lines
 
 log = logging.getLogger(__name__)
 
@@ -112,8 +114,13 @@ def land_csv(
     table: str,
     record: AuditRecord | None = None,
     sink: AuditSink | None = None,
+    quarantine: bool = False,
 ) -> int:
-    """Copy a CSV source, all columns as text, to bronze; returns its rows."""
+    """Copy a CSV source, all columns as text, to bronze; returns its rows.
+
+    quarantine: lines with more or fewer fields than columns go to the source's
+                ``rejected`` table, instead of being cut or filled up with nulls.
+    """
     record = record or AuditRecord("", "", "", orchestrator="lakeloom")
     this = replace(
         record,
@@ -123,6 +130,11 @@ def land_csv(
         load_type="FULL",
     )
     with audited(sink or lakehouse.audit_sink(spark), this) as outcome:
-        write_full(read_csv(spark, folder, file_name, CSV_COLUMNS[table]), lakehouse.bronze, table)
+        if quarantine:
+            found = sort_out(CleaningRecipe(), read_csv_lines(spark, folder, file_name, CSV_COLUMNS[table]))
+            write_full(found.clean, lakehouse.bronze, table)
+            lakehouse.rejected_table(f"{table}_lines").replace(found.rejected)
+        else:
+            write_full(read_csv(spark, folder, file_name, CSV_COLUMNS[table]), lakehouse.bronze, table)
         outcome.row_count = read_full(spark, lakehouse.bronze, table).count()
     return outcome.row_count

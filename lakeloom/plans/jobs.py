@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.watermark import LOWEST_WATERMARK
 from lakeloom.operators.kept_sums import KeptSums
 from lakeloom.operators.quality import require_passed, run_checks
+from lakeloom.operators.quarantine import sort_out
 from lakeloom.operators.range_checks import CHECK_STATE, PARENT_STATE, RangeChecks
 from lakeloom.operators.star import StarModel
 from lakeloom.plans import gold
@@ -51,9 +52,12 @@ def run_silver(
     record: AuditRecord | None = None,
     sink: AuditSink | None = None,
     strict: bool = False,
+    quarantine: bool = False,
 ) -> int | MergeCounts:
     """One silver table: read bronze, clean, load, audit.
 
+    quarantine: rows that the recipe turns away go to the table's ``rejected``
+                table, which holds those of the last run, with all reasons.
     Returns the rows written by a full refresh, else the merge counts.
     """
     table = SILVER[name]
@@ -72,7 +76,13 @@ def run_silver(
             bronze = read_batch(spark, lakehouse.bronze, name, run_date)
         else:
             bronze = read_full(spark, lakehouse.bronze, name)
-        result = load_silver(table, silver_target(lakehouse, table), table.transform(bronze, strict))
+        if quarantine and not strict:
+            found = sort_out(table.recipe, bronze)
+            lakehouse.rejected_table(name).replace(found.rejected)
+            rows = table.dedupe(found.clean)
+        else:
+            rows = table.transform(bronze, strict)
+        result = load_silver(table, silver_target(lakehouse, table), rows)
         outcome.row_count = result.changed if isinstance(result, MergeCounts) else result
     return result
 

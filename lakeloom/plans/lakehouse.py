@@ -50,6 +50,10 @@ class Lakehouse:
     def control_table(self) -> Table:
         return self.table(self.control, "control_table", ("table_name",))
 
+    def rejected_table(self, source: str) -> Table:
+        """What the last load of a source turned away: at bronze its lines, at silver its rows."""
+        return self.table(self.control, f"rejected_{source}")
+
     def audit_table(self) -> Table:
         return replace(self.table(self.control, "audit_log"), leaves=True, format="parquet")
 

@@ -52,16 +52,17 @@ class SilverTable:
         """Bronze rows to silver rows. ``strict`` raises on text that does not
         convert; ``clean_first=False`` deduplicates before validating."""
 
-        def dedupe(df: DataFrame) -> DataFrame:
-            if self.key is None:
-                return df
-            order = [self.changed_at] if self.changed_at in df.columns else []
-            return latest_per_key(df, [self.key], order)
-
         converted = self.recipe.convert(bronze, strict)
         if clean_first:
-            return dedupe(self.recipe.keep_valid(converted))
-        return self.recipe.keep_valid(dedupe(converted))
+            return self.dedupe(self.recipe.keep_valid(converted))
+        return self.recipe.keep_valid(self.dedupe(converted))
+
+    def dedupe(self, rows: DataFrame) -> DataFrame:
+        """The latest version per key, of a table that has one."""
+        if self.key is None:
+            return rows
+        order = [self.changed_at] if self.changed_at in rows.columns else []
+        return latest_per_key(rows, [self.key], order)
 
 
 # The columns that each table converts and requires.

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.operators.quarantine import RECORD, SOURCE
+
 # The columns of the sources that come as CSV files.
 CSV_COLUMNS = {
     "marketing_spend": ("spend_date", "channel", "campaign", "spend_amount", "clicks"),
@@ -16,6 +19,10 @@ CSV_COLUMNS = {
 }
 
 
+#: How the files are written.
+CSV_FORMAT = {"sep": ",", "quote": '"', "escape": "\\"}
+
+
 def read_csv(
     spark: SparkSession, folder: str, file_name: str, columns: Sequence[str]
 ) -> DataFrame:
@@ -26,6 +33,21 @@ def read_csv(
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     return (
         spark.read.schema(schema)
-        .options(header=True, sep=",", quote='"', escape="\\", enforceSchema=False)
+        .options(header=True, enforceSchema=False, **CSV_FORMAT)
+        .csv(f"{folder}/{file_name}")
+    )
+
+
+def read_csv_lines(spark: SparkSession, folder: str, file_name: str, columns: Sequence[str]) -> DataFrame:
+    """As ``read_csv``, with the file that each row is from and, of a line with more or fewer fields, the line.
+
+    ``read_csv`` fills such a line up with nulls, or cuts it.
+    """
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*columns, RECORD)])
+    read = (
+        spark.read.schema(schema)
+        .options(header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
+        .options(columnPruning=False, **CSV_FORMAT)  # a line is only known to be broken if all its fields are parsed
         .csv(f"{folder}/{file_name}")
     )
+    return read.select(*columns, RECORD, F.col("_metadata.file_path").alias(SOURCE))

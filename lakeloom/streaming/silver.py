@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -10,6 +11,8 @@ from lakeloom.plans.jobs import load_silver
 from lakeloom.plans.silver import SilverTable
 from lakeloom.sinks.tables import Table
 
+_ROW, _ARRIVED = "__row", "__arrived"
+
 
 def stream_silver(
     spark: SparkSession,
@@ -19,9 +22,18 @@ def stream_silver(
     schema: StructType,
     checkpoint: str,
     files_per_batch: int | None = None,
+    remember: str | None = None,
 ) -> StreamingQuery:
     """Start an available-now query over the bronze files not yet processed.
 
+    remember: how long the stream knows a row it has seen, as ``7 days``. A row
+              that arrives again within that time, equal in all columns, does not
+              reach the merge. The time is that of arrival, not of the event: no
+              row is ever late, so none is dropped for it, and the state holds
+              what arrived in that time. Rows that come again later meet the
+              merge, which changes nothing for them. The state is partitioned by
+              row; for a large one set the RocksDB state store.
+
     Each micro-batch is cleaned and loaded like a daily batch. A micro-batch
     that is run again after a failure changes nothing the second time, because
     the merge is idempotent; so no rows are lost or doubled.
@@ -34,6 +46,12 @@ def stream_silver(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     arrived = reader.parquet(bronze_folder).select(*schema.names)
 
+    if remember:
+        # the text of each column, which keeps microseconds where JSON of a timestamp would not
+        row = F.md5(F.to_json(F.struct(*(F.col(c).cast("string").alias(c) for c in schema.names))))
+        seen = arrived.withColumns({_ROW: row, _ARRIVED: F.current_timestamp()}).withWatermark(_ARRIVED, remember)
+        arrived = seen.dropDuplicatesWithinWatermark([_ROW]).drop(_ROW, _ARRIVED)
+
     def load(batch: DataFrame, _: int) -> None:
         load_silver(table, target, table.transform(batch), count_target=False)
 

@@ -480,6 +480,7 @@ STATEMENTS: dict[str, str] = {
     "insert_only_items": "SELECT * FROM merged_items",
     "table_insert_only_items": "SELECT * FROM merged_items",
     "stream_items_insert_only": "SELECT * FROM merged_items",
+    "stream_items_stateful": "SELECT * FROM merged_items",
     "update_candidates": """
         SELECT s.* FROM changes_s s JOIN orders_before_s t ON s.order_id = t.order_id
         WHERE s.updated_at > t.updated_at""",
@@ -545,6 +546,11 @@ STATEMENTS: dict[str, str] = {
         UNION ALL
         SELECT *, '2026-01-31' FROM b_orders WHERE order_date >= {CUT} OR order_date IS NULL""",
     "csv_to_silver_prices": "SELECT * FROM prices_s",
+    "quarantine_prices": """
+        SELECT product_id, CASE product_id % 10 WHEN 3 THEN 'replayed' WHEN 5 THEN 'line does not parse'
+                    WHEN 7 THEN 'supplier_cost is not null' ELSE 'clean' END AS outcome, count(*) AS n,
+               CAST(sum(CASE WHEN product_id % 10 NOT IN (5, 7) THEN supplier_cost END) AS DECIMAL(22,2)) AS cost
+        FROM prices_s GROUP BY ALL""",
     "dim_customers": "SELECT * FROM dim_c",
     "dim_products": "SELECT * FROM dim_p",
     "dim_products_as_of": f"""

@@ -8,12 +8,13 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions import high_water_mark, surrogate_key
 from lakeloom.functions.calendar import calendar_columns
 from lakeloom.operators import dedupe, merge, quality
+from lakeloom.operators.quarantine import REASONS, RECORD, TIMES, replay
 from lakeloom.plans import gold
 from lakeloom.plans.audit import AuditRecord
 from lakeloom.plans.ingest import advanced, ingest, land_csv
@@ -26,6 +27,7 @@ from lakeloom.sinks import write_batch, write_full, write_unmarked
 from lakeloom.sinks.tables import Ranges, Table
 from lakeloom.sources import control_rows, extract, read_batch, read_csv, read_full
 from lakeloom.sources.control import CONTROL_SEED
+from lakeloom.sources.delimited import CSV_COLUMNS, CSV_FORMAT
 from lakeloom.streaming import stream_silver
 from lakeloom.workload.roles import CUTOFF, Roles
 
@@ -503,6 +505,42 @@ def csv_to_silver_prices(r: Roles) -> DataFrame:
     return table.read(r.spark).withColumn("product_id", F.col("product_id").cast("long"))
 
 
+@query
+def quarantine_prices(r: Roles) -> DataFrame:
+    """Price lines with a field too many are mended and played again; cut lines and amounts that are no numbers stay."""
+    lakehouse, folder, name = new_lakehouse(r), workspace(r.spark, "csv"), "supplier_price_list"
+    columns, kind = CSV_COLUMNS[name], F.col("product_id") % 10
+    cost = F.when(kind == 7, "n/a").otherwise(F.col("supplier_cost"))
+    line = F.to_csv(F.struct(*columns), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    line = F.when(kind == 3, F.concat(line, F.lit(",surplus"))).when(kind == 5, F.substring_index(line, ",", 2)).otherwise(line)
+    lines = r.supplier_price_list.withColumn("supplier_cost", cost).select(line.alias(",".join(columns)))
+    exact = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escapeQuotes": False}
+    lines.write.options(header=True, sep="\u0001", quote="", **exact).csv(f"{folder}/prices")
+
+    land_csv(r.spark, lakehouse, folder, "prices", name, quarantine=True)
+    run_silver(r.spark, lakehouse, name, quarantine=True)
+    broken = lakehouse.rejected_table(f"{name}_lines").read(r.spark)
+    mended = broken.withColumn(RECORD, F.regexp_replace(RECORD, ",surplus$", ""))
+    again = replay(SILVER[name].recipe, mended, CSV_FORMAT)
+
+    def outcome(rows: DataFrame, what: str | Column) -> DataFrame:
+        what = F.lit(what) if isinstance(what, str) else what
+        times = F.col(TIMES) if TIMES in rows.columns else F.lit(1)
+        paid = F.col("supplier_cost").try_cast("decimal(12,2)")
+        return rows.select(F.col("product_id").cast("long"), what.alias("outcome"), times.alias("n"), paid.alias("cost"))
+
+    each = all_of(
+        [
+            outcome(silver_target(lakehouse, SILVER[name]).read(r.spark), "clean"),
+            outcome(again.clean, "replayed"),
+            *(outcome(df, F.array_join(REASONS, "; ")) for df in (again.rejected, lakehouse.rejected_table(name).read(r.spark))),
+        ]
+    )
+    return each.groupBy("product_id", "outcome").agg(
+        F.sum("n").cast("long").alias("n"), F.sum("cost").cast("decimal(22,2)").alias("cost")
+    )
+
+
 @query
 def audit_summary(r: Roles) -> DataFrame:
     """The audit log of three good runs and a failing one."""
@@ -896,7 +934,7 @@ def orphan_rows(r: Roles) -> DataFrame:
 
 
 # -- streaming ---------------------------------------------------------------
-def _streamed(r: Roles, name: str, batches: list[DataFrame], *partitioned: str) -> DataFrame:
+def _streamed(r: Roles, name: str, batches: list[DataFrame], *partitioned: str, **options) -> DataFrame:
     """Each batch arrives in its own folder and is streamed before the next."""
     lakehouse = new_lakehouse(r, *partitioned)
     table, target = SILVER[name], silver_target(lakehouse, SILVER[name])
@@ -904,7 +942,7 @@ def _streamed(r: Roles, name: str, batches: list[DataFrame], *partitioned: str)
     for day, batch in enumerate(batches, 1):
         write_batch(batch, lakehouse.bronze, name, f"2026-01-{day:02d}")
         stream_silver(
-            r.spark, table, target, f"{lakehouse.bronze}/{name}", batch.schema, checkpoint
+            r.spark, table, target, f"{lakehouse.bronze}/{name}", batch.schema, checkpoint, **options
         ).awaitTermination()
     return target.read(r.spark)
 
@@ -917,3 +955,11 @@ def stream_orders_upsert(r: Roles) -> DataFrame:
 @query
 def stream_items_insert_only(r: Roles) -> DataFrame:
     return _streamed(r, "order_items", _item_batches(r), "order_items")
+
+
+@query
+def stream_items_stateful(r: Roles) -> DataFrame:
+    """Items that come twice in a batch and again in later ones; the stream's state stops them before the merge."""
+    first, second = _item_batches(r)
+    batches = [first.unionByName(first), second.unionByName(first), second]
+    return _streamed(r, "order_items", batches, "order_items", remember="7 days")

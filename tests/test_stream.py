@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import fixtures as fx
 from lakeloom.plans.jobs import silver_target
@@ -35,3 +36,26 @@ def test_each_file_is_merged_once(spark, lakehouse, rows):
 def test_full_refresh_tables_do_not_stream(spark, lakehouse):
     with pytest.raises(ValueError):
         run(spark, lakehouse, "customers", fx.customers(spark).schema)
+
+
+def test_replays_do_not_reach_the_merge(spark, lakehouse, rows, monkeypatch):
+    from lakeloom.streaming import silver
+
+    reached = []
+
+    def load(table, target, batch, **options):
+        reached.append(batch.count())
+        return load_silver(table, target, batch, **options)
+
+    load_silver = silver.load_silver
+    monkeypatch.setattr(silver, "load_silver", load)
+    first = fx.items(spark, (1, 1, 1, 1, "5"), (2, 1, 1, 0, "5"), (3, 1, None, 2, "5"))
+    second = fx.items(spark, (2, 1, 1, 2, "5"), (4, 1, 1, 1, "5"))
+    # the same item with one microsecond between is another row
+    close = second.where("order_item_id = 4").withColumn("created_at", F.expr("created_at + interval 1 microsecond"))
+    days = [first.unionByName(first), first.unionByName(second), second.unionByName(first), close]
+    for n, batch in enumerate(days, 1):  # each is a restart from the checkpoint
+        write_batch(batch, lakehouse.bronze, "order_items", f"2025-01-0{n}")
+        table = run(spark, lakehouse, "order_items", first.schema, remember="7 days")
+    assert [n for n in reached if n] == [1, 2, 1]
+    assert rows(table.select("order_item_id", "quantity")) == [(1, 1), (2, 2), (4, 1)]
