@@ -15,7 +15,8 @@ out of the arrays; a probe finds that its fingerprint isn't there.
 
 A shard that holds the lines of very many documents is copied in proportion,
 and its probes are dealt over the copies, so one line in every document does not
-make one task long. A null or empty text is one empty line, which is never
+make one task long, and no worker is given more than about ``shard_probes`` at
+once, however few lines all documents are made of. A null or empty text is one empty line, which is never
 dropped by ``min_chars`` of 1 or more. Repeated rows count as documents of their
 own. An empty table gives an empty result; other columns are ignored.
 """
@@ -39,6 +40,8 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Lines of a shard, about: the bound on what a task builds or holds of the index.
 SHARD_LINES = 250_000
+#: Probes that one copy of a shard answers at once, about; more of them make more copies.
+SHARD_PROBES = 1_000_000
 
 
 def line_key(line: bytes, min_chars: int = 1) -> int | None:
@@ -143,8 +146,45 @@ def probe(shard: pd.Series, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
 _SHARD = "shard int, marks binary, sizes binary, prints binary, counts binary, beside binary"
 
 
-def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, shard_lines: int = SHARD_LINES) -> DataFrame:
-    """doc_id, n_lines (before dropping), n_dropped and the kept text of every document."""
+def copies_of(probes: DataFrame, shards: int, most: int) -> dict[int, int]:
+    """shard -> into how many copies it goes, so that none has more probes than ``most``, or twice those of a shard on average.
+
+    probes: shard and n. Only shards with several copies are listed, of which there are fewer than shards.
+    """
+    mean = (probes.agg(F.sum("n")).first()[0] or 0) / shards
+    bound = max(1, min(most, int(2 * mean)))
+    return {r.shard: -(-r.n // bound) for r in probes.filter(F.col("n") > bound).collect()}
+
+
+def asked_lines(texts: DataFrame, shards: int, copies: dict[int, int], min_chars: int) -> DataFrame:
+    """The distinct lines of each text (key, text) as probes: shard, copy, key and hash. Equal rows ask once a batch."""
+
+    def ask(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(frames):
+            keys, of = [], []
+            for key, text in dict.fromkeys(zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True)):
+                held = {line_key(x, min_chars) for x in text.encode().split(b"\n")} - {None}
+                keys += held
+                of += [key] * len(held)
+            h1, h2 = _halves(keys)
+            number = (h1.to_numpy() >> 20) % shards
+            n = np.array([copies.get(s, 1) for s in number.tolist()], np.int64)
+            key = np.array(of, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number.astype(np.int32)), pa.array((key % n).astype(np.int32)), pa.array(key), h1, h2],
+                ["shard", "copy", "key", "h1", "h2"],
+            )
+
+    return texts.select("key", "text").mapInArrow(ask, "shard int, copy int, key long, h1 long, h2 long")
+
+
+def drop_common_lines(
+    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, shard_lines: int = SHARD_LINES, shard_probes: int = SHARD_PROBES
+) -> DataFrame:
+    """doc_id, n_lines (before dropping), n_dropped and the kept text of every document.
+
+    shard_probes: about how many probes meet one copy of a shard in one worker, however many documents share a line.
+    """
     # drops hold for all documents alike, so that two documents of one key share a list does no harm
     texts = documents(docs).withColumn("key", F.xxhash64("doc_id", "text"))
 
@@ -161,37 +201,18 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, s
     lines = materialise(lines, "lines")
     shards = max(4 * tasks(docs), -(-lines.count() // shard_lines))
     shard = F.pmod(F.shiftright("h1", 20), F.lit(shards)).cast("int")
-    # copies of a shard so that none has more than twice the probes of a shard on average: fewer rows than shards
     probes = lines.groupBy(shard.alias("shard")).agg(F.sum("n").alias("n"))
-    mean = (probes.agg(F.sum("n")).first()[0] or 0) / shards
-    most = max(1.0, 2 * mean)
-    copies = {r.shard: -(-r.n // int(most)) for r in probes.filter(F.col("n") > 2 * most).collect()}
+    copies = copies_of(probes, shards, shard_probes)
     index = lines.filter(F.col("n") >= min(2, min_docs)).withColumn("shard", shard).groupBy("shard").applyInPandas(build_shard, _SHARD)
     index = materialise(index, "line-index")
 
-    def ask(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(frames):
-            keys, of = [], []
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                held = {line_key(x, min_chars) for x in text.encode().split(b"\n")} - {None}
-                keys += held
-                of += [key] * len(held)
-            h1, h2 = _halves(keys)
-            number = (h1.to_numpy() >> 20) % shards
-            n = np.array([copies.get(s, 1) for s in number.tolist()], np.int64)
-            key = np.array(of, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(number.astype(np.int32)), pa.array((key % n).astype(np.int32)), pa.array(key), h1, h2],
-                ["shard", "copy", "key", "h1", "h2"],
-            )
-
     def answer(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or held.empty:
             return asked[["key", "h1", "h2"]].head(0)
         n = probe(held.iloc[0], asked["h1"].to_numpy(np.int64), asked["h2"].to_numpy(np.int64))
         return asked.loc[n >= min_docs, ["key", "h1", "h2"]]
 
-    asked = texts.select("key", "text").mapInArrow(ask, "shard int, copy int, key long, h1 long, h2 long")
+    asked = asked_lines(texts, shards, copies, min_chars)
     times = docs.sparkSession.createDataFrame(list(copies.items()), "shard int, times int")
     copied = index.join(times, "shard", "left").withColumn(
         "copy", F.explode(F.sequence(F.lit(0), F.coalesce("times", F.lit(1)) - 1))
