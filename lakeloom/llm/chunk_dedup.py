@@ -103,29 +103,40 @@ def _recipes(texts: DataFrame, id_bits: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, digest binary, recipe array<long>")
 
 
-def _told_apart(recipes: DataFrame, texts: DataFrame, shared: DataFrame, id_bits: int) -> DataFrame:
-    """Add to each recipe the numbers of its chunks among different chunks of one hash, by place."""
-    number = W.partitionBy("id").orderBy("chunk")  # a hash of 64 bits is shared by a handful of chunks at most
-    numbered = shared.withColumn("number", F.row_number().over(number))
+def doubtful_chunks(recipes: DataFrame, texts: DataFrame, doubtful: DataFrame, id_bits: int) -> DataFrame:
+    """digest, place, id and chunk of the chunks whose hash different chunks share; other texts and chunks are not read again.
+
+    Which documents hold one is known from their recipes. Their texts, each different one once, are found by digest: a list
+    of few goes to the texts, a long one is met by a shuffle of them.
+    """
+    placed = recipes.select("digest", F.explode(F.array_distinct("recipe")).alias("id"))
+    held = spread_join(placed, doubtful, ["id"], "left_semi").groupBy("digest").agg(F.collect_set("id").alias("ids"))
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(frames, 200):
             rows: list[tuple] = []
-            for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for digest, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("digest", "text", "ids")), strict=True):
                 ids, chunks = identifiers(text.encode(), id_bits)
-                rows += [(row, i, h, c) for i, (h, c) in enumerate(zip(ids, chunks, strict=True))]
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                asked = set(wanted)
+                rows += [(digest, i, h, c) for i, (h, c) in enumerate(zip(ids, chunks, strict=True)) if h in asked]
+            kinds = (pa.binary(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["row", "place", "id", "chunk"]
+                [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["digest", "place", "id", "chunk"]
             )
 
-    text_key = texts.select(F.sha2("text", 256).alias("row_key"), "text").dropDuplicates(["row_key"])
-    keyed = text_key.withColumn("row", F.xxhash64("row_key", F.lit(id_bits)))
-    chunks = keyed.select("row", "text").mapInArrow(run, "row long, place int, id long, chunk binary")
+    keyed = texts.select(F.unhex(F.sha2("text", 256)).alias("digest"), "text")
+    found = keyed.join(held, "digest").dropDuplicates(["digest"])
+    return found.mapInArrow(run, "digest binary, place int, id long, chunk binary")
+
+
+def _told_apart(recipes: DataFrame, texts: DataFrame, shared: DataFrame, doubtful: DataFrame, id_bits: int) -> DataFrame:
+    """Add to each recipe the numbers of its chunks among different chunks of one hash, by place."""
+    number = W.partitionBy("id").orderBy("chunk")  # a hash of 64 bits is shared by a handful of chunks at most
+    numbered = shared.withColumn("number", F.row_number().over(number))
+    chunks = doubtful_chunks(recipes, texts, doubtful, id_bits)
     found = spread_join(chunks, numbered, ["id", "chunk"], "inner")
-    lists = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "number"))).alias("apart"))
-    rows = recipes.withColumn("row", F.xxhash64(F.lower(F.hex("digest")), F.lit(id_bits)))
-    return spread_join(rows, lists, ["row"], "left").drop("row")
+    lists = found.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("place", "number"))).alias("apart"))
+    return spread_join(recipes, lists, ["digest"], "left")
 
 
 def exact_duplicates(docs: DataFrame, id_bits: int = 64) -> DataFrame:
@@ -140,7 +151,7 @@ def exact_duplicates(docs: DataFrame, id_bits: int = 64) -> DataFrame:
     key = ["recipe"]
     if not doubtful.isEmpty():
         shared = materialise(chunks.join(doubtful, "id", "left_semi"), "shared-chunks")
-        recipes, key = _told_apart(recipes, texts, shared, id_bits), ["recipe", "apart"]
+        recipes, key = _told_apart(recipes, texts, shared, doubtful, id_bits), ["recipe", "apart"]
         recipes = recipes.withColumn("apart", F.coalesce("apart", F.array().cast("array<struct<place:int,number:int>>")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_number")).alias("first")
     groups = recipes.groupBy(*key).agg(first, F.count("*").alias("size")).filter("size > 1")

@@ -194,3 +194,37 @@ def test_hot_groups(spark, hard):
     got = simhash.near_duplicates(docs).filter(F.col("doc_id") < 800)
     of = brute_components({brute_print(t) for _, t in rows}, 4)
     assert got.select("component_id").distinct().count() == len({of[brute_print(t)] for i, t in rows if i < 800})
+
+
+def test_probe_groups_are_bounded_however_few_lines_there_are(spark, hard):
+    """20,000 documents of three out of 50 lines, a third of them without an id and equal."""
+    rng, bound = random.Random(3), 1000
+    texts = ["\n".join(f"line {rng.randrange(50)}" for _ in range(3)) for _ in range(13_000)]
+    rows = [*enumerate(texts), *[(None, "line 1\nline 2\nonce")] * 7_000]
+    many = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = line_dedup.drop_common_lines(many, 10, shard_probes=bound).groupBy("text", "n_dropped").count().collect()
+    assert [tuple(r) for r in got] == [("", 3, 20_000)]  # "once" is in 7,000 documents
+    keyed = many.withColumn("key", F.xxhash64("doc_id", "text"))
+    sizes = spark.createDataFrame([(s, 40_000) for s in range(4)], "shard int, n long")
+    copies = line_dedup.copies_of(sizes, 4, bound)
+    assert copies == dict.fromkeys(range(4), 40)
+    groups = line_dedup.asked_lines(keyed, 4, copies, 1).groupBy("shard", "copy").count()
+    assert groups.agg(F.max("count")).first()[0] < 2 * bound
+
+
+def test_only_doubtful_chunks_are_read_again(spark, hard):
+    """Two chunks of one hash, in three of 203 documents; the others' texts and chunks are not exploded."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh \n") for _ in range(6000)) for _ in range(203)]
+    docs = spark.createDataFrame([*enumerate(texts), (900, texts[0])], "doc_id long, text string")
+    bits = 40
+    recipes = chunk_dedup._recipes(docs, bits)
+    some = sorted({chunk_dedup.identifiers(texts[i].encode(), bits)[0][1] for i in (0, 7, 9)})
+    doubtful = spark.createDataFrame([(i,) for i in some], "id long")
+    got = chunk_dedup.doubtful_chunks(recipes, docs, doubtful, bits).collect()
+    want = {
+        (hashlib.sha256(t.encode()).digest(), place, i, c)
+        for t in texts for place, (i, c) in enumerate(zip(*chunk_dedup.identifiers(t.encode(), bits))) if i in some
+    }
+    assert {(bytes(r.digest), r.place, r.id, bytes(r.chunk)) for r in got} == want
+    assert len(got) == len(want) == 3
