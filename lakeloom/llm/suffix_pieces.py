@@ -17,6 +17,11 @@ is, so what happens inside a stretch that no merge crosses doesn't depend on the
 rest. A sequence of pieces is the encoding exactly if each neighbouring pair is
 its own encoding, and an encoding's beginning is the encoding of a beginning.
 
+A stretch may be as long as its text. What is indexed at once is bounded all the
+same: a window of characters is indexed with as many before it as the longest
+piece has, and the walk goes on from the places relaxed in the window before. Of
+a place behind the window only its last piece is kept, in four bytes.
+
 Characters without a piece become the pieces of their UTF-8 bytes. Decoding joins
 pieces and bytes and drops the mark in front; a space mark in a text comes back
 as a space, as the library has it. A null or empty text has no ids and decodes to
@@ -28,7 +33,8 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -42,6 +48,7 @@ from lakeloom.llm.token_counts import MARK, proved
 
 _BETWEEN = "\ud800"  # between texts and stretches: half a surrogate pair, which no text holds
 _LAST = "\U0010ffff"
+_EDGES = 50_000  # taken from numpy to Python at once
 
 
 def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -88,13 +95,14 @@ class Matcher(Pieces):
     """Encoding with them.
 
     most: stretches, and pairs of pieces, remembered; beyond it they are asked anew, which costs time only.
-    block: characters indexed at once, about; a stretch is never cut.
+    most_letters: characters of the stretches remembered, likewise.
+    block: characters indexed at once, about; of a longer stretch one window after the other.
     """
 
-    def __init__(self, file: str, most: int = 400_000, block: int = 250_000):
+    def __init__(self, file: str, most: int = 400_000, block: int = 250_000, most_letters: int = 8_000_000):
         super().__init__(file)
         proved(self.library)  # raises for models that change texts
-        self.most, self.block = most, block
+        self.most, self.block, self.most_letters, self.letters = most, block, most_letters, 0
         self.scores = {self.names[i]: self.library.get_score(i) for i in self.own}
         self.ids = {self.names[i]: i for i in self.own}
         # a piece that its own merges don't end with is in no encoding
@@ -138,7 +146,7 @@ class Matcher(Pieces):
         x, y = self._name(one), self._name(two)
         return self._merged(x + y) == [x, y]
 
-    def occurrences(self, text: str) -> tuple[list[int], list[int], list[int]]:
+    def occurrences(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Edges (end, start, piece) of all pieces in a text, sorted by end, the longest first."""
         codes = codes_of(text)
         order = suffix_order(codes, self.depth)
@@ -153,22 +161,26 @@ class Matcher(Pieces):
         size = self._size[piece]
         end = start + size
         by_end = np.argsort(end * (self.depth + 1) - size, kind="stable")
-        return end[by_end].tolist(), start[by_end].tolist(), self._piece[piece[by_end]].tolist()
-
-    def _relax(self, block: list[str]) -> None:
-        """Encode stretches and remember them."""
-        text = _BETWEEN.join(block)
-        last = [-1] * (len(text) + 1)
-        begins = np.cumsum([0, *(len(x) + 1 for x in block)])[:-1].tolist()
-        first, above = set(begins), len(self.names)
-        pairs, done = self.pairs, 0
-        for end, start, piece in zip(*self.occurrences(text), strict=True):
+        return end[by_end], start[by_end], self._piece[piece[by_end]]
+
+    def _edges(self, text: str, skip: int) -> Iterator[tuple[int, int, int]]:
+        """The edges that end behind the first ``skip`` places, taken to Python some thousand at a time."""
+        end, start, piece = self.occurrences(text)
+        for at in range(int(np.searchsorted(end, skip, "right")), len(end), _EDGES):
+            to = at + _EDGES
+            yield from zip(end[at:to].tolist(), start[at:to].tolist(), piece[at:to].tolist(), strict=True)
+
+    def _walk(self, text: str, last: list[int], begins: set[int], skip: int = 0) -> None:
+        """Relax the places of a text behind the first ``skip``, whose last pieces are known."""
+        above = len(self.names)
+        pairs, done = self.pairs, skip
+        for end, start, piece in self._edges(text, skip):
             if last[end] < 0:
                 while done < end - 1:  # a place that no piece reached: its character has none
                     done += 1
                     if last[done] < 0:
                         last[done] = above + ord(text[done - 1])
-                if start in first:
+                if start in begins:
                     last[end] = piece
                 else:
                     pair = last[start] << 32 | piece
@@ -177,16 +189,42 @@ class Matcher(Pieces):
                         fits = pairs[pair] = self._fits(last[start], piece)
                     if fits:
                         last[end] = piece
+        for place in range(done + 1, len(text) + 1):
+            if last[place] < 0:
+                last[place] = above + ord(text[place - 1])
         if len(pairs) > self.most:
             pairs.clear()
+
+    def _remember(self, stretch: str, last: Sequence[int], begin: int = 0) -> None:
+        """Read a stretch's pieces off its places, from its end back, and remember them."""
+        above, at, ids = len(self.names), begin + len(stretch), array("I")
+        while at > begin:
+            name = self._name(last[at])
+            ids.extend([last[at]] if last[at] < above else self._by_bytes(name)[::-1])
+            at -= len(name)
+        ids.reverse()
+        self.known[stretch] = ids.tobytes()
+        self.letters += len(stretch)
+
+    def _relax(self, block: list[str]) -> None:
+        """Encode stretches and remember them."""
+        text = _BETWEEN.join(block)
+        last = [-1] * (len(text) + 1)
+        begins = np.cumsum([0, *(len(x) + 1 for x in block)])[:-1].tolist()
+        self._walk(text, last, set(begins))
         for stretch, begin in zip(block, begins, strict=True):
-            at, ids = begin + len(stretch), []
-            while at > begin:
-                number = last[at] if last[at] >= 0 else above + ord(text[at - 1])
-                name = self._name(number)
-                at -= len(name)
-                ids += [number] if number < above else self._by_bytes(name)[::-1]
-            self.known[stretch] = struct.pack(f"<{len(ids)}I", *ids[::-1])
+            self._remember(stretch, last, begin)
+
+    def _relax_long(self, stretch: str) -> None:
+        """Encode one stretch, window after window, and remember it."""
+        places = array("i", [-1])  # of the last piece at each place so far
+        for at in range(0, len(stretch), self.block):
+            back = min(at, self.depth)
+            text = stretch[at - back : at + self.block]
+            last = [*places[at - back :], *[-1] * (len(text) - back)]
+            self._walk(text, last, set() if at else {0}, back)
+            places.extend(last[back + 1 :])
+        self._remember(stretch, places)
 
     def _by_bytes(self, letter: str) -> list[int]:
         known = self.ids.get(letter)
@@ -199,6 +237,9 @@ class Matcher(Pieces):
                 ids = self._by_bytes(stretch)
                 self.known[stretch] = struct.pack(f"<{len(ids)}I", *ids)
                 continue
+            if len(stretch) > self.block:
+                self._relax_long(stretch)
+                continue
             block.append(stretch)
             size += len(stretch) + 1
             if size >= self.block:
@@ -209,8 +250,9 @@ class Matcher(Pieces):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > self.most:
+        if len(self.known) > self.most or self.letters > self.most_letters:
             self.known.clear()
+            self.letters = 0
         # as the model sees them: a mark for each space and one in front
         joined = _BETWEEN.join(MARK + t.replace(" ", MARK) if t else "" for t in texts) + _BETWEEN
         codes = codes_of(joined)

@@ -1,8 +1,11 @@
 """Token counts, files, suffix-array encoding and packing against the libraries themselves."""
 
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -17,6 +20,7 @@ from tokenizers import Tokenizer
 from lakeloom.llm import packing, suffix_pieces, token_counts, token_files, vocab
 from lakeloom.session import workspace
 
+ROOT = Path(__file__).resolve().parents[2]
 BYTES, WORDS, PIECES = map(public_tokenizers.path, ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PIECES)
 TEXTS = st.text(st.sampled_from("abcdefghinorstuTHE  \n\t'.,!-019éßÀÿ▁日½²́ΣİK  <|>"), max_size=80)
@@ -64,6 +68,33 @@ def test_counts_and_suffix_arrays_give_the_library_pieces(texts):
     assert [model.decode(w) for w in want] == LIBRARY.decode(want)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text("abAB+/é語 ", max_size=200), st.integers(17, 40))
+def test_stretches_are_encoded_window_after_window(text, block):
+    model = suffix_pieces.matcher(PIECES)
+    whole, model.block = model.block, block
+    model.known.clear()
+    try:
+        assert np.frombuffer(model.encode([text])[0], "<u4").tolist() == LIBRARY.encode(text)
+    finally:
+        model.block = whole
+
+
+def test_five_million_characters_without_a_cut_take_little_memory():
+    program = f"""
+import resource
+import numpy as np
+from lakeloom.llm.suffix_pieces import Matcher
+model = Matcher({PIECES!r})
+text = "ab" * 2_500_000
+got = np.frombuffer(model.encode([text])[0], "<u4")
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1000, (got == np.array(model.library.encode(text))).all())
+"""
+    done = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, check=True, timeout=300, cwd=ROOT)
+    peak, equal = done.stdout.split()
+    assert equal == "True" and int(peak) < 1000
+
+
 def test_suffix_order_sorts_by_the_next_characters():
     rng = random.Random(2)
     text = "".join(rng.choice("ab") for _ in range(500))
