@@ -10,6 +10,9 @@ reads the target keeps it on the streamed side, so Spark can broadcast the batch
 when its size is under the broadcast threshold, and the target is then not
 shuffled at all. A larger batch falls back to sort-merge joins whose skewed
 partitions AQE can split (see ``spread``), as it cannot for a full outer join.
+Given ``batch_rows``, the number of its rows, target rows without a partner are
+kept out of these joins, and of their shuffles, by a filter of the batch's keys
+(see ``key_filter``); batches too large for one are joined as before.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators.key_filter import batch_filter
 from lakeloom.operators.spread import SPREAD, spread_join, with_spread
 
 ACTION = "merge_action"
@@ -54,31 +58,62 @@ def _condition(update_when: str | None) -> Column:
     return F.coalesce(F.expr(update_when), F.lit(False))
 
 
-def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _possible(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], batch_rows: int | None
+) -> DataFrame:
+    """The target without rows that surely have no partner in a batch of ``batch_rows`` rows."""
+    held = None if batch_rows is None else batch_filter(target, source, keys, batch_rows)
+    return target if held is None else target.where(held)
+
+
+def unmatched(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], batch_rows: int | None = None
+) -> DataFrame:
     """Source rows whose key the target does not hold.
 
     The target's keys are first cut down to those of the batch; an anti-join
     against the whole target would have to shuffle it.
     """
     keys = list(keys)
+    target = _possible(target, source, keys, batch_rows)
     matched = spread_join(
         target.select(*keys), source.select(*keys), keys, "left_semi", by=keys
     ).distinct()
     return spread_join(source, matched, keys, "left_anti").select(*source.columns)
 
 
-def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_only(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], batch_rows: int | None = None
+) -> DataFrame:
     """Target rows untouched, plus source rows with a new key."""
     source = conform(source, target)
-    return target.unionByName(unmatched(source, target, keys))
+    return target.unionByName(unmatched(source, target, keys, batch_rows))
 
 
 def update_matched(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update_when: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    update_when: str | None = None,
+    batch_rows: int | None = None,
 ) -> DataFrame:
-    """Target rows, each replaced by its source row where the condition holds."""
-    hits = conform(source, target).withColumn(_HIT, F.lit(True))
-    joined = _paired(target, hits, keys, "left", by=None)
+    """Target rows, each replaced by its source row where the condition holds.
+
+    With ``batch_rows`` the target is scanned twice: for rows that may have a partner, and for the others,
+    which reach the result without a join.
+    """
+    hits = conform(source, target)
+    held = None if batch_rows is None else batch_filter(target, hits, keys, batch_rows)
+    if held is not None:
+        near = _replaced(target.where(held), hits, keys, update_when)
+        return near.unionByName(target.where(~held))
+    return _replaced(target, hits, keys, update_when)
+
+
+def _replaced(
+    target: DataFrame, hits: DataFrame, keys: Sequence[str], update_when: str | None
+) -> DataFrame:
+    joined = _paired(target, hits.withColumn(_HIT, F.lit(True)), keys, "left", by=None)
     replace = F.col(f"source.{_HIT}").isNotNull() & _condition(update_when)
     picked = joined.withColumn(_REPLACE, replace)
     return picked.select(
@@ -97,6 +132,7 @@ def upsert(
     keys: Sequence[str],
     update_when: str | None = None,
     large_batch: bool = False,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """The merged table: updated and kept target rows, plus new source rows.
 
@@ -105,12 +141,13 @@ def upsert(
     large_batch: one full join, which computes either side once but shuffles the
                  whole target: for a batch of about the target's size whose keys
                  are unique there too, so that no key can be hot.
+    batch_rows:  how many rows the batch has, to filter the target by its keys.
     """
     source = conform(source, target)
     if large_batch:
         return _full_merge(target, source, keys, update_when)
-    return update_matched(target, source, keys, update_when).unionByName(
-        unmatched(source, target, keys)
+    return update_matched(target, source, keys, update_when, batch_rows).unionByName(
+        unmatched(source, target, keys, batch_rows)
     )
 
 
@@ -146,13 +183,18 @@ def update_candidates(
 
 
 def classify(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update_when: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    update_when: str | None = None,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Source rows plus ``merge_action``: ``insert``, ``update`` or ``none``.
 
     Reads only the target's keys and the columns the condition names.
     """
     keys = list(keys)
+    target = _possible(target, source, keys, batch_rows)
     pairs = _paired(target, source, keys, "inner", by=keys)
     hits = (
         pairs.select(

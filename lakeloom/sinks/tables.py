@@ -33,6 +33,8 @@ LEAF = "leaf"
 RANGE_COLUMN, RANGE_WIDTH = "lakeloom.range_column", "lakeloom.range_width"
 # Catalog calls at a time when the partitions of a merge are moved.
 CATALOG_CALLS = 16
+# Batches of fewer rows are small enough for Spark to broadcast; others filter the target by their keys.
+FILTERED_FROM = 100_000
 # Formats whose own MERGE is used instead.
 MERGING_FORMATS = frozenset({"delta", "iceberg"})
 
@@ -317,7 +319,7 @@ class Table:
         if before == 0 or (before is None and target.isEmpty()):
             self._append(staged, ranges)
             return MergeCounts(before, incoming, 0, incoming)
-        actions = m.classify(target, staged, keys, update_when).where(F.col(m.ACTION) != "none")
+        actions = m.classify(target, staged, keys, update_when, _filtered(incoming)).where(F.col(m.ACTION) != "none")
         merges = self.format in MERGING_FORMATS
         # a format that merges by itself joins again: there only the counts are taken here
         changes = actions.select(m.ACTION) if merges else materialise(actions, "changes")
@@ -344,11 +346,11 @@ class Table:
             # would be renamed one by one by the driver
             here = sorted({*changed, *(set(grown) & set(self._known_ranges(spark)))})
             target = target.where(F.col(RANGE).isin(here))
-            rewritten = m.update_matched(target, updates, keys, update_when).unionByName(inserts)
+            rewritten = m.update_matched(target, updates, keys, update_when, _filtered(updated)).unionByName(inserts)
             folder = self._write_version(rewritten)
             self._point_ranges(spark, folder, sorted({*changed, *grown}))
         elif updated:
-            rewritten = m.update_matched(target, updates, keys, update_when).unionByName(inserts)
+            rewritten = m.update_matched(target, updates, keys, update_when, _filtered(updated)).unionByName(inserts)
             folder = self._write_version(rewritten)
             spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{folder}'")
         elif inserted:
@@ -369,3 +371,8 @@ class Table:
         else:
             placed.select(*spark.table(self.name).columns).write.insertInto(self.name)
         spark.catalog.refreshTable(self.name)
+
+
+def _filtered(rows: int) -> int | None:
+    """The rows of a batch that is worth a filter."""
+    return rows if rows >= FILTERED_FROM else None

@@ -465,6 +465,7 @@ STATEMENTS: dict[str, str] = {
     "upsert_orders": "SELECT * FROM merged_orders",
     "upsert_orders_small_batch": "SELECT * FROM merged_orders",
     "upsert_replay": "SELECT * FROM merged_orders",
+    "upsert_bloom": "SELECT * FROM merged_orders",
     "table_upsert_orders": "SELECT * FROM merged_orders",
     "stream_orders_upsert": "SELECT * FROM merged_orders",
     "upsert_null_keys": """
@@ -478,6 +479,7 @@ STATEMENTS: dict[str, str] = {
               WHERE order_amount >= 400000)
         GROUP BY status, no_key""",
     "insert_only_items": "SELECT * FROM merged_items",
+    "insert_only_bloom": "SELECT * FROM merged_items",
     "table_insert_only_items": "SELECT * FROM merged_items",
     "stream_items_insert_only": "SELECT * FROM merged_items",
     "stream_items_stateful": "SELECT * FROM merged_items",

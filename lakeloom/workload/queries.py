@@ -337,6 +337,19 @@ def upsert_replay(r: Roles) -> DataFrame:
     return merge.upsert(once, source, ORDER_KEY, NEWER, large_batch=True)
 
 
+@query
+def upsert_bloom(r: Roles) -> DataFrame:
+    """The same with a filter of the batch's keys, which keeps orders without a change out of the joins."""
+    target, source = _merge_inputs(r)
+    return merge.upsert(target, source, ORDER_KEY, NEWER, batch_rows=source.count())
+
+
+@query
+def insert_only_bloom(r: Roles) -> DataFrame:
+    target, source = _item_inputs(r)
+    return merge.insert_only(target, source, ITEM_KEY, batch_rows=source.count())
+
+
 @query
 def upsert_null_keys(r: Roles) -> DataFrame:
     """Urgent orders lose their key on both sides: none of them matches."""
