@@ -27,7 +27,9 @@ from lakeloom.plans.silver import SILVER
 from lakeloom.session import tune
 from lakeloom.sinks.tables import Ranges
 from lakeloom.sources import JdbcSource, Split
+from lakeloom.sources.bronze import has_copy, read_full
 from lakeloom.sources.delimited import CSV_COLUMNS
+from lakeloom.sources.splits import even_splits
 
 RUN_IDS = (
     "pipeline_name", "pipeline_run_id", "job_name", "job_run_id", "task_name", "task_run_id",
@@ -65,6 +67,10 @@ def parser() -> argparse.ArgumentParser:
     ingestion.add_argument(
         "--split", action="append", default=[], metavar="TABLE:COLUMN:LOWER:UPPER:PARTS"
     )
+    ingestion.add_argument(
+        "--even_split", action="append", default=[], metavar="TABLE:COLUMN:PARTS",
+        help="readers of about the same number of rows, by the quantiles of the last copy; the first copy has --split",
+    )
     gold = jobs.add_parser("gold", parents=[shared])
     gold.add_argument("--as_of")
     gold.add_argument("--every_price", action="store_true")
@@ -95,12 +101,22 @@ def audit_sink(args: argparse.Namespace, spark: SparkSession) -> AuditSink | Non
     return jdbc_sink(spark, JdbcSource(args.audit_jdbc_url, named(args.audit_jdbc_option)), args.audit_table)
 
 
-def jdbc_source(args: argparse.Namespace) -> JdbcSource:
+def even_conditions(args: argparse.Namespace, spark: SparkSession, bronze: str) -> dict[str, list[str]]:
+    """The readers' conditions of the tables that have been copied before."""
+    parts = (text.split(":") for text in args.even_split)
+    return {
+        table: even_splits(read_full(spark, bronze, table), column, int(n))
+        for table, column, n in parts
+        if has_copy(spark, bronze, table)
+    }
+
+
+def jdbc_source(args: argparse.Namespace, conditions: dict[str, list[str]] | None = None) -> JdbcSource:
     splits = {}
     for text in args.split:
         table, column, lower, upper, parts = text.split(":")
         splits[table] = Split(column, lower, upper, int(parts))
-    return JdbcSource(args.jdbc_url, named(args.jdbc_option), splits)
+    return JdbcSource(args.jdbc_url, named(args.jdbc_option), splits, conditions=conditions or {})
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -131,7 +147,8 @@ def main(argv: list[str] | None = None) -> None:
             folder, _, name = args.file.rpartition("/")
             print(land_csv(spark, lakehouse, folder or ".", name, args.table, record, sink))
         case "ingest":
-            reader = partial(jdbc_source(args).read, spark)
+            source = jdbc_source(args, even_conditions(args, spark, lakehouse.bronze))
+            reader = partial(source.read, spark)
             print(ingest(spark, lakehouse, reader, args.run_date, record, sink))
         case "silver":
             print(run_silver(spark, lakehouse, args.table, args.run_date, record, sink, args.strict))

@@ -50,6 +50,17 @@ def read_full(spark: SparkSession, base: str, table: str) -> DataFrame:
     return _files(spark, f"{base}/{table}" + (f"/{COPY}={copy}" if copy else ""))
 
 
+def has_copy(spark: SparkSession, base: str, table: str) -> bool:
+    """Whether anything of a table has been copied yet."""
+    try:
+        read_full(spark, base, table)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
 def read_unmarked(spark: SparkSession, base: str, table: str, run_date: str) -> DataFrame:
     """The rows of ``run_date`` that have no mark."""
     return _files(spark, f"{base}/{table}/{BATCH_COLUMN}={run_date}/{mark_folder(None)}")

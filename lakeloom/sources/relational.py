@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,12 +27,15 @@ class JdbcSource:
     options: driver, user, password and the like.
     splits:  table -> how to read it in parallel; a table without one is read
              by a single task, which only suits small tables.
+    conditions: table -> SQL conditions, one for each reader, of which every row
+             meets exactly one (see ``sources.splits``); they go before splits.
     """
 
     url: str
     options: Mapping[str, str] = field(default_factory=dict)
     splits: Mapping[str, Split] = field(default_factory=dict)
     fetch_size: int = 10_000
+    conditions: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def reader_options(self, schema: str, table: str) -> dict[str, str]:
         options = {
@@ -44,7 +47,7 @@ class JdbcSource:
             "preferTimestampNTZ": "true",
             **self.options,
         }
-        if split := self.splits.get(table):
+        if (split := self.splits.get(table)) and table not in self.conditions:
             options |= {
                 "partitionColumn": split.column,
                 "lowerBound": str(split.lower),
@@ -57,4 +60,8 @@ class JdbcSource:
         return {"url": self.url, "dbtable": table, **self.options}
 
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.reader_options(schema, table)).load()
+        options = self.reader_options(schema, table)
+        if readers := self.conditions.get(table):
+            url, name = options.pop("url"), options.pop("dbtable")
+            return spark.read.jdbc(url, name, predicates=list(readers), properties=options)
+        return spark.read.format("jdbc").options(**options).load()

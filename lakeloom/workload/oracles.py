@@ -529,6 +529,7 @@ STATEMENTS: dict[str, str] = {
         FROM extracted JOIN control ON table_name = "table" LEFT JOIN (
           SELECT 'orders' AS "table", count(*) AS unmarked FROM b_orders WHERE updated_at IS NULL
           UNION ALL SELECT 'order_items', count(*) FROM b_items WHERE created_at IS NULL) USING ("table")""",
+    "extract_splits": "SELECT order_id, 1 AS times, true AS fair FROM b_orders",
     "audit_summary": """
         SELECT 'Silver' AS layer, source_name, 'Data Transformation: ' || source_name
                  AS activity_name,

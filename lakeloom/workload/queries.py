@@ -28,6 +28,7 @@ from lakeloom.sinks.tables import Ranges, Table
 from lakeloom.sources import control_rows, extract, read_batch, read_csv, read_full
 from lakeloom.sources.control import CONTROL_SEED
 from lakeloom.sources.delimited import CSV_COLUMNS, CSV_FORMAT
+from lakeloom.sources.splits import even_splits
 from lakeloom.streaming import stream_silver
 from lakeloom.workload.roles import CUTOFF, Roles
 
@@ -554,6 +555,25 @@ def quarantine_prices(r: Roles) -> DataFrame:
     )
 
 
+@query
+def extract_splits(r: Roles) -> DataFrame:
+    """How many of the readers' conditions each order meets, and whether its split has a fair share of all orders.
+
+    The key is sparse, denser at its lower end, and missing on a part of the orders.
+    """
+    parts, meets = 8, "condition"
+    key = F.when(F.col("order_id") % 11 != 0, F.col("order_id") * F.col("order_id"))
+    keyed = r.orders.select("order_id", key.alias("key"))
+    readers = [F.when(F.expr(p), F.lit(i)) for i, p in enumerate(even_splits(keyed, "key", parts))]
+    met = keyed.select("order_id", F.array_compact(F.array(*readers)).alias(meets))
+    split = F.get(meets, F.lit(0))
+    shares = met.groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    total = keyed.agg(F.count(F.lit(1))).scalar()
+    fair = shares.select("split", (F.col("n") * parts <= total * 2).alias("fair"))
+    placed = met.select("order_id", F.size(meets).alias("times"), split.alias("split"))
+    return placed.join(fair, "split").select("order_id", "times", "fair")
+
+
 @query
 def audit_summary(r: Roles) -> DataFrame:
     """The audit log of three good runs and a failing one."""

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from lakeloom import cli
 from lakeloom.session import materialise, workspace
 from lakeloom.sinks import write_batch, write_full, write_unmarked
 from lakeloom.sources import JdbcSource, Split, control_rows, extract, read_batch, read_csv, read_full
@@ -129,6 +130,35 @@ def test_jdbc_options():
     }
 
 
+def test_conditions_go_before_splits_and_are_given_to_the_readers(monkeypatch):
+    calls = []
+
+    class Reader:
+        def jdbc(self, url, table, predicates, properties):
+            calls.append((url, table, predicates, properties))
+
+    class Session:
+        read = Reader()
+
+    source = JdbcSource(
+        "jdbc:x://host/db", {"user": "u"}, {"orders": Split("order_id", 1, 9, 2)}, conditions={"orders": ["a", "b"]}
+    )
+    source.read(Session(), "dbo", "orders")
+    properties = {"fetchsize": "10000", "pushDownPredicate": "true", "preferTimestampNTZ": "true", "user": "u"}
+    assert calls == [("jdbc:x://host/db", "dbo.orders", ["a", "b"], properties)]
+
+
+def test_even_split_option(spark, tmp_path):
+    args = cli.parser().parse_args(
+        ["ingest", "--root", "r", "--run_date", "2025-01-01", "--jdbc_url", "jdbc:x",
+         "--even_split", "orders:order_id:4", "--even_split", "users:user_id:4"]
+    )
+    write_full(spark.range(100).withColumnRenamed("id", "order_id"), str(tmp_path), "orders")
+    found = cli.even_conditions(args, spark, str(tmp_path))
+    assert list(found) == ["orders"] and len(found["orders"]) == 5
+    assert cli.jdbc_source(args, found).conditions == found
+
+
 def test_scratch_is_in_the_shared_folder(spark, rows):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = workspace(spark, "x"), workspace(spark, "x")
