@@ -529,6 +529,13 @@ STATEMENTS: dict[str, str] = {
         FROM extracted JOIN control ON table_name = "table" LEFT JOIN (
           SELECT 'orders' AS "table", count(*) AS unmarked FROM b_orders WHERE updated_at IS NULL
           UNION ALL SELECT 'order_items', count(*) FROM b_items WHERE created_at IS NULL) USING ("table")""",
+    "marks_from_footers": " UNION ALL ".join(
+        f"""
+        SELECT '{table}' AS "table", '{column}' AS "column", count(*) AS n_rows, count({column}) AS n_values,
+               CAST(min({column}) AS VARCHAR) AS least, CAST(max({column}) AS VARCHAR) AS greatest FROM {table}"""
+        for table, columns in (("orders", ("o_orderkey", "o_custkey")), ("lineitem", ("l_orderkey", "l_partkey", "l_linenumber")))
+        for column in columns
+    ),
     "extract_splits": "SELECT order_id, 1 AS times, true AS fair FROM b_orders",
     "audit_summary": """
         SELECT 'Silver' AS layer, source_name, 'Data Transformation: ' || source_name

@@ -28,6 +28,7 @@ from lakeloom.sinks.tables import Ranges, Table
 from lakeloom.sources import control_rows, extract, read_batch, read_csv, read_full
 from lakeloom.sources.control import CONTROL_SEED
 from lakeloom.sources.delimited import CSV_COLUMNS, CSV_FORMAT
+from lakeloom.sources.footers import statistics
 from lakeloom.sources.splits import even_splits
 from lakeloom.streaming import stream_silver
 from lakeloom.workload.roles import CUTOFF, Roles
@@ -37,6 +38,7 @@ QUERIES: dict[str, Query] = {}
 
 ORDER_KEY, ITEM_KEY = ["order_id"], ["order_item_id"]
 NEWER = "source.updated_at > target.updated_at"
+FOOTER_COLUMNS = {"orders": ["o_orderkey", "o_custkey"], "lineitem": ["l_orderkey", "l_partkey", "l_linenumber"]}
 RUN_DATE = "2026-01-31"
 RUN_START = datetime(2026, 1, 31, 1, 0, 0)
 # Orders of a partition; in production enough for some gigabytes.
@@ -555,6 +557,13 @@ def quarantine_prices(r: Roles) -> DataFrame:
     )
 
 
+@query
+def marks_from_footers(r: Roles) -> DataFrame:
+    """Rows and bounds of the whole-number columns of the orders' and the items' files."""
+    files = {t: f"{r.sf_dir}/{t}.parquet" for t in FOOTER_COLUMNS}
+    return all_of([statistics(r.spark, f, FOOTER_COLUMNS[t]).withColumn("table", F.lit(t)) for t, f in files.items()])
+
+
 @query
 def extract_splits(r: Roles) -> DataFrame:
     """How many of the readers' conditions each order meets, and whether its split has a fair share of all orders.
