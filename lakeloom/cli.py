@@ -19,7 +19,7 @@ from functools import partial
 
 from pyspark.sql import SparkSession
 
-from lakeloom.plans.audit import AuditRecord, AuditSink, jdbc_sink
+from lakeloom.plans.audit import AuditRecord, AuditSink, compact, jdbc_sink
 from lakeloom.plans.ingest import ingest, land_csv
 from lakeloom.plans.jobs import build_gold, run_silver
 from lakeloom.plans.lakehouse import Lakehouse
@@ -82,6 +82,7 @@ def parser() -> argparse.ArgumentParser:
     landing.add_argument("file")
     landing.add_argument("table", choices=sorted(CSV_COLUMNS))
     jobs.add_parser("seed", parents=[shared])
+    jobs.add_parser("compact", parents=[shared], help="join the audit log's records into a partition a month")
     return top
 
 
@@ -143,6 +144,8 @@ def main(argv: list[str] | None = None) -> None:
             results.show(50, False)
         case "seed":
             lakehouse.seed_control(spark)
+        case "compact":
+            print(compact(spark, lakehouse.audit_table()))
         case "csv":
             folder, _, name = args.file.rpartition("/")
             print(land_csv(spark, lakehouse, folder or ".", name, args.table, record, sink))

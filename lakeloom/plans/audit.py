@@ -6,9 +6,10 @@ import logging
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeloom.sinks.tables import Table
 from lakeloom.sources.relational import JdbcSource
@@ -76,6 +77,11 @@ def table_sink(spark: SparkSession, table: Table) -> AuditSink:
     return write
 
 
+def compact(spark: SparkSession, table: Table, grace: timedelta = timedelta(hours=1)) -> dict[str, int]:
+    """Join the log's records into one partition a month of their start; returns how many partitions each took."""
+    return table.join_leaves(spark, F.date_format("start_time", "yyyy-MM"), grace)
+
+
 def jdbc_sink(spark: SparkSession, source: JdbcSource, table: str) -> AuditSink:
     """Append records to a database table."""
 

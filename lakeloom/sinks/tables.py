@@ -20,6 +20,7 @@ import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,9 @@ from lakeloom.session import materialise
 
 RANGE = "key_range"
 LEAF = "leaf"
+# Leaves that were made of others, and what tells which.
+JOINED = "joined-"
+JOINS = f"{LEAF} string, into string, at timestamp_ntz"
 RANGE_COLUMN, RANGE_WIDTH = "lakeloom.range_column", "lakeloom.range_width"
 # Catalog calls at a time when the partitions of a merge are moved.
 CATALOG_CALLS = 16
@@ -90,7 +94,7 @@ class Table:
     ranges: how the table is partitioned, if it is; a table that exists knows it by itself.
     format: ``parquet``, or a format of the session that merges by itself.
     leaves: each ``add`` makes a partition of its own, so that writers at one
-            time don't meet.
+            time don't meet; ``join_leaves`` makes few of many.
     """
 
     name: str
@@ -131,9 +135,11 @@ class Table:
         """
         spark.catalog.refreshTable(self.name)
         df = spark.table(self.name)
+        if self.leaves:
+            return self._with_leaves(spark).drop(LEAF)
         if ranges is not None:
             df = df.where(F.col(RANGE).isin(ranges))
-        return df.drop(LEAF if self.leaves else RANGE)
+        return df.drop(RANGE)
 
     def placed(self, spark: SparkSession, ranges: Sequence[int] | None = None) -> DataFrame:
         """The rows with the number of their range, of all ranges or some."""
@@ -211,6 +217,60 @@ class Table:
         df.write.parquet(folder)
         spark.sql(f"ALTER TABLE {self.name} ADD PARTITION ({LEAF}='{leaf}') LOCATION '{folder}'")
 
+    def _listed_leaves(self, spark: SparkSession) -> set[str]:
+        return {row["partition"].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
+
+    def _joined_into(self, spark: SparkSession, listed: set[str]) -> list[tuple[str, str, datetime]]:
+        """(leaf, the leaf that it was joined into, when) of the leaves that are still listed beside that one."""
+        joined = [f"{self._joins()}/{name}" for name in sorted(listed) if name.startswith(JOINED)]
+        rows = spark.read.schema(JOINS).parquet(*joined).collect() if joined else []
+        return [(r[LEAF], r["into"], r["at"]) for r in rows if r[LEAF] in listed]
+
+    def _joins(self) -> str:
+        return f"{self.root.rstrip('/')}.joins"
+
+    def _with_leaves(self, spark: SparkSession) -> DataFrame:
+        """Every row once, with its leaf: of leaves that were joined only the joint one, as far as it is listed now."""
+        listed = self._listed_leaves(spark)
+        gone = sorted(leaf for leaf, _, _ in self._joined_into(spark, listed))
+        joint = sorted(name for name in listed if name.startswith(JOINED))
+        # one that is added while this reads would come on top of its leaves
+        known = ~F.col(LEAF).startswith(JOINED) | F.col(LEAF).isin(joint)
+        return spark.table(self.name).where(known & ~F.col(LEAF).isin(gone))
+
+    def join_leaves(self, spark: SparkSession, by: Column, grace: timedelta = timedelta(hours=1)) -> dict[str, int]:
+        """Join the leaves whose least value of ``by`` is the same into one; returns how many each took.
+
+        Writers and readers may go on meanwhile. The joint leaf comes with a list of those in it, which readers pass over
+        from the moment it is there. The catalog forgets them in a later call, ``grace`` after the join at the earliest, so
+        that a reader that has just looked up the leaves still finds them. One call at a time. Files stay.
+        """
+        spark.catalog.refreshTable(self.name)
+        listed = self._listed_leaves(spark)
+        covered = self._joined_into(spark, listed)
+        until = datetime.now(timezone.utc).replace(tzinfo=None) - grace
+        # what was joined first goes first: a joint leaf stays as long as one of those in it
+        for time in sorted({at for _, _, at in covered if at <= until}):
+            dropped = ", ".join(f"PARTITION ({LEAF}='{leaf}')" for leaf, _, at in covered if at == time)
+            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {dropped}")
+        rows = self._with_leaves(spark)
+        groups: dict[str, list[str]] = {}
+        for leaf, value in rows.groupBy(LEAF).agg(F.min(by).cast("string")).collect():  # names, not rows
+            groups.setdefault(str(value), []).append(leaf)
+        taken = {}
+        for value, leaves in sorted(groups.items()):
+            if len(leaves) < 2:
+                continue
+            name = f"{JOINED}{uuid.uuid4().hex}"
+            folder = f"{self.root.rstrip('/')}/{LEAF}={name}"
+            rows.where(F.col(LEAF).isin(leaves)).drop(LEAF).hint("rebalance").write.parquet(folder)
+            now = datetime.now(timezone.utc).replace(tzinfo=None)
+            spark.createDataFrame([(leaf, name, now) for leaf in leaves], JOINS).coalesce(1).write.parquet(f"{self._joins()}/{name}")
+            spark.sql(f"ALTER TABLE {self.name} ADD PARTITION ({LEAF}='{name}') LOCATION '{folder}'")
+            taken[value] = len(leaves)
+        spark.catalog.refreshTable(self.name)
+        return taken
+
     def replace(self, df: DataFrame) -> int:
         """Full refresh: the table holds exactly ``df`` afterwards. Returns its rows.
 

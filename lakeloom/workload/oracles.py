@@ -681,4 +681,6 @@ STATEMENTS: dict[str, str] = {
         WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM b_orders_before) GROUP BY order_id""",
 }
 
+STATEMENTS["audit_compacted"] = STATEMENTS["audit_summary"]
+
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in STATEMENTS.items()}

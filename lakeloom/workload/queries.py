@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +16,7 @@ from lakeloom.functions.calendar import calendar_columns
 from lakeloom.operators import dedupe, merge, quality
 from lakeloom.operators.quarantine import REASONS, RECORD, TIMES, replay
 from lakeloom.plans import gold
-from lakeloom.plans.audit import AuditRecord
+from lakeloom.plans.audit import AuditRecord, compact
 from lakeloom.plans.ingest import advanced, ingest, land_csv
 from lakeloom.plans.jobs import build_gold, gold_model, load_silver, run_silver, silver_target
 from lakeloom.plans.lakehouse import Lakehouse
@@ -583,17 +583,16 @@ def extract_splits(r: Roles) -> DataFrame:
     return placed.join(fair, "split").select("order_id", "times", "fair")
 
 
-@query
-def audit_summary(r: Roles) -> DataFrame:
-    """The audit log of three good runs and a failing one."""
+def _audited_runs(r: Roles, between: Callable[[Lakehouse], object] = lambda _: None) -> DataFrame:
+    """The audit log of three good runs and a failing one; ``between`` is called after each."""
     lakehouse = new_lakehouse(r)
     write_full(r.customer_versions, lakehouse.bronze, "customers")
     write_full(r.marketing_spend, lakehouse.bronze, "marketing_spend")
     write_batch(r.orders, lakehouse.bronze, "orders", RUN_DATE)
     record = AuditRecord("", "", "", orchestrator="lakeloom", pipeline_run_id="p-1")
-    run_silver(r.spark, lakehouse, "customers", record=record)
-    run_silver(r.spark, lakehouse, "marketing_spend", record=record)
-    run_silver(r.spark, lakehouse, "orders", RUN_DATE, record)
+    for table, run_date in (("customers", None), ("marketing_spend", None), ("orders", RUN_DATE)):
+        run_silver(r.spark, lakehouse, table, run_date, record)
+        between(lakehouse)
     try:
         run_silver(r.spark, lakehouse, "marketing_spend", record=record, strict=True)
     except Exception:
@@ -606,6 +605,18 @@ def audit_summary(r: Roles) -> DataFrame:
     )
 
 
+@query
+def audit_summary(r: Roles) -> DataFrame:
+    """The audit log of three good runs and a failing one."""
+    return _audited_runs(r)
+
+
+@query
+def audit_compacted(r: Roles) -> DataFrame:
+    """The same of a log whose partitions are joined after each run, and forgotten at once."""
+    return _audited_runs(r, lambda lakehouse: compact(r.spark, lakehouse.audit_table(), timedelta(0)))
+
+
 # -- gold --------------------------------------------------------------------
 @query
 def dim_customers(r: Roles) -> DataFrame:
