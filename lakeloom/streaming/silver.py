@@ -12,6 +12,9 @@ from lakeloom.plans.silver import SilverTable
 from lakeloom.sinks.tables import Table
 
 _ROW, _ARRIVED = "__row", "__arrived"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ON_HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_silver(
@@ -32,7 +35,9 @@ def stream_silver(
               row is ever late, so none is dropped for it, and the state holds
               what arrived in that time. Rows that come again later meet the
               merge, which changes nothing for them. The state is partitioned by
-              row; for a large one set the RocksDB state store.
+              row and lies in RocksDB, not on the heap of the executors, unless
+              the session names a store of its own; a checkpoint keeps the store
+              that it began with.
 
     Each micro-batch is cleaned and loaded like a daily batch. A micro-batch
     that is run again after a failure changes nothing the second time, because
@@ -55,9 +60,12 @@ def stream_silver(
     def load(batch: DataFrame, _: int) -> None:
         load_silver(table, target, table.transform(batch), count_target=False)
 
-    return (
-        arrived.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = arrived.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if not remember or spark.conf.get(_STORE) != _ON_HEAP:
+        return writer.start()
+    # a query keeps the settings of the moment it starts at
+    spark.conf.set(_STORE, _ROCKSDB)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(_STORE, _ON_HEAP)

@@ -59,3 +59,15 @@ def test_replays_do_not_reach_the_merge(spark, lakehouse, rows, monkeypatch):
         table = run(spark, lakehouse, "order_items", first.schema, remember="7 days")
     assert [n for n in reached if n] == [1, 2, 1]
     assert rows(table.select("order_item_id", "quantity")) == [(1, 1), (2, 2), (4, 1)]
+
+
+def test_what_is_remembered_is_kept_off_the_heap(spark, lakehouse, rows, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    first = fx.items(spark, (1, 1, 1, 1, "5"), (2, 1, 1, 3, "5"))
+    for n in (1, 2):
+        write_batch(first, lakehouse.bronze, "order_items", f"2025-01-0{n}")
+        table = run(spark, lakehouse, "order_items", first.schema, remember="7 days")
+    assert rows(table.select("order_item_id", "quantity")) == [(1, 1), (2, 3)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    log = spark.read.text(f"{lakehouse.root}/checkpoint/offsets/0")
+    assert log.where(F.col("value").contains("RocksDBStateStoreProvider")).count() == 1
