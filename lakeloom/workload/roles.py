@@ -181,9 +181,10 @@ class Roles:
             F.min(F.col("l_extendedprice").cast("decimal(10,2)")).alias("price"),
             F.max("l_shipdate").alias("since"),
         )
+        # products last: the rows then lie by product, as those who take one price per product want them
         return (
-            prices.join(self.read("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(self.read("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            prices.join(self.read("supplier").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.read("part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("l_partkey").alias("product_id"),
                 _padded("p_name").alias("product_name"),

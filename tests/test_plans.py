@@ -11,6 +11,7 @@ from lakeloom.operators.spread import SPREAD, spread_join, with_spread
 from lakeloom.plans import gold
 from lakeloom.sinks.tables import RANGE, Ranges, Table
 from lakeloom.workload.queries import QUERIES
+from lakeloom.workload.roles import Roles
 
 SF_DIR = "/root/testdata/sf0.001"
 NEWER = "source.t > target.t"
@@ -213,3 +214,12 @@ def test_merges_read_only_their_ranges(spark, name):
     # the merge of the second load names the ranges that it reads
     merges = [p for p in plans if "merge_action" in p and "key_range" in p]
     assert any(re.search(rf"PartitionFilters: \[[^]]*{RANGE}", p) for p in merges)
+
+
+def test_prices_are_shuffled_by_product_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = Roles(spark, "/root/testdata/sf0.001").dim_products._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (plan.count("Exchange "), plan.count(" Sort [")) == (6, 6)
