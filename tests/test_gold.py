@@ -1,3 +1,4 @@
+import re
 from datetime import date
 from decimal import Decimal as D
 
@@ -84,6 +85,12 @@ def test_fact_rows(spark, rows):
     ]
 
 
+def test_dimensions_are_joined_before_items_meet_orders(spark):
+    plan = gold.fact_sales(*star(spark))._jdf.queryExecution().optimizedPlan().toString()
+    kinds = re.findall(r"Join (Inner|LeftOuter)", plan)
+    assert kinds == ["Inner", "LeftOuter", "LeftOuter"]  # from the outermost on
+
+
 def test_missing_members_keep_the_fact_row(spark, rows):
     tables = star(spark, product_ids=(1,), items=(*ITEMS, (90, 9, 1, 1, "1.00")))
     fact = gold.fact_sales(*tables)

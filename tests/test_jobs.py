@@ -504,3 +504,16 @@ def test_audit_database_arguments(spark):
     source = JdbcSource(args.audit_jdbc_url, cli.named(args.audit_jdbc_option))
     assert source.writer_options(args.audit_table) == {"url": "jdbc:x", "dbtable": "a.log", "user": "me"}
     assert cli.audit_sink(cli.parser().parse_args(["silver", "orders", "--root", "r"]), spark) is None
+
+
+def test_the_fact_is_written_once_and_ranges_listed_in_few_tasks(spark, lakehouse, rows, monkeypatch):
+    purposes = []
+    written = jobs.materialise
+    monkeypatch.setattr(jobs, "materialise", lambda df, purpose: purposes.append(purpose) or written(df, purpose))
+    ranged = two_days(spark, lakehouse)
+    build_gold(spark, ranged, check=False)
+    fact = rows(jobs.gold_tables(spark, ranged)["fact_sales"].select("order_item_id", "status"))
+    build_gold(spark, ranged, check=False)
+    assert fact and rows(jobs.gold_tables(spark, ranged)["fact_sales"].select("order_item_id", "status")) == fact
+    assert not {"fact", "increment"} & set(purposes)
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) < 100

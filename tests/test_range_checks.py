@@ -64,3 +64,15 @@ def test_the_same_as_all_at_once(spark, rows, spread):
 def test_clusters(changed, found):
     spans = {1: (0, 4), 2: (5, 9), 3: (9, 12), 4: (11, 11), 5: (13, 20), 9: (30, 30)}
     assert clusters(spans, changed) == found
+
+
+def test_places_are_taken_of_keys_that_come_again_only(spark, rows, monkeypatch):
+    monkeypatch.setattr(F, "collect_list", lambda *_: pytest.fail("places of all keys"))
+    checks, empty = RangeChecks("t", CHECKS[:1]), spark.createDataFrame([], CHECK_STATE)
+    for keys, failures in (([1, 2, None, None, 3], 0), ([1, 2, 1, 1, 3], 1)):
+        table = spark.createDataFrame(list(enumerate(keys)), "number long, key long")
+        frames = {"t": table}
+        read = lambda ranges, t=table: t if ranges is None else t.where(F.col("number").isin(list(ranges)))
+        none = spark.createDataFrame([], PARENT_STATE)
+        state = checks.advanced(empty, none, none, read, [0, 1, 2, 3, 4])
+        assert rows(checks.results(state, none)) == rows(run_checks(frames, CHECKS[:1])) == [("unique", "t", "key", failures)]

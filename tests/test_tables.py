@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.sinks import tables
 from lakeloom.sinks.tables import RANGE, MergeCounts, Ranges, Table
 from test_merge import MERGED, NEWER, SOURCE, TARGET, frame
 
@@ -129,3 +130,32 @@ def test_merge_statement_is_valid_sql(spark, table):
     with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
         spark.sql(statement)
     assert "WHEN MATCHED" not in table.merge_statement("s", None, insert_only=True)
+
+
+def test_a_first_load_is_written_once(spark, rows, table, monkeypatch):
+    monkeypatch.setattr(tables, "materialise", lambda *_: pytest.fail("written twice"))
+    first = frame(spark, TARGET[:3] + TARGET[-1:])
+    assert table.insert_new(first.where("false"), source_is_unique=True) == MergeCounts(0, 0, 0, 0)
+    assert table.insert_new(first, source_is_unique=True, count_target=False) == MergeCounts(None, 4, 0, 4)
+    assert rows(table.read(spark)) == sorted(TARGET[:3] + TARGET[-1:], key=repr)
+
+
+def test_a_large_insert_only_batch_is_joined_once(spark, rows, table, monkeypatch):
+    table.upsert(frame(spark, [*TARGET, (9, 1, "t")]))
+    table.insert_new(frame(spark, [(10, 1, "t")]))
+    monkeypatch.setattr(tables, "FILTERED_FROM", 1)
+    for name in ("classify", "update_matched"):
+        monkeypatch.setattr(tables.m, name, lambda *_: pytest.fail("joined again"))
+    batch = [(1, 99, "s"), (9, 99, "s"), (11, 1, "s"), (70, 1, "s"), (None, 98, "s")]
+    assert table.insert_new(frame(spark, batch)) == MergeCounts(9, 5, 0, 3)
+    assert rows(table.read(spark)) == sorted([*TARGET, (9, 1, "t"), (10, 1, "t"), *batch[2:]], key=repr)
+
+
+def test_a_stored_batch_is_not_written_again(spark, rows, table, monkeypatch):
+    table.upsert(frame(spark, TARGET), NEWER)
+    purposes = []
+    written = tables.materialise
+    monkeypatch.setattr(tables, "materialise", lambda df, purpose: purposes.append(purpose) or written(df, purpose))
+    assert table.upsert(written(frame(spark, SOURCE), "given"), NEWER, stored=True) == MergeCounts(7, 7, 1, 2)
+    assert rows(table.read(spark)) == sorted(MERGED, key=repr)
+    assert purposes == ["changes"]
