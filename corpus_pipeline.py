@@ -27,10 +27,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stays null where there was no label to learn. Repeated rows are treated alike; other columns pass, whatever their names.
     """
     tune(ship(spark))
-    found = fresh(docs, "__language")
+    found, letter = fresh(docs, "__language"), fresh(docs, "__letter")
+    # both are asked of the same worker
+    called = classify(docs, learn(docs), found).withColumn(letter, lettered(F.col("text")))
     # a text with a letter stays also where there was no label to learn, or where one is called as the unknown language is
-    kept = (F.col(found) != UNKNOWN) | lettered(F.col("text"))
-    held = classify(docs, learn(docs), found).filter(kept)
+    held = called.filter((F.col(found) != UNKNOWN) | F.col(letter))
     if dict(docs.dtypes).get("lang") == "string":
         known = F.when(F.col(found) != UNKNOWN, F.col(found))
         held = held.withColumn("lang", F.coalesce("lang", known))

@@ -254,7 +254,8 @@ def classify(docs: DataFrame, network: Network, out: str) -> DataFrame:
         found = [network.predict([t if isinstance(t, str) else None for t in texts[i : i + 200]]) for i in range(0, len(texts), 200)]
         return pd.Series([x for part in found for x, _ in part], dtype=object)
 
-    return docs.withColumn(out, run(F.col("text").cast("string")))
+    # else a filter by the answer would ask the network a second time, in a second worker
+    return docs.withColumn(out, run.asNondeterministic()(F.col("text").cast("string")))
 
 
 def lettered(text: Column) -> Column:
@@ -264,4 +265,4 @@ def lettered(text: Column) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([isinstance(t, str) and has_letter(t) for t in texts], dtype=bool)
 
-    return run(text.cast("string"))
+    return run.asNondeterministic()(text.cast("string"))

@@ -152,3 +152,13 @@ def test_the_rest_stands_without_the_subpackage(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr
     assert out.stdout.strip().endswith("[]") and int(out.stdout.split()[0]) >= 75
+
+
+def test_the_language_network_is_asked_once_per_text(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(["a river", "12", None, "the sea"])], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language(spark, docs, "")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("run(") == 2  # the network and the letters
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 3]
