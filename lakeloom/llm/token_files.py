@@ -44,13 +44,16 @@ _ARROW = pa.schema(
     [("doc_id", pa.int64()), ("bucket", pa.int32()), ("bucket_start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
 )
 
+#: Pre-tokens that a worker holds, some 150 MB at most. Those that it forgets are encoded again.
+KNOWN = 800_000
+
 
 def write_token_files(docs: DataFrame, path: str, file: str, end_id: int, stripe_bytes: int = 32 << 20) -> None:
     """Encode every text, append ``end_id`` to each and write the ids."""
     end = struct.pack("<I", end_id)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, at, now = encoder(file), 0, None
+        known, at, now = encoder(file, KNOWN), 0, None
         for batch in batches(frames, 500):
             ids = [known.encode(t) + end for t in batch.column("text").to_pylist()]
             sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))

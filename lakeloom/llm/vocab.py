@@ -9,7 +9,6 @@ ASCII letters, where no pre-token and no special token can reach across.
 
 from __future__ import annotations
 
-import json
 import re
 import struct
 from collections.abc import Iterator
@@ -39,7 +38,8 @@ def byte_letters() -> dict[int, str]:
 class Encoder(dict):
     """``encode(text)``: ids as little-endian unsigned 32-bit integers. The dictionary holds the known pre-tokens.
 
-    most: pre-tokens held at once; beyond it the dictionary starts anew, which costs time only.
+    most: pre-tokens held at once. At half of them the dictionary starts anew, beside what it held until then; of that,
+          pre-tokens that come again are taken over, and the others go the next time.
     segment: least characters of a text that goes to the library in one call, where it can be cut.
     """
 
@@ -47,17 +47,19 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self._before: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(file)
         self.most, self.segment = most, segment
-        with open(file, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.words = spec["normalizer"] is not None
+        self.words = self.library.normalizer is not None
         self._split = (_WORD_END if self.words else _BYTE_LEVEL).findall
         self._letters = byte_letters()
         self._model = self.library.model
         self.apart = all(self._apart(t) == self._whole(t) for t in _PROBES)
 
     def __missing__(self, word: str) -> bytes:
+        if (ids := self._before.get(word)) is not None:
+            self[word] = ids
+            return ids
         tokens = self._model.tokenize(word.encode().decode("latin-1").translate(self._letters))
         ids = self[word] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         return ids
@@ -79,13 +81,14 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         if self.apart and "<|" not in text and _SAFE.fullmatch(text):
-            if len(self) > self.most:
+            if len(self) > self.most // 2:
+                self._before = dict(self)
                 self.clear()
             return self._apart(text)
         return b"".join(map(self._whole, self.segments(text)))
 
 
 @lru_cache(maxsize=4)
-def encoder(file: str) -> Encoder:
+def encoder(file: str, most: int = 250_000) -> Encoder:
     """One per worker process."""
-    return Encoder(file)
+    return Encoder(file, most)

@@ -209,3 +209,14 @@ def test_short_documents_leave_hardly_any_padding(spark):
     pieces = packing.pack(frame(spark, rows), WORDS, 1).select("sequence_id", "length").collect()
     sequences = len({r.sequence_id for r in pieces})
     assert sequences <= 1.01 * -(-sum(r.length for r in pieces) // 2048)
+
+
+def test_what_comes_again_is_taken_over_when_the_dictionary_starts_anew():
+    known, asked = vocab.Encoder(BYTES, most=40), []
+    model = known._model
+    known._model = type("Model", (), {"tokenize": lambda _, word: asked.append(word) or model.tokenize(word)})()
+    for n in range(200):
+        text = f"the river {n * 7919} {n}"
+        assert np.frombuffer(known.encode(text), "<u4").tolist() == known.library.encode(text, add_special_tokens=False).ids
+        assert len(known) + len(known._before) < 90
+    assert asked.count("the") <= 1
