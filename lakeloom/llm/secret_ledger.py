@@ -16,6 +16,8 @@ A null text is empty and has no findings. Repeated rows and null or repeated ids
 each give a row. An empty table gives an empty result; other columns are ignored.
 Texts of any length are scanned whole. A content that a third of all rows share is
 one row per task before it is shuffled; the join back is one that Spark can split.
+Addresses are shuffled for every text; the text itself only where a Bloom filter of
+addresses says that it may come again, is known, or has findings to be masked.
 A ledger folder may be shared by runs: each adds a folder of its own when its scan
 is complete, so one that died leaves nothing that counts.
 """
@@ -30,7 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakeloom.llm.rows import documents, fresh
+from lakeloom.llm.rows import documents, fresh, materialise
+from lakeloom.operators.key_filter import batch_filter
 from lakeloom.operators.spread import spread_join
 
 
@@ -116,11 +119,30 @@ def scan_unseen(texts: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
     known = read_ledger(spark, ledger, version).filter("kind = -1").select("blob").distinct()
     blobs = texts.select(address(F.col("text")).alias("blob"), "text")
     if not known.isEmpty():
-        blobs = spread_join(blobs, known, ["blob"], "left_anti", by=["blob"])
-    found = scan(blobs.dropDuplicates(["blob"]), rules).withColumn("rules", F.lit(version))
+        apart, may = _parted(blobs, materialise(known, "blobs-known"), "blob")
+        blobs = spread_join(may, known, ["blob"], "left_anti", by=["blob"])
+        blobs = blobs if apart is None else apart.unionByName(blobs)
+    found = scan(_once(blobs), rules).withColumn("rules", F.lit(version))
     found.write.parquet(f"{ledger.rstrip('/')}/run={uuid.uuid4().hex}")
 
 
+def _parted(rows: DataFrame, listed: DataFrame, blob: str) -> tuple[DataFrame | None, DataFrame]:
+    """The rows whose address is surely not listed, and those whose address may be; None and all if the list is too long."""
+    held = batch_filter(rows, listed, [blob], listed.count())
+    return (None, rows) if held is None else (rows.where(~held), rows.where(held))
+
+
+def _once(blobs: DataFrame) -> DataFrame:
+    """One row for each blob; texts whose address comes once stay where they are."""
+    again = blobs.groupBy("blob").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("blob")
+    again = materialise(again, "blobs-again")
+    if again.isEmpty():
+        return blobs
+    alone, may = _parted(blobs, again, "blob")
+    one = may.dropDuplicates(["blob"])
+    return one if alone is None else alone.unionByName(one)
+
+
 def findings(spark: SparkSession, ledger: str, version: str = RULES_VERSION) -> DataFrame:
     """blob and its spans: an ordered array of (start, kind, end, before), for blobs with any.
 
@@ -159,9 +181,12 @@ def redact(docs: DataFrame, ledger: str, mask: str = "[SECRET]", rules: tuple[Ru
     scan_unseen(documents(docs), ledger, rules, version)
     found = findings(docs.sparkSession, ledger, version)
     blob, spans = fresh(docs, "__blob"), fresh(docs, "__spans")
-    found = found.select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    found = materialise(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), "secret-spans")
     text = F.col("text").cast("string")
-    joined = spread_join(docs.withColumn(blob, address(text)), found, [blob], "left", by=[blob])
+    clean, may = _parted(docs.withColumn(blob, address(text)), found, blob)
+    joined = spread_join(may, found, [blob], "left", by=[blob])
+    if clean is not None:
+        joined = joined.unionByName(clean.withColumn(spans, F.lit(None).cast(found.schema[spans].dataType)))
     parts = F.transform(
         F.col(spans),
         lambda s: F.concat(

@@ -69,6 +69,22 @@ def test_query_scans_a_second_time_only_what_is_new(spark, monkeypatch):
     assert blobs.count() == blobs.select("blob").distinct().count() == texts.select("text").distinct().count()
 
 
+def test_texts_stay_where_they_are(spark, monkeypatch):
+    """Only texts that come again, are known or hold a secret are shuffled."""
+    scanned, joined = [], []
+    plain, join = secret_ledger.scan, secret_ledger.spread_join
+    monkeypatch.setattr(secret_ledger, "scan", lambda blobs, *a: scanned.append(blobs) or plain(blobs, *a))
+    monkeypatch.setattr(secret_ledger, "spread_join", lambda left, *a, **k: joined.append(left.count()) or join(left, *a, **k))
+    rows = [(i, "token = abcdefgh12345" if i == 7 else f"text {i}") for i in range(400)]
+    path, docs = workspace(spark, "ledger"), frame(spark, rows)
+    masked = secret_ledger.redact(docs, path).collect()
+    assert {r.doc_id: r.text for r in masked} == {**dict(rows), 7: "[SECRET]"}
+    assert "hashpartitioning(blob" not in scanned[0]._jdf.queryExecution().executedPlan().toString()
+    again = frame(spark, [*rows, (400, "text 5"), (401, "new"), (402, "new"), (403, "old")])
+    assert secret_ledger.find_secrets(again, path).count() == 404
+    assert scanned[1].count() == 2 and joined[0] < 40 and 401 <= joined[1] < 404
+
+
 def test_main_path_has_no_python(spark, docs):
     plan = secret_ledger.find_secrets(docs, workspace(spark, "ledger"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
