@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import fixtures as fx
 from lakeloom.operators import quality as q
 from lakeloom.plans import gold
+from lakeloom.session import materialise
 
 ORDERS = ((1, 1, "Placed", fx.day(1)), (2, 2, "Cancelled", fx.day(2)))
 ITEMS = ((10, 1, 1, 2, "5.00"), (11, 1, 2, 1, "3.00"), (20, 2, 1, 1, "5.00"))
@@ -126,6 +127,39 @@ def test_increment_takes_newer_orders_only(spark, rows):
     assert rows(gold.fact_sales_merged(fact, back)) == rows(whole)
 
 
+def test_surrogate_keys_are_in_no_shuffle(spark, rows):
+    tables = star(spark, items=(*ITEMS, (12, 1, 77, 4, "2.00")))
+    odd = tables[3].withColumn("product_key", F.when(F.col("product_id") == 1, F.lit("own")).otherwise(F.col("product_key")))
+    for products in (tables[3], odd, odd.unionByName(odd), odd.withColumn("product_key", F.lit(None).cast("string"))):
+        items, orders, customers = tables[:3]
+        fact = gold.fact_sales(items, orders, customers, products)
+        joined = items.join(orders.drop("updated_at"), "order_id").join(customers, "customer_id", "left").join(products, "product_id", "left")
+        assert rows(fact.select("order_item_id", "customer_key", "product_key")) == rows(
+            joined.select("order_item_id", "customer_key", "product_key")
+        )
+        merged = gold.fact_sales_merged(fact.limit(0), fact)
+        assert rows(merged) == rows(fact) and merged.schema == fact.schema
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = gold.fact_sales(*tables)
+        for df in (fact, gold.fact_sales_merged(materialise(fact, "fact"), materialise(fact, "increment"))):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            # digests are made above the joins, and asked for where the dimensions or the tables are scanned
+            assert "md5" in plan[: plan.index("Exchange")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_caught_up_rows_of_orders_that_come_twice(spark, rows):
+    """Of an order with a changed version the unchanged one adds nothing; late items of others are taken once."""
+    items, orders, customers, products = star(spark)
+    fact = gold.fact_sales(items, orders, customers, products)
+    twice = fx.orders(spark, *ORDERS, (1, 1, "Shipped", fx.day(9)))
+    late = fx.items(spark, *ITEMS, (12, 1, 1, 1, "1.00"), (21, 2, 2, 1, "1.00"))
+    got = gold.fact_sales_increment(fact, late, twice, customers, products, catch_up=True)
+    assert rows(got.select("order_item_id", "status")) == [(10, "Shipped"), (11, "Shipped"), (12, "Shipped"), (21, "Cancelled")]
+
+
 def test_increment_of_an_empty_fact_is_the_whole_fact(spark, rows):
     tables = star(spark)
     whole = gold.fact_sales(*tables)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.operators import range_checks
 from lakeloom.operators.quality import Condition, NotNull, Relationship, Unique, run_checks
 from lakeloom.operators.range_checks import CHECK_STATE, PARENT_STATE, RangeChecks, clusters
 from lakeloom.session import materialise
@@ -76,3 +77,21 @@ def test_places_are_taken_of_keys_that_come_again_only(spark, rows, monkeypatch)
         none = spark.createDataFrame([], PARENT_STATE)
         state = checks.advanced(empty, none, none, read, [0, 1, 2, 3, 4])
         assert rows(checks.results(state, none)) == rows(run_checks(frames, CHECKS[:1])) == [("unique", "t", "key", failures)]
+
+
+def test_missing_values_are_looked_up_once_and_short(spark, rows, monkeypatch):
+    """A value on many ranges is one row of the join, and no two texts are the same bytes."""
+    texts = ["0a0b", "0A0B", "0a0", "", "x", "t", "\n\x0b", "é", "0a0b0c"]
+    found = spark.createDataFrame([(t,) for t in texts], "v string").select(range_checks._short(F.col("v"))).distinct()
+    assert found.count() == len(texts)
+    joined = []
+    plain = range_checks.materialise
+    monkeypatch.setattr(range_checks, "materialise", lambda df, *a: joined.append((a[0], df)) or plain(df, *a))
+    checks = [Relationship("t", "p", "d", "p")]
+    of = range_checks.RangeChecks("t", checks)
+    table = spark.range(100).select(F.col("id").alias("number"), F.when(F.col("id") % 2 == 0, F.lit("0a")).otherwise(F.lit("lost")).alias("p"))
+    parents = of.parents({"d": spark.createDataFrame([("0a",)], "p string")})
+    empty = (spark.createDataFrame([], range_checks.CHECK_STATE), spark.createDataFrame([], range_checks.PARENT_STATE))
+    state = of.advanced(*empty, parents, lambda some: table, list(range(100)))
+    assert [df.count() for name, df in joined if name == "missing-values"] == [1]
+    assert state.where("kind = 'missing' AND value = 'lost' AND row_count = 1").count() == state.count() == 50
