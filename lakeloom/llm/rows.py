@@ -14,11 +14,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import lakeloom
+from lakeloom.operators.key_filter import batch_filter
 from lakeloom.session import materialise, tune, workspace
 
 __all__ = [
-    "batches", "documents", "fresh", "materialise", "numbered", "ordered_buckets", "per_bucket", "ship", "table", "tasks", "tune",
-    "without_losers", "word_blocks", "workspace",
+    "batches", "documents", "fresh", "materialise", "numbered", "ordered_buckets", "parted", "per_bucket", "ship", "table", "tasks",
+    "tune", "without_losers", "word_blocks", "workspace",
 ]
 
 
@@ -108,20 +109,32 @@ def numbered(df: DataFrame, order: Sequence[Column], out: str, by: Sequence[str]
     return numbered_rows.select(*(F.col(f"l.{c}") for c in df.columns), (F.col(f"l.{at}") + F.col("r.__offset")).alias(out))
 
 
+def parted(rows: DataFrame, listed: DataFrame, key: str) -> tuple[DataFrame | None, DataFrame]:
+    """The rows whose key is surely not listed, and those whose key may be; None and all if the list is too long."""
+    held = batch_filter(rows, listed, [key], listed.count())
+    return (None, rows) if held is None else (rows.where(~held), rows.where(held))
+
+
 def without_losers(docs: DataFrame, digest: Column, decided: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay; decided: doc_id, digest and kept of every row.
 
-    Whole rows meet only the list of those that go, so texts are shuffled once at most, and not at all where the list is
-    small. Of rows with one doc_id and text, of which one is kept, one stays: only rows on a list of such repeats are compared.
+    Whole rows meet only the list of those that go, and of them only those whose doc_id a Bloom filter says may be listed: the
+    others are not shuffled. Where the list is too long for a filter, all are, once. Of rows with one doc_id and text, of which
+    one is kept, one stays: only rows on a list of such repeats are compared.
     """
-    one, key = fresh(docs, "__id"), fresh(docs, "__key")
+    one, key, place = fresh(docs, "__id"), fresh(docs, "__key"), fresh(docs, "__place")
     keys = decided.groupBy(F.col("doc_id").alias(one), F.col("digest").alias(f"{key}_")).agg(
         F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")
     )
     gone = materialise(keys.filter("n > 1 OR NOT kept"), "losers")
-    keyed = docs.withColumn(key, digest)
+    # the filter leaves null keys out; a null doc_id is in it as 0. Digests would cost more than hashes of numbers
+    listed = gone.select(F.coalesce(one, F.lit(0).cast("long")).alias(place))
+    apart, may = parted(docs.withColumn(place, F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))), listed, place)
+    keyed = may.drop(place).withColumn(key, digest)
     same = keyed["doc_id"].cast("long").eqNullSafe(F.col(one)) & (F.col(key) == F.col(f"{key}_"))
     left = keyed.join(gone.drop("n", "kept"), same, "left_anti").drop(key)
+    if apart is not None:
+        left = apart.drop(place).unionByName(left)
     repeats = gone.filter("kept").drop("n", "kept")
     if repeats.isEmpty():
         return left

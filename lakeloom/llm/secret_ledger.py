@@ -32,8 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakeloom.llm.rows import documents, fresh, materialise
-from lakeloom.operators.key_filter import batch_filter
+from lakeloom.llm.rows import documents, fresh, materialise, parted
 from lakeloom.operators.spread import spread_join
 
 
@@ -119,26 +118,20 @@ def scan_unseen(texts: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
     known = read_ledger(spark, ledger, version).filter("kind = -1").select("blob").distinct()
     blobs = texts.select(address(F.col("text")).alias("blob"), "text")
     if not known.isEmpty():
-        apart, may = _parted(blobs, materialise(known, "blobs-known"), "blob")
+        apart, may = parted(blobs, materialise(known, "blobs-known"), "blob")
         blobs = spread_join(may, known, ["blob"], "left_anti", by=["blob"])
         blobs = blobs if apart is None else apart.unionByName(blobs)
     found = scan(_once(blobs), rules).withColumn("rules", F.lit(version))
     found.write.parquet(f"{ledger.rstrip('/')}/run={uuid.uuid4().hex}")
 
 
-def _parted(rows: DataFrame, listed: DataFrame, blob: str) -> tuple[DataFrame | None, DataFrame]:
-    """The rows whose address is surely not listed, and those whose address may be; None and all if the list is too long."""
-    held = batch_filter(rows, listed, [blob], listed.count())
-    return (None, rows) if held is None else (rows.where(~held), rows.where(held))
-
-
 def _once(blobs: DataFrame) -> DataFrame:
     """One row for each blob; texts whose address comes once stay where they are."""
     again = blobs.groupBy("blob").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("blob")
     again = materialise(again, "blobs-again")
     if again.isEmpty():
         return blobs
-    alone, may = _parted(blobs, again, "blob")
+    alone, may = parted(blobs, again, "blob")
     one = may.dropDuplicates(["blob"])
     return one if alone is None else alone.unionByName(one)
 
@@ -183,7 +176,7 @@ def redact(docs: DataFrame, ledger: str, mask: str = "[SECRET]", rules: tuple[Ru
     blob, spans = fresh(docs, "__blob"), fresh(docs, "__spans")
     found = materialise(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), "secret-spans")
     text = F.col("text").cast("string")
-    clean, may = _parted(docs.withColumn(blob, address(text)), found, blob)
+    clean, may = parted(docs.withColumn(blob, address(text)), found, blob)
     joined = spread_join(may, found, [blob], "left", by=[blob])
     if clean is not None:
         joined = joined.unionByName(clean.withColumn(spans, F.lit(None).cast(found.schema[spans].dataType)))

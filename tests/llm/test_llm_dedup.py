@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm import chunk_dedup, line_dedup, simhash
 from lakeloom.llm.components import components
+from lakeloom.operators import key_filter
 
 BLANK = re.compile("[\x20\x09-\x0d]+")
 
@@ -228,3 +229,28 @@ def test_only_doubtful_chunks_are_read_again(spark, hard):
     }
     assert {(bytes(r.digest), r.place, r.id, bytes(r.chunk)) for r in got} == want
     assert len(got) == len(want) == 3
+
+
+@pytest.mark.parametrize("drop", [chunk_dedup.drop_duplicates, simhash.drop_near_duplicates])
+@pytest.mark.parametrize("listed", ["short", "too long for a filter"])
+def test_texts_that_stay_meet_no_join(spark, monkeypatch, drop, listed):
+    """Only rows whose doc_id may be on the list of those that go are joined to it; all are where no filter can hold the list."""
+    rng = random.Random(6)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(30)) for _ in range(600)]
+    rows = [*enumerate(texts), (0, texts[0]), (700, texts[5]), (None, texts[6]), (7, texts[8]), (None, "only here"), (None, "only here")]
+    docs = frame(spark, rows)
+    if listed != "short":
+        monkeypatch.setattr(key_filter, "MOST_BITS", 0)
+    joined, join = [], type(docs).join
+
+    def counted(left, *a):
+        if "text" in left.columns:
+            joined.append(left.count())
+        return join(left, *a)
+
+    monkeypatch.setattr(type(docs), "join", counted)
+    got = drop(docs)
+    # ids 0, 8, 700 and null are listed: seven rows, and a few in a hundred that only seem to be
+    assert joined and all(7 <= n < 60 if listed == "short" else n == len(rows) for n in joined)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(i, t) for i, t in enumerate(texts) if i != 8] + [(7, texts[8]), (None, "only here")])
