@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.byte_cnn import UNKNOWN, classify, learn, lettered
+from lakeloom.llm.byte_cnn import UNKNOWN, called, learn, lettered
 from lakeloom.llm.chunk_dedup import drop_duplicates
 from lakeloom.llm.packing import pack
 from lakeloom.llm.queries import vocabulary
@@ -28,10 +28,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     tune(ship(spark))
     found, letter = fresh(docs, "__language"), fresh(docs, "__letter")
-    # both are asked of the same worker
-    called = classify(docs, learn(docs), found).withColumn(letter, lettered(F.col("text")))
+    # in one projection, so that both are asked of one worker; in two, each task would have two
+    answered = docs.withColumns({found: called(F.col("text"), learn(docs)), letter: lettered(F.col("text"))})
     # a text with a letter stays also where there was no label to learn, or where one is called as the unknown language is
-    held = called.filter((F.col(found) != UNKNOWN) | F.col(letter))
+    held = answered.filter((F.col(found) != UNKNOWN) | F.col(letter))
     if dict(docs.dtypes).get("lang") == "string":
         known = F.when(F.col(found) != UNKNOWN, F.col(found))
         held = held.withColumn("lang", F.coalesce("lang", known))

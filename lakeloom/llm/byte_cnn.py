@@ -246,8 +246,8 @@ def predictions(docs: DataFrame, network: Network) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def classify(docs: DataFrame, network: Network, out: str) -> DataFrame:
-    """``docs`` with all their columns and the predicted language as one more."""
+def called(text: Column, network: Network) -> Column:
+    """The predicted language of a text."""
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
@@ -255,7 +255,12 @@ def classify(docs: DataFrame, network: Network, out: str) -> DataFrame:
         return pd.Series([x for part in found for x, _ in part], dtype=object)
 
     # else a filter by the answer would ask the network a second time, in a second worker
-    return docs.withColumn(out, run.asNondeterministic()(F.col("text").cast("string")))
+    return run.asNondeterministic()(text.cast("string"))
+
+
+def classify(docs: DataFrame, network: Network, out: str) -> DataFrame:
+    """``docs`` with all their columns and the predicted language as one more."""
+    return docs.withColumn(out, called(F.col("text"), network))
 
 
 def lettered(text: Column) -> Column:

@@ -162,3 +162,10 @@ def test_the_language_network_is_asked_once_per_text(spark):
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("run(") == 2  # the network and the letters
     assert sorted(r.doc_id for r in kept.collect()) == [0, 3]
+
+
+def test_the_language_stage_has_one_worker_a_task(spark):
+    docs = spark.createDataFrame([(1, "a river", "en"), (2, "the sea", None)], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "a river", "en"), (2, "the sea", "en")]
