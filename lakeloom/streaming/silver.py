@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +18,20 @@ _ROW, _ARRIVED = "__row", "__arrived"
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ON_HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+@contextmanager
+def _adaptive(session: SparkSession) -> Iterator[None]:
+    """Adaptive plans in the session of a micro-batch. Spark turns them off there for the sake of the state, whose plan
+    is fixed by then. Without them no rows are brought to their ranges before files are written, and each task writes a
+    file for each range."""
+    before = session.conf.get(_ADAPTIVE)
+    session.conf.set(_ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        session.conf.set(_ADAPTIVE, before)  # as the next micro-batch's state needs it
 
 
 def stream_silver(
@@ -58,7 +75,8 @@ def stream_silver(
         arrived = seen.dropDuplicatesWithinWatermark([_ROW]).drop(_ROW, _ARRIVED)
 
     def load(batch: DataFrame, _: int) -> None:
-        load_silver(table, target, table.transform(batch), count_target=False)
+        with _adaptive(batch.sparkSession):
+            load_silver(table, target, table.transform(batch), count_target=False)
 
     writer = arrived.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if not remember or spark.conf.get(_STORE) != _ON_HEAP:

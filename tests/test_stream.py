@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ import fixtures as fx
 from lakeloom.plans.jobs import silver_target
 from lakeloom.plans.silver import SILVER
 from lakeloom.sinks import write_batch
+from lakeloom.sinks.tables import Ranges
 from lakeloom.streaming import stream_silver
 
 
@@ -71,3 +74,15 @@ def test_what_is_remembered_is_kept_off_the_heap(spark, lakehouse, rows, tmp_pat
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
     log = spark.read.text(f"{lakehouse.root}/checkpoint/offsets/0")
     assert log.where(F.col("value").contains("RocksDBStateStoreProvider")).count() == 1
+
+
+def test_a_streamed_range_is_few_files(spark, lakehouse, rows):
+    ranged = replace(lakehouse, ranges={f"{lakehouse.silver}.order_items": Ranges("order_id", 50)})
+    first = fx.items(spark, *((n, n, 1, 1, "5") for n in range(1, 201)))
+    for n, batch in enumerate((first, first.unionByName(first), first.withColumn("order_item_id", F.expr("order_item_id + 200"))), 1):
+        write_batch(batch.coalesce(1), lakehouse.bronze, "order_items", f"2025-01-0{n}")
+    # several micro-batches of one query: each has its plans, and the state after it has its own again
+    table = run(spark, ranged, "order_items", first.schema, remember="7 days", files_per_batch=1)
+    assert sorted(r[0] for r in table.select("order_item_id").collect()) == [*range(1, 401)]
+    # each task wrote a file for each range before
+    assert len(table.inputFiles()) == table.select((F.col("order_id") / 50).cast("int")).distinct().count()
