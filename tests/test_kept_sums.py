@@ -8,6 +8,7 @@ from lakeloom.operators.star import Link, StarModel
 from lakeloom.plans import jobs
 from lakeloom.plans.jobs import build_gold, gold_model, load_silver, silver_target
 from lakeloom.plans.silver import SILVER
+from lakeloom.session import materialise
 from lakeloom.sinks.tables import Ranges
 
 SCHEMA = "k int, place string, sold int, paid decimal(10,2)"
@@ -119,3 +120,26 @@ def test_builds_keep_the_sums(spark, lakehouse, rows, monkeypatch):
     monkeypatch.setattr(jobs._FactSums, "write", write)
     same()
     assert len(whole) == 2  # the fact had moved on without them
+
+
+def test_the_fact_is_grouped_once(spark, rows):
+    """However many groupings are made of it, and what changed is grouped in one shuffle."""
+    stored = []
+    kept = KeptSums(GROUPINGS, ("sold", "paid"), lambda df: stored.append(df) or materialise(df, "sums"))
+    made = kept.built(table(spark, FACT))
+    assert len(stored) == 1 and all("ExistingRDD" not in df._jdf.queryExecution().toString() for df in made.values())
+    for grouping, df in KEPT.built(table(spark, FACT)).items():
+        assert rows(made[grouping]) == rows(df)
+    change = KEPT.change(table(spark, FACT[:2]), table(spark, FACT[2:]))
+    assert change._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_rows_that_are_replaced_can_still_be_read(spark, lakehouse, rows):
+    lakehouse.ranges[f"{lakehouse.gold}.numbers"] = Ranges("k", 10)
+    numbers = lakehouse.table(lakehouse.gold, "numbers")
+    numbers.replace(table(spark, [(k, "a b%", k, None) for k in range(40)]))
+    old, none = numbers.opened(spark).held(spark, [0, 2]), numbers.opened(spark).held(spark, [])
+    numbers.opened(spark).replace_ranges(table(spark, [(5, "new", 1, None)]), [0, 2])
+    assert sorted(r[0] for r in old.select("k").collect()) == [*range(10), *range(20, 30)]
+    assert none.isEmpty() and none.schema == old.schema
+    assert sorted(r[0] for r in numbers.read(spark).select("k").collect()) == [5, *range(10, 20), *range(30, 40)]
